@@ -39,6 +39,7 @@ MARKET_COLUMNS = (
     "claim_premium_ratio",
 )
 MARKET_TEXT_LIMITS = {"company_name": 116, "product": 42, "state": 2}
+MARKET_DECIMALS = ("premiums", "claims", "claim_premium_ratio")
 MARKET_GRAIN = ("company_code", "year_month", "product", "state")
 
 RISK_TEXT_LIMITS = {

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riskmart.functions.parsing import plain_decimal_text
+from riskmart.functions.parsing import canonical_decimal_text
 
 MISSING_CELL = "<MISSING>"
 ZERO_HASH = "0" * 64
@@ -31,7 +31,7 @@ def typed_record_hash(fields: Sequence[tuple[str, str, Column]]) -> Column:
     """SHA-256 of a compact JSON list of ``[name, value]``.
 
     Each field is ``(name, kind, column)``; kind is ``text``, ``int`` or
-    ``decimal`` (decimal source text, hashed in plain notation as a string).
+    ``decimal`` (source text in plain notation, hashed as a string).
     """
     pieces = []
     for name, kind, column in fields:
@@ -40,7 +40,7 @@ def typed_record_hash(fields: Sequence[tuple[str, str, Column]]) -> Column:
         elif kind == "int":
             body = column.cast("string")
         else:
-            body = F.concat(F.lit('"'), plain_decimal_text(column), F.lit('"'))
+            body = F.concat(F.lit('"'), canonical_decimal_text(column), F.lit('"'))
         value = F.when(column.isNull(), F.lit("null")).otherwise(body)
         pieces.append(F.concat(F.lit(f'["{name}",'), value, F.lit("]")))
     return sha256_upper(F.concat(F.lit("["), F.concat_ws(",", *pieces), F.lit("]")))

@@ -6,14 +6,15 @@ so they stay inside whole-stage code generation.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CANONICAL_INT = r"^(0|-?[1-9][0-9]*)\z"
 MONTH_START = r"^[0-9]{4}-[0-9]{2}-01\z"
-DECIMAL_TEXT = r"^([+-]?)([0-9]*)[.]?([0-9]*)([eE][+-]?[0-9]{1,9})?\z"
+DECIMAL_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,9})?\z"
+TIDY = r"^\s+|\s+\z|_"
 INTEGER_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*\z"
 EDGE_SPACE = r"^\s+|\s+\z"
 
@@ -45,89 +46,88 @@ def nonneg_int(text: Column, limit: int) -> Column:
     return F.when((value >= 0) & (value <= limit), value.cast("int"))
 
 
-@dataclass(frozen=True)
-class DecimalParts:
-    """Pieces of a decimal literal: ``sign 0.digits x 10^point``."""
-
-    sign: Column
-    digits: Column  # significant digits, leading zeros removed
-    point: Column  # places the point stands to the right of the first digit
-    scale: Column  # fraction digits written, trailing zeros counted
-    exponent: Column  # power of ten of the last digit written
-    written: Column  # number of digits written
-    valid: Column
-
-    @property
-    def is_zero(self) -> Column:
-        return self.digits == ""
-
-    @property
-    def integer_digits(self) -> Column:
-        return F.when(self.is_zero, 0).otherwise(F.greatest(F.lit(0), self.point))
-
-
-def decimal_parts(text: Column) -> DecimalParts:
-    clean = F.regexp_replace(F.regexp_replace(text, EDGE_SPACE, ""), "_", "")
-    whole = F.regexp_extract(clean, DECIMAL_TEXT, 2)
-    fraction = F.regexp_extract(clean, DECIMAL_TEXT, 3)
-    power = F.coalesce(F.substring(F.regexp_extract(clean, DECIMAL_TEXT, 4), 2, 12).try_cast("int"), F.lit(0))
-    written = F.concat(whole, fraction)
-    digits = F.ltrim(written, F.lit("0"))
-    lead = F.length(written) - F.length(digits)
-    return DecimalParts(
-        sign=F.when(F.regexp_extract(clean, DECIMAL_TEXT, 1) == "-", "-").otherwise(""),
-        digits=digits,
-        point=F.length(whole) - lead + power,
-        scale=F.greatest(F.lit(0), F.length(fraction) - power),
-        exponent=power - F.length(fraction),
-        written=F.length(written),
-        valid=F.coalesce(clean.rlike(DECIMAL_TEXT) & (written != ""), F.lit(False)),
+def with_plain_decimals(df: DataFrame, texts: Mapping[str, str]) -> DataFrame:
+    """Adds plain-notation copies of decimal texts: ``{new column: text column}``.
+
+    NULL marks text that is no finite decimal literal. An exponent is written
+    out and the scale is kept, but never more zeros than any declared decimal
+    holds. The pieces are built in separate projections, so that each is
+    evaluated once per row and generated code stays small.
+    """
+    kept = df.columns
+    df = df.withColumns({f"_tidy_{o}": F.regexp_replace(F.col(i), TIDY, "") for o, i in texts.items()})
+    df = df.withColumns({
+        f"_digits_{o}": F.regexp_replace(F.regexp_extract(f"_tidy_{o}", "^[+-]?([0-9.]*)", 1), "[.]", "") for o in texts
+    })
+    df = df.withColumns({
+        f"_scale_{o}": F.greatest(
+            F.least(
+                F.length(F.regexp_extract(f"_tidy_{o}", "[.]([0-9]*)", 1))
+                - F.substring_index(F.lower(f"_tidy_{o}"), "e", -1).try_cast("int"),
+                F.length(f"_digits_{o}") + 40,
+            ),
+            F.lit(-64),
+        )
+        for o in texts
+    })
+    df = df.withColumns({
+        f"_padded_{o}": F.when(
+            F.col(f"_scale_{o}") > 0,
+            F.lpad(f"_digits_{o}", F.greatest(F.length(f"_digits_{o}"), F.col(f"_scale_{o}") + 1), "0"),
+        ).otherwise(F.concat(f"_digits_{o}", F.repeat(F.lit("0"), -F.col(f"_scale_{o}"))))
+        for o in texts
+    })
+
+    def spelled(o: str) -> Column:
+        padded, places = F.col(f"_padded_{o}"), F.greatest(f"_scale_{o}", F.lit(0))
+        return F.concat(
+            F.regexp_extract(f"_tidy_{o}", "^([+-]?)", 1),
+            F.substring(padded, F.lit(1), F.length(padded) - places),
+            F.lit("."),
+            F.substring(padded, F.length(padded) - places + 1, places),
+        )
+
+    return df.select(
+        *[c for c in kept if c not in texts],
+        *[
+            F.when(
+                F.col(f"_tidy_{o}").rlike(DECIMAL_TEXT),
+                F.when(F.col(f"_tidy_{o}").rlike("[eE]"), spelled(o)).otherwise(F.col(f"_tidy_{o}")),
+            ).alias(o)
+            for o in texts
+        ],
     )
 
 
-def half_even_decimal(text: Column, places: int = 18, integer_limit: int = 20) -> Column:
-    """decimal(38,18) rounded half to even; NULL if not finite or too large.
+def half_even_decimal(plain: Column, places: int = 18, integer_limit: int = 20) -> Column:
+    """decimal(38,18) of a plain literal, rounded half to even; NULL if too large.
 
     Spark's cast rounds half up, so only an exact tie on an even digit needs
     care: there the text is cut instead of rounded.
     """
-    p = decimal_parts(text)
-    whole = F.when(p.point <= 0, "0").otherwise(
-        F.rpad(F.substring(p.digits, F.lit(1), F.greatest(p.point, F.lit(0))), F.least(p.point, F.lit(integer_limit)), "0")
-    )
-    shift = F.repeat(F.lit("0"), F.least(F.greatest(-p.point, F.lit(0)), F.lit(places + 1)))
-    fraction = F.when(p.point < 0, F.concat(shift, p.digits)).otherwise(
-        F.substring(p.digits, F.greatest(p.point, F.lit(0)) + 1, F.length(p.digits))
-    )
-    tie = (F.substring(fraction, places + 1, 1) == "5") & (
-        F.rtrim(F.substring(fraction, F.lit(places + 2), F.length(fraction)), F.lit("0")) == ""
-    )
-    even = F.substring(fraction, places, 1).isin("0", "2", "4", "6", "8")
-    kept = F.when(tie & even, F.substring(fraction, 1, places)).otherwise(fraction)
-    number = F.concat(p.sign, whole, F.lit("."), kept, F.lit("0")).try_cast(f"decimal({integer_limit + places},{places})")
-    zero = F.lit("0").cast(f"decimal({integer_limit + places},{places})")
-    return F.when(
-        p.valid,
-        F.when(p.is_zero | (p.point < -places), zero).when(p.point <= integer_limit, number),
-    )
+    tie = rf"^([+-]?[0-9]*[.][0-9]{{{places - 1}}}[02468])50*\z"
+    return F.regexp_replace(plain, tie, "$1").try_cast(f"decimal({integer_limit + places},{places})")
 
 
-def exact_decimal(text: Column, precision: int, scale: int) -> Column:
+def exact_decimal(plain: Column, precision: int, scale: int) -> Column:
     """Non-negative decimal that fits (precision, scale) with nothing rounded away."""
-    p = decimal_parts(text)
-    fits = (p.scale <= scale) & (p.integer_digits <= precision - scale)
-    nonneg = (p.sign == "") | p.is_zero
-    return F.when(p.valid & fits & nonneg, plain_decimal_text(text).try_cast(f"decimal({precision},{scale})"))
-
-
-def plain_decimal_text(text: Column) -> Column:
-    """The literal without exponent, keeping the scale it was written with."""
-    p = decimal_parts(text)
-    raised = F.concat(p.digits, F.repeat(F.lit("0"), F.least(F.greatest(p.exponent, F.lit(0)), F.lit(64))))
-    padded = F.when(
-        F.length(raised) > p.scale, raised
-    ).otherwise(F.lpad(raised, F.least(p.scale, F.lit(4096)) + 1, "0"))
-    whole = F.substring(padded, F.lit(1), F.length(padded) - p.scale)
-    tail = F.substring(padded, F.length(padded) - p.scale + 1, p.scale)
-    body = F.when(p.is_zero & (p.scale == 0), F.lit("0")).when(p.scale > 0, F.concat(whole, F.lit("."), tail)).otherwise(whole)
-    return F.when(p.valid, F.concat(p.sign, body))
+    fits = rf"^([+]?0*[0-9]{{0,{precision - scale}}}|-0*)([.][0-9]{{0,{scale}}})?\z"
+    negative = r"^-.*[1-9]"
+    return F.when(plain.rlike(fits) & ~plain.rlike(negative), plain.try_cast(f"decimal({precision},{scale})"))
+
+
+def canonical_decimal_text(plain: Column) -> Column:
+    """The plain literal without ``+`` or spare zeros in front; scale kept."""
+    text = F.regexp_replace(plain, r"^[+]|[.]\z", "")
+    text = F.regexp_replace(text, r"^(-?)0+(?=[0-9])", "$1")
+    return F.regexp_replace(text, r"^(-?)(?=[.])", "$10")
+
+
+def integer_digits(plain: Column) -> Column:
+    """Digits before the point of a plain literal; none for a zero whole part."""
+    return F.length(F.regexp_extract(plain, r"^-?0*([0-9]*)", 1))
+
+
+def scale_digits(plain: Column) -> Column:
+    """Digits written after the point of a plain literal."""
+    return F.length(F.regexp_extract(plain, r"[.]([0-9]*)", 1))

@@ -43,27 +43,46 @@ def cell(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def text_column(name: str) -> str:
+    """Where the source text of a cell waits for the rules."""
+    return f"_text_{name}"
+
+
+def plain_column(name: str) -> str:
+    """Where the plain-notation text of a decimal cell waits."""
+    return f"_plain_{name}"
+
+
+def with_texts(raw: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Moves the raw cells aside, so that typed columns can take their names."""
+    kept = [c for c in raw.columns if c not in columns]
+    return raw.select(*kept, *[cell(c).alias(text_column(c)) for c in columns])
+
+
 def required_text_rule(name: str, limit: int) -> Rule:
-    text = cell(name)
+    text = F.col(text_column(name))
     problem = F.when(text == "", F.lit("is required")).otherwise(F.lit(f"is longer than {limit} characters"))
     return Rule(name, (text != "") & (F.length(text) <= limit), problem)
 
 
 def optional_text_rule(name: str, limit: int) -> Rule:
-    return Rule(name, F.length(cell(name)) <= limit, F.lit(f"is longer than {limit} characters"))
+    return Rule(name, F.length(text_column(name)) <= limit, F.lit(f"is longer than {limit} characters"))
 
 
-def _decimal_problem(text: Column) -> Column:
-    parts = P.decimal_parts(text)
-    return (
+def decimal_rule(name: str, nullable_na: bool = False) -> Rule:
+    """The typed column is already there; NULL in it means the text was refused."""
+    text = F.col(text_column(name))
+    problem = (
         F.when(text == "", F.lit("is required"))
-        .when(~parts.valid, F.lit("is not a finite decimal"))
+        .when(F.col(plain_column(name)).isNull(), F.lit("is not a finite decimal"))
         .otherwise(F.lit("does not fit the declared decimal"))
     )
+    ok = F.col(name).isNotNull()
+    return Rule(name, (text == "NA") | ok if nullable_na else ok, problem)
 
 
 def market_rules(width_error: Column) -> list[Rule]:
-    code, month = cell("company_code"), cell("year_month")
+    code, month = F.col(text_column("company_code")), F.col(text_column("year_month"))
     code_problem = (
         F.when(code == "", F.lit("is required"))
         .when(code.rlike(P.CANONICAL_INT), F.lit("is outside int32"))
@@ -74,61 +93,72 @@ def market_rules(width_error: Column) -> list[Rule]:
         .when(P.iso_date(month).isNotNull(), F.lit("is not the first day of a month"))
         .otherwise(F.lit("is not an ISO date"))
     )
-    rules = [
+    return [
         Rule("row", ~width_error, F.lit("has more cells than the contract")),
-        Rule("company_code", P.canonical_int(code).isNotNull(), code_problem),
+        Rule("company_code", F.col("company_code").isNotNull(), code_problem),
         required_text_rule("company_name", C.MARKET_TEXT_LIMITS["company_name"]),
-        Rule("year_month", P.month_start(month).isNotNull(), month_problem),
+        Rule("year_month", F.col("year_month").isNotNull(), month_problem),
         required_text_rule("product", C.MARKET_TEXT_LIMITS["product"]),
         required_text_rule("state", C.MARKET_TEXT_LIMITS["state"]),
+        decimal_rule("premiums"),
+        decimal_rule("claims"),
+        decimal_rule("claim_premium_ratio", nullable_na=True),
     ]
-    for name in ("premiums", "claims", "claim_premium_ratio"):
-        text = cell(name)
-        ok = P.half_even_decimal(text).isNotNull()
-        if name == "claim_premium_ratio":
-            ok = (text == "NA") | ok
-        rules.append(Rule(name, ok, _decimal_problem(text)))
-    return rules
 
 
 def apply_market_contract(raw: DataFrame, row_number: str = "source_row_number") -> DataFrame:
     """Typed market columns next to the source text, plus hash, payload and reason.
 
     ``raw`` has the eight text columns and a row number; the optional columns
-    ``extra_cells`` and ``cells`` come from the CSV reader.
+    ``extra_cells`` and ``cells`` come from the CSV reader. Values are parsed in
+    one projection and judged in the next, so no parse is evaluated twice.
     """
     extra = F.col("extra_cells") if "extra_cells" in raw.columns else F.lit(False)
-    hashed = []
-    for position, name in enumerate(C.MARKET_COLUMNS):
-        text = cell(name)
-        if "cells" in raw.columns:
-            text = F.when(F.col("cells") <= position, F.lit(H.MISSING_CELL)).otherwise(text)
-        hashed.append(text)
-    ratio = F.nullif(cell("claim_premium_ratio"), F.lit("NA"))
+    text = {c: F.col(text_column(c)) for c in C.MARKET_COLUMNS}
+    hashed = [
+        F.when(F.col("cells") <= position, F.lit(H.MISSING_CELL)).otherwise(text[c]) if "cells" in raw.columns else text[c]
+        for position, c in enumerate(C.MARKET_COLUMNS)
+    ]
     lineage = [c for c in raw.columns if c not in C.MARKET_COLUMNS]
-    typed = raw.select(
+    decimals = {plain_column(c): text_column(c) for c in C.MARKET_DECIMALS}
+    plain = P.with_plain_decimals(with_texts(raw, C.MARKET_COLUMNS), decimals)
+    parsed = plain.select(
         *lineage,
-        *[cell(c).alias(f"_{c}") for c in C.MARKET_COLUMNS],
+        *text.values(),
+        *decimals,
         H.text_record_hash(hashed).alias("record_hash"),
-        F.to_json(F.struct(*[F.col(c) for c in C.MARKET_COLUMNS]), {"ignoreNullFields": "false"}).alias("raw_payload"),
-        first_failure(market_rules(extra), F.col(row_number)).alias("reject_reason"),
-        P.canonical_int(cell("company_code")).alias("company_code"),
-        cell("company_name").alias("company_name"),
-        P.month_start(cell("year_month")).alias("year_month"),
-        cell("product").alias("product"),
-        cell("state").alias("state"),
-        cell("premiums").alias("premiums_raw"),
-        P.half_even_decimal(cell("premiums")).alias("premiums"),
-        cell("claims").alias("claims_raw"),
-        P.half_even_decimal(cell("claims")).alias("claims"),
-        ratio.alias("claim_premium_ratio_raw"),
-        P.half_even_decimal(ratio).alias("claim_premium_ratio"),
+        P.canonical_int(text["company_code"]).alias("company_code"),
+        P.month_start(text["year_month"]).alias("year_month"),
+        F.nullif(text["claim_premium_ratio"], F.lit("NA")).alias("claim_premium_ratio_raw"),
+        *[P.half_even_decimal(F.col(plain_column(c))).alias(c) for c in C.MARKET_DECIMALS],
+    )
+    payload = F.to_json(F.struct(*[text[c].alias(c) for c in C.MARKET_COLUMNS]))
+    judged = parsed.withColumn("reject_reason", first_failure(market_rules(extra), F.col(row_number)))
+    return judged.select(
+        *lineage,
+        "record_hash",
+        F.when(F.col("reject_reason").isNotNull(), payload).alias("raw_payload"),
+        "reject_reason",
+        "company_code",
+        text["company_name"].alias("company_name"),
+        "year_month",
+        text["product"].alias("product"),
+        text["state"].alias("state"),
+        text["premiums"].alias("premiums_raw"),
+        "premiums",
+        text["claims"].alias("claims_raw"),
+        "claims",
+        "claim_premium_ratio_raw",
+        "claim_premium_ratio",
     )
-    return typed.drop(*[f"_{c}" for c in C.MARKET_COLUMNS])
 
 
 def split_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): the quarantine policy."""
+    """(accepted, rejected): the quarantine policy.
+
+    Pass rows that are already written: a filter on the reason of a lazy plan
+    would be pushed below the parsers and evaluate them a second time.
+    """
     accepted = checked.filter(F.col("reject_reason").isNull()).drop("reject_reason", "raw_payload")
     rejected = checked.filter(F.col("reject_reason").isNotNull())
     return accepted, rejected
@@ -139,22 +169,20 @@ def risk_rules(width_error: Column, missing: Column | None = None) -> list[Rule]
     if missing is not None:
         rules.append(Rule("row", ~missing, F.lit("has fewer cells than the contract")))
     rules += [optional_text_rule(name, limit) for name, limit in C.RISK_TEXT_LIMITS.items()]
-    year = cell("VehYear")
     rules.append(
         Rule(
             "VehYear",
-            (year == "") | P.nonneg_int(year, C.INT16_MAX).isNotNull(),
+            (F.col(text_column("VehYear")) == "") | F.col("VehYear").isNotNull(),
             F.lit("is not a non-negative 16-bit integer"),
         )
     )
-    for name, (precision, scale) in C.RISK_DECIMALS.items():
-        text = cell(name)
-        rules.append(Rule(name, P.exact_decimal(text, precision, scale).isNotNull(), _decimal_problem(text)))
+    rules += [decimal_rule(name) for name in C.RISK_DECIMALS]
     for name in C.RISK_COUNTS:
-        text = cell(name)
-        problem = F.when(text == "", F.lit("is required")).otherwise(F.lit("is not a non-negative 32-bit integer"))
-        rules.append(Rule(name, P.nonneg_int(text, C.INT32_MAX).isNotNull(), problem))
-    both = (cell("State") == "") == (cell("StateAb") == "")
+        problem = F.when(F.col(text_column(name)) == "", F.lit("is required")).otherwise(
+            F.lit("is not a non-negative 32-bit integer")
+        )
+        rules.append(Rule(name, F.col(name).isNotNull(), problem))
+    both = F.col("State").isNull() == F.col("StateAb").isNull()
     rules.append(Rule("State", both, F.lit("and StateAb must be null together")))
     return rules
 
@@ -164,38 +192,48 @@ def apply_risk_contract(raw: DataFrame, row_number: str = "source_row_number") -
     extra = F.col("extra_cells") if "extra_cells" in raw.columns else F.lit(False)
     missing = (F.col("cells") < len(C.RISK_COLUMNS)) if "cells" in raw.columns else None
     lineage = [c for c in raw.columns if c not in C.RISK_COLUMNS]
-    typed: dict[str, Column] = {}
-    hashed: list[tuple[str, str, Column]] = []
+    text = {c: F.col(text_column(c)) for c in C.RISK_COLUMNS}
+    typed = []
     for name in C.RISK_COLUMNS:
-        text = F.nullif(cell(name), F.lit(""))
         if name in C.RISK_DECIMALS:
-            typed[name] = P.exact_decimal(text, *C.RISK_DECIMALS[name])
-            hashed.append((name, "decimal", text))
+            value = P.exact_decimal(F.col(plain_column(name)), *C.RISK_DECIMALS[name])
         elif name in C.RISK_TEXT_LIMITS:
-            typed[name] = text
-            hashed.append((name, "text", text))
+            value = F.nullif(text[name], F.lit(""))
+        else:
+            value = P.nonneg_int(text[name], C.INT16_MAX if name == "VehYear" else C.INT32_MAX)
+        typed.append(value.alias(name))
+    decimals = {plain_column(c): text_column(c) for c in C.RISK_DECIMALS}
+    plain = P.with_plain_decimals(with_texts(raw, C.RISK_COLUMNS), decimals)
+    parsed = plain.select(*lineage, *text.values(), *decimals, *typed)
+    hashed = []
+    for name in C.RISK_COLUMNS:
+        if name in C.RISK_DECIMALS:
+            hashed.append((name, "decimal", F.col(plain_column(name))))
         else:
-            limit = C.INT16_MAX if name == "VehYear" else C.INT32_MAX
-            typed[name] = P.nonneg_int(text, limit)
-            hashed.append((name, "int", typed[name]))
-    return raw.select(
+            hashed.append((name, "text" if name in C.RISK_TEXT_LIMITS else "int", F.col(name)))
+    return parsed.select(
         *lineage,
         H.typed_record_hash(hashed).alias("record_hash"),
         first_failure(risk_rules(extra, missing), F.col(row_number)).alias("reject_reason"),
-        *[column.alias(name) for name, column in typed.items()],
+        *C.RISK_COLUMNS,
     )
 
 
-def contract_violations(checked: DataFrame, keys: Sequence[str] = ("source_file",)) -> DataFrame:
-    """Bad rows per file with the first one: one aggregate pass, no row moves."""
+def contract_violations(checked: DataFrame, file: str = "source_file") -> DataFrame:
+    """Rows and bad rows per file, with the first bad row and its reason.
+
+    ``checked`` should be written rows, as it is read twice.
+    """
     bad = F.col("reject_reason").isNotNull()
-    first = F.min(F.when(bad, F.struct("source_row_number", "reject_reason")))
-    return checked.groupBy(*keys).agg(
+    counts = checked.groupBy(file).agg(
         F.count("*").alias("source_rows"),
         F.count_if(bad).alias("bad_rows"),
-        first["source_row_number"].alias("first_bad_row"),
-        first["reject_reason"].alias("first_reason"),
+        F.min(F.when(bad, F.col("source_row_number"))).alias("first_bad_row"),
+    )
+    reasons = checked.where(bad).select(
+        F.col(file), F.col("source_row_number").alias("first_bad_row"), F.col("reject_reason").alias("first_reason")
     )
+    return counts.join(reasons, [file, "first_bad_row"], "left").select(*counts.columns, "first_reason")
 
 
 def require_clean(checked: DataFrame) -> None:

@@ -137,9 +137,10 @@ class Sources:
             .alias("claim_premium_ratio"),
         )
 
-    @cached_property
+    @property
     def market_checked(self) -> DataFrame:
-        return apply_market_contract(self.market_raw)
+        """Judged rows, written once: both sides of the split then read, not parse."""
+        return self.table("market_checked", lambda: apply_market_contract(self.market_raw))
 
     @cached_property
     def market_split(self) -> tuple[DataFrame, DataFrame]:
@@ -258,9 +259,9 @@ class Sources:
             columns.append(text.alias(source))
         return self.risk.select("source_file", "source_row_number", *columns)
 
-    @cached_property
+    @property
     def risk_checked(self) -> DataFrame:
-        return apply_risk_contract(self.risk_raw)
+        return self.table("risk_checked", lambda: apply_risk_contract(self.risk_raw))
 
     @cached_property
     def risk_dims(self) -> dict[str, DataFrame]:

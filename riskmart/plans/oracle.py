@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 
-from riskmart.contracts import MARKET_COLUMNS, UNKNOWN_LABEL
+from riskmart.contracts import RISK_COLUMNS, UNKNOWN_LABEL
+from riskmart.operators.warehouse import RISK_STAGING_TO_SNAKE
 from riskmart.plans.fixtures import RECORD_HASH_COLUMNS
 
 NUL = "chr(0)"
@@ -144,6 +145,24 @@ SELECT 'batch-' || CAST(user_id AS VARCHAR) AS batch_id, 'file-' || CAST(user_id
 }
 
 
+def _risk_slots(base: str, changes: dict[int, str]) -> str:
+    return _slots(base, changes).replace("% 97", "% 211")
+
+
+_RISK_CHANGES = {
+    "Gender": {1: "repeat('x', 21)"},
+    "VehYear": {2: "'40000'", 3: "'-1'", 4: "' 1999 '"},
+    "ExposTotal": {5: "'0.123456789012345678'", 6: "'12345'", 7: "'-0.5'"},
+    "PremTotal": {8: "'1.5e3'", 9: "''", 10: "'Infinity'"},
+    "ClaimNbRob": {11: "'2147483648'", 12: "'1.0'"},
+    "StateAb": {13: "''"},
+}
+FX["fx_risk_raw"] = "SELECT source_file, source_row_number, " + ", ".join(
+    f"{_risk_slots(text, _RISK_CHANGES[c]) if c in _RISK_CHANGES else text} AS \"{c}\""
+    for c, text in ((c, f"coalesce(CAST({RISK_STAGING_TO_SNAKE[c]} AS VARCHAR), '')") for c in RISK_COLUMNS)
+) + " FROM fx_risk"
+
+
 def money(expression: str, places: int = 4) -> str:
     return f"round(CAST({expression} AS DOUBLE), {places})"
 
@@ -192,6 +211,3 @@ def with_sources(body: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {ctes},\n{body[5:]}"
     return f"WITH {ctes}\n{body}"
-
-
-__all__ = ["FX", "MARKET_COLUMNS", "money", "natural_hash", "nul_hash", "with_sources"]

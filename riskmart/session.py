@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 # that a cluster launcher has already built.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
