@@ -9,8 +9,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-INT32_MAX = 2**31 - 1
-INT16_MAX = 2**15 - 1
 REASON_LIMIT = 2048
 
 

@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from riskmart.functions.parsing import canonical_decimal_text
-
 MISSING_CELL = "<MISSING>"
 ZERO_HASH = "0" * 64
 
@@ -40,7 +38,7 @@ def typed_record_hash(fields: Sequence[tuple[str, str, Column]]) -> Column:
         elif kind == "int":
             body = column.cast("string")
         else:
-            body = F.concat(F.lit('"'), canonical_decimal_text(column), F.lit('"'))
+            body = F.concat(F.lit('"'), column, F.lit('"'))
         value = F.when(column.isNull(), F.lit("null")).otherwise(body)
         pieces.append(F.concat(F.lit(f'["{name}",'), value, F.lit("]")))
     return sha256_upper(F.concat(F.lit("["), F.concat_ws(",", *pieces), F.lit("]")))

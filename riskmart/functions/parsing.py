@@ -15,8 +15,8 @@ CANONICAL_INT = r"^(0|-?[1-9][0-9]*)\z"
 MONTH_START = r"^[0-9]{4}-[0-9]{2}-01\z"
 DECIMAL_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,9})?\z"
 TIDY = r"^\s+|\s+\z|_"
-INTEGER_TEXT = r"^[+-]?[0-9]+(_[0-9]+)*\z"
-EDGE_SPACE = r"^\s+|\s+\z"
+INTEGER_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*\z"
+NONNEGATIVE_TEXT = r"^\s*([+]?[0-9]+(_[0-9]+)*|-0+(_0+)*)\s*\z"
 
 
 def canonical_int(text: Column) -> Column:
@@ -37,13 +37,12 @@ def iso_date(text: Column) -> Column:
 
 def loose_int(text: Column) -> Column:
     """Integer in Python's lexical form (spaces, sign, leading zeros, ``_`` groups)."""
-    clean = F.regexp_replace(text, EDGE_SPACE, "")
-    return F.when(clean.rlike(INTEGER_TEXT), F.regexp_replace(clean, "_", "").try_cast("decimal(38,0)"))
+    return F.when(text.rlike(INTEGER_TEXT), F.regexp_replace(text, r"[\s_]", "").try_cast("decimal(38,0)"))
 
 
-def nonneg_int(text: Column, limit: int) -> Column:
-    value = loose_int(text)
-    return F.when((value >= 0) & (value <= limit), value.cast("int"))
+def nonneg_int(text: Column, kind: str = "int") -> Column:
+    """Non-negative integer of a Spark type (``int`` or ``smallint``), as int."""
+    return F.when(text.rlike(NONNEGATIVE_TEXT), F.regexp_replace(text, r"[\s_]", "").try_cast(kind).cast("int"))
 
 
 def with_plain_decimals(df: DataFrame, texts: Mapping[str, str]) -> DataFrame:
@@ -109,18 +108,37 @@ def half_even_decimal(plain: Column, places: int = 18, integer_limit: int = 20)
     return F.regexp_replace(plain, tie, "$1").try_cast(f"decimal({integer_limit + places},{places})")
 
 
-def exact_decimal(plain: Column, precision: int, scale: int) -> Column:
+def decimal_literal(text: Column) -> Column:
+    """The text without outer spaces and ``_`` if it is a finite decimal literal."""
+    clean = F.regexp_replace(text, TIDY, "")
+    return F.when(clean.rlike(DECIMAL_TEXT), clean)
+
+
+def written_scale(literal: Column) -> Column:
+    """Fraction digits of a literal, moved by its exponent if it has one."""
+    fraction = F.length(F.regexp_extract(literal, "[.]([0-9]*)", 1))
+    power = F.substring_index(F.lower(literal), "e", -1).try_cast("int")
+    return F.greatest(F.when(literal.rlike("[eE]"), fraction - power).otherwise(fraction), F.lit(0))
+
+
+def exact_decimal(literal: Column, precision: int, scale: int) -> Column:
     """Non-negative decimal that fits (precision, scale) with nothing rounded away."""
-    fits = rf"^([+]?0*[0-9]{{0,{precision - scale}}}|-0*)([.][0-9]{{0,{scale}}})?\z"
-    negative = r"^-.*[1-9]"
-    return F.when(plain.rlike(fits) & ~plain.rlike(negative), plain.try_cast(f"decimal({precision},{scale})"))
+    negative = r"^-[0.]*[1-9]"
+    return F.when(
+        (written_scale(literal) <= scale) & ~literal.rlike(negative), literal.try_cast(f"decimal({precision},{scale})")
+    )
 
 
-def canonical_decimal_text(plain: Column) -> Column:
-    """The plain literal without ``+`` or spare zeros in front; scale kept."""
-    text = F.regexp_replace(plain, r"^[+]|[.]\z", "")
+def exact_decimal_text(literal: Column, value: Column, scale: int) -> Column:
+    """Plain notation of a fitting literal, with the scale it was written in."""
+    text = F.regexp_replace(literal, r"^[+]|[.]\z", "")
     text = F.regexp_replace(text, r"^(-?)0+(?=[0-9])", "$1")
-    return F.regexp_replace(text, r"^(-?)(?=[.])", "$10")
+    text = F.regexp_replace(text, r"^(-?)(?=[.])", "$10")
+    places = written_scale(literal)
+    printed = value.cast("string")
+    spare = F.when(places == 0, scale + 1 if scale else 0).otherwise(F.lit(scale) - places)
+    cut = F.substring(printed, F.lit(1), F.length(printed) - spare)
+    return F.when(literal.rlike("[eE]"), cut).otherwise(text)
 
 
 def integer_digits(plain: Column) -> Column:

@@ -26,16 +26,18 @@ class Rule:
     problem: Column
 
 
-def first_failure(rules: Sequence[Rule], row_number: Column) -> Column:
-    """Reason text of the first broken rule, NULL for a good row."""
-    found = [
-        F.when(
-            ~F.coalesce(rule.ok, F.lit(False)),
-            F.concat(F.lit("row "), row_number.cast("string"), F.lit(f": {rule.field} "), rule.problem),
-        )
-        for rule in rules
-    ]
-    return F.substring(F.coalesce(*found), 1, C.REASON_LIMIT)
+def with_reason(df: DataFrame, rules: Sequence[Rule], row_number: str) -> DataFrame:
+    """Adds ``reject_reason``: the first broken rule in words, NULL for a good row.
+
+    First the position of the rule, then its wording, as two small projections.
+    """
+    broken = [F.when(~F.coalesce(rule.ok, F.lit(False)), F.lit(at)) for at, rule in enumerate(rules)]
+    df = df.withColumn("_broken", F.coalesce(*broken))
+    words = F.lit(None).cast("string")
+    for at, rule in reversed(list(enumerate(rules))):
+        words = F.when(F.col("_broken") == at, F.concat(F.lit(f"{rule.field} "), rule.problem)).otherwise(words)
+    text = F.concat(F.lit("row "), F.col(row_number).cast("string"), F.lit(": "), words)
+    return df.withColumn("reject_reason", F.when(F.col("_broken").isNotNull(), F.substring(text, 1, C.REASON_LIMIT))).drop("_broken")
 
 
 def cell(name: str) -> Column:
@@ -49,7 +51,7 @@ def text_column(name: str) -> str:
 
 
 def plain_column(name: str) -> str:
-    """Where the plain-notation text of a decimal cell waits."""
+    """Where the decimal literal of a cell waits; NULL if it is none."""
     return f"_plain_{name}"
 
 
@@ -133,7 +135,7 @@ def apply_market_contract(raw: DataFrame, row_number: str = "source_row_number")
         *[P.half_even_decimal(F.col(plain_column(c))).alias(c) for c in C.MARKET_DECIMALS],
     )
     payload = F.to_json(F.struct(*[text[c].alias(c) for c in C.MARKET_COLUMNS]))
-    judged = parsed.withColumn("reject_reason", first_failure(market_rules(extra), F.col(row_number)))
+    judged = with_reason(parsed, market_rules(extra), row_number)
     return judged.select(
         *lineage,
         "record_hash",
@@ -200,22 +202,20 @@ def apply_risk_contract(raw: DataFrame, row_number: str = "source_row_number") -
         elif name in C.RISK_TEXT_LIMITS:
             value = F.nullif(text[name], F.lit(""))
         else:
-            value = P.nonneg_int(text[name], C.INT16_MAX if name == "VehYear" else C.INT32_MAX)
+            value = P.nonneg_int(text[name], "smallint" if name == "VehYear" else "int")
         typed.append(value.alias(name))
-    decimals = {plain_column(c): text_column(c) for c in C.RISK_DECIMALS}
-    plain = P.with_plain_decimals(with_texts(raw, C.RISK_COLUMNS), decimals)
-    parsed = plain.select(*lineage, *text.values(), *decimals, *typed)
+    literals = {plain_column(c): P.decimal_literal(text[c]) for c in C.RISK_DECIMALS}
+    parsed = with_texts(raw, C.RISK_COLUMNS).withColumns(literals).select(*lineage, *text.values(), *literals, *typed)
     hashed = []
     for name in C.RISK_COLUMNS:
         if name in C.RISK_DECIMALS:
-            hashed.append((name, "decimal", F.col(plain_column(name))))
+            spelled = P.exact_decimal_text(F.col(plain_column(name)), F.col(name), C.RISK_DECIMALS[name][1])
+            hashed.append((name, "decimal", spelled))
         else:
             hashed.append((name, "text" if name in C.RISK_TEXT_LIMITS else "int", F.col(name)))
-    return parsed.select(
-        *lineage,
-        H.typed_record_hash(hashed).alias("record_hash"),
-        first_failure(risk_rules(extra, missing), F.col(row_number)).alias("reject_reason"),
-        *C.RISK_COLUMNS,
+    judged = with_reason(parsed, risk_rules(extra, missing), row_number)
+    return judged.select(
+        *lineage, H.typed_record_hash(hashed).alias("record_hash"), "reject_reason", *C.RISK_COLUMNS
     )
 
 

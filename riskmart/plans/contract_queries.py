@@ -204,8 +204,8 @@ def sql_fit(text: str, precision: int, scale: int) -> str:
   "PremTotal" AS premium_raw, {sql_fit('"PremTotal"', 34, 27)} AS premium_ok FROM fx_risk_raw""",
 )
 def contract_decimal_fit(src: Sources) -> DataFrame:
-    plain = P.with_plain_decimals(src.risk_raw, {"exposure": "ExposTotal", "premium": "PremTotal"})
-    return plain.select(
+    literals = {"exposure": P.decimal_literal(F.col("ExposTotal")), "premium": P.decimal_literal(F.col("PremTotal"))}
+    return src.risk_raw.withColumns(literals).select(
         *KEY,
         F.col("ExposTotal").alias("exposure_raw"),
         P.exact_decimal(F.col("exposure"), *C.RISK_DECIMALS["ExposTotal"]).isNotNull().alias("exposure_ok"),
@@ -225,9 +225,9 @@ def contract_nonneg_int(src: Sources) -> DataFrame:
     return src.risk_raw.select(
         *KEY,
         F.col("VehYear").alias("veh_year_raw"),
-        P.nonneg_int(F.col("VehYear"), C.INT16_MAX).alias("veh_year"),
+        P.nonneg_int(F.col("VehYear"), "smallint").alias("veh_year"),
         F.col("ClaimNbRob").alias("claims_raw"),
-        P.nonneg_int(F.col("ClaimNbRob"), C.INT32_MAX).alias("claims"),
+        P.nonneg_int(F.col("ClaimNbRob")).alias("claims"),
     )
 
 
