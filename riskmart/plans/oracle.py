@@ -75,7 +75,7 @@ FROM fx_market""",
 SELECT batch_id, CASE WHEN y = 1999 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
   n + CASE WHEN y % 4 = 0 THEN 1 ELSE 0 END AS expected_source_rows, n - bad AS accepted_rows, bad AS rejected_rows
 FROM (SELECT batch_id, CAST(substr(batch_id, 8, 4) AS INT) AS y, count(*) AS n,
-  count_if(source_row_number % 97 = 1)::BIGINT AS bad FROM fx_market GROUP BY batch_id)""",
+  count_if(source_row_number % 97 = 1 AND CAST(substr(batch_id, 8, 4) AS INT) % 2 = 0)::BIGINT AS bad FROM fx_market GROUP BY batch_id)""",
     "dim_month": _dim("Month", "SELECT DISTINCT year_month, year(year_month) AS calendar_year, month(year_month) AS calendar_month FROM fx_market",
                       ["year_month", "calendar_year", "calendar_month"], ["year_month"]),
     "dim_company": _dim("Company", "SELECT company_code, min(company_name) AS company_name FROM fx_market GROUP BY 1",
