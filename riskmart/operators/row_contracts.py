@@ -33,9 +33,9 @@ def with_reason(df: DataFrame, rules: Sequence[Rule], row_number: str) -> DataFr
     """
     broken = [F.when(~F.coalesce(rule.ok, F.lit(False)), F.lit(at)) for at, rule in enumerate(rules)]
     df = df.withColumn("_broken", F.coalesce(*broken))
-    words = F.lit(None).cast("string")
-    for at, rule in reversed(list(enumerate(rules))):
-        words = F.when(F.col("_broken") == at, F.concat(F.lit(f"{rule.field} "), rule.problem)).otherwise(words)
+    words = F.when(F.lit(False), F.lit(None).cast("string"))
+    for at, rule in enumerate(rules):
+        words = words.when(F.col("_broken") == at, F.concat(F.lit(f"{rule.field} "), rule.problem))
     text = F.concat(F.lit("row "), F.col(row_number).cast("string"), F.lit(": "), words)
     return df.withColumn("reject_reason", F.when(F.col("_broken").isNotNull(), F.substring(text, 1, C.REASON_LIMIT))).drop("_broken")
 

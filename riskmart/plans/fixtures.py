@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskmart.functions.hashing import text_record_hash
+from riskmart.operators import marts as M
 from riskmart.operators import warehouse as W
 from riskmart.operators.row_contracts import apply_market_contract, apply_risk_contract, split_rows
 from riskmart.session import tune
@@ -292,6 +293,28 @@ class Sources:
             (base * weight).cast("decimal(12,10)").alias("score"),
         )
 
+    # -- marts: small, written once, read by every analytic -------------------
+
+    @property
+    def monthly(self) -> DataFrame:
+        return self.table("mart_monthly", lambda: M.monthly(self.fact_market, self.market_dims))
+
+    @property
+    def companies(self) -> DataFrame:
+        return self.table("mart_companies", lambda: M.by_year(self.fact_market, self.market_dims, "company"))
+
+    @property
+    def products(self) -> DataFrame:
+        return self.table("mart_products", lambda: M.by_year(self.fact_market, self.market_dims, "product"))
+
+    @property
+    def segments(self) -> DataFrame:
+        return self.table("mart_segments", lambda: M.risk_segments(self.fact_risk, self.risk_dims))
+
+    @property
+    def bands(self) -> DataFrame:
+        return self.table("mart_bands", lambda: M.score_bands(self.scores, self.fact_risk, self.risk_dims))
+
     # -- events: change feed and load history --------------------------------
 
     @cached_property
