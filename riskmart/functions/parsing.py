@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 CANONICAL_INT = r"^(0|-?[1-9][0-9]*)\z"
 MONTH_START = r"^[0-9]{4}-[0-9]{2}-01\z"
 DECIMAL_TEXT = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,9})?\z"
+EDGE_SPACE = r"^\s+|\s+\z"
 TIDY = r"^\s+|\s+\z|_"
 INTEGER_TEXT = r"^\s*[+-]?[0-9]+(_[0-9]+)*\s*\z"
 NONNEGATIVE_TEXT = r"^\s*([+]?[0-9]+(_[0-9]+)*|-0+(_0+)*)\s*\z"
@@ -116,9 +117,8 @@ def decimal_literal(text: Column) -> Column:
 
 def written_scale(literal: Column) -> Column:
     """Fraction digits of a literal, moved by its exponent if it has one."""
-    fraction = F.length(F.regexp_extract(literal, "[.]([0-9]*)", 1))
-    power = F.substring_index(F.lower(literal), "e", -1).try_cast("int")
-    return F.greatest(F.when(literal.rlike("[eE]"), fraction - power).otherwise(fraction), F.lit(0))
+    power = F.when(literal.rlike("[eE]"), F.substring_index(F.lower(literal), "e", -1).try_cast("int")).otherwise(0)
+    return F.greatest(F.length(F.regexp_extract(literal, "[.]([0-9]*)", 1)) - power, F.lit(0))
 
 
 def exact_decimal(literal: Column, precision: int, scale: int) -> Column:
@@ -129,16 +129,14 @@ def exact_decimal(literal: Column, precision: int, scale: int) -> Column:
     )
 
 
-def exact_decimal_text(literal: Column, value: Column, scale: int) -> Column:
+def exact_decimal_text(literal: Column, value: Column) -> Column:
     """Plain notation of a fitting literal, with the scale it was written in."""
-    text = F.regexp_replace(literal, r"^[+]|[.]\z", "")
+    shape = F.concat(F.lit("^-?[0-9]+[.][0-9]{"), written_scale(literal).cast("string"), F.lit("}"))
+    unfolded = F.regexp_substr(value.cast("string"), shape)
+    text = F.when(literal.rlike("[eE]"), unfolded).otherwise(literal)
+    text = F.regexp_replace(text, r"^[+]|[.]\z", "")
     text = F.regexp_replace(text, r"^(-?)0+(?=[0-9])", "$1")
-    text = F.regexp_replace(text, r"^(-?)(?=[.])", "$10")
-    places = written_scale(literal)
-    printed = value.cast("string")
-    spare = F.when(places == 0, scale + 1 if scale else 0).otherwise(F.lit(scale) - places)
-    cut = F.substring(printed, F.lit(1), F.length(printed) - spare)
-    return F.when(literal.rlike("[eE]"), cut).otherwise(text)
+    return F.regexp_replace(text, r"^(-?)(?=[.])", "$10")
 
 
 def integer_digits(plain: Column) -> Column:

@@ -209,7 +209,7 @@ def apply_risk_contract(raw: DataFrame, row_number: str = "source_row_number") -
     hashed = []
     for name in C.RISK_COLUMNS:
         if name in C.RISK_DECIMALS:
-            spelled = P.exact_decimal_text(F.col(plain_column(name)), F.col(name), C.RISK_DECIMALS[name][1])
+            spelled = P.exact_decimal_text(F.col(plain_column(name)), F.col(name))
             hashed.append((name, "decimal", spelled))
         else:
             hashed.append((name, "text" if name in C.RISK_TEXT_LIMITS else "int", F.col(name)))

@@ -149,7 +149,15 @@ def fact_risk(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
         for c in attributes:
             condition = condition & fact[c].eqNullSafe(F.col(f"_{c}"))
         fact = fact.join(broadcast_if_small(dim), condition).drop(*[f"_{c}" for c in attributes])
-    return with_claim_measures(fact)
+    described = {c for _, attributes in (DRIVER, VEHICLE, GEOGRAPHY) for c in attributes}
+    return with_claim_measures(fact.drop(*described))
+
+
+def described_risk(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Risk facts with the attributes of their three dimensions."""
+    for name, dim in dims.items():
+        fact = fact.join(broadcast_if_small(dim.drop("natural_hash")), f"{name}_key")
+    return fact
 
 
 def with_claim_measures(staging: DataFrame) -> DataFrame:
