@@ -305,14 +305,16 @@ def precision_profile(df: DataFrame, columns: Sequence[str], file: str = "source
         F.coalesce(F.max("places"), F.lit(0)).alias("max_fraction_digits"),
     )
     out = widest
-    for measure, limit, prefix in (("places", "max_fraction_digits", "fraction"), ("whole", "max_integer_digits", "integer")):
-        reached = shapes.join(widest.select("column_name", limit), "column_name").where(
-            (F.col(measure) == F.col(limit)) & (F.col(limit) > 0)
-        )
-        order = Window.partitionBy("column_name").orderBy(file, "first_row")
-        first = reached.withColumn("_at", F.row_number().over(order)).where("_at = 1")
+    for measure, prefix in (("places", "fraction"), ("whole", "integer")):
+        order = Window.partitionBy("column_name").orderBy(F.col(measure).desc_nulls_last(), file, "first_row")
+        first = shapes.withColumn("_at", F.row_number().over(order)).where("_at = 1")
+        reached = F.col(measure) > 0
         out = out.join(
-            first.select("column_name", F.col(file).alias(f"{prefix}_file"), F.col("first_row").alias(f"{prefix}_row")),
+            first.select(
+                "column_name",
+                F.when(reached, F.col(file)).alias(f"{prefix}_file"),
+                F.when(reached, F.col("first_row")).alias(f"{prefix}_row"),
+            ),
             "column_name",
             "left",
         )

@@ -67,7 +67,7 @@ _CODE = "TRY_CAST(company_code AS BIGINT)"
     "profile_dates",
     f"""SELECT 'year_month' AS column_name, count_if(year_month = '')::BIGINT AS null_count, count_if(year_month <> '' AND {_DAY} IS NULL)::BIGINT AS invalid_count,
   CAST(min({_DAY}) AS VARCHAR) AS min, CAST(max({_DAY}) AS VARCHAR) AS max, CAST(NULL AS BIGINT) AS cardinality FROM fx_market_raw
-UNION ALL SELECT 'company_code', count_if(company_code = ''), count_if(company_code <> '' AND {_CODE} IS NULL), CAST(min({_CODE}) AS VARCHAR), CAST(max({_CODE}) AS VARCHAR),
+UNION ALL SELECT 'company_code', count_if(company_code = '')::BIGINT, count_if(company_code <> '' AND {_CODE} IS NULL)::BIGINT, CAST(min({_CODE}) AS VARCHAR), CAST(max({_CODE}) AS VARCHAR),
   count(DISTINCT {_CODE}) FROM fx_market_raw""",
 )
 def profile_dates(src: Sources) -> DataFrame:
