@@ -1,9 +1,8 @@
 """Idempotent consumption of a change feed with Structured Streaming.
 
-Consumed changes are a Parquet table partitioned by consumer. Each micro-batch
-appends only changes whose key (consumer, LSN, sequence, op) is not stored yet,
-so a replay adds nothing. The stored watermark limits how much of the history
-a batch is compared with.
+Each micro-batch appends only changes whose key (consumer, LSN, sequence, op) is
+not stored yet, so a replay adds nothing. The watermark is a record of how far a
+consumer got; correctness never rests on it.
 """
 
 from __future__ import annotations
@@ -14,16 +13,26 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 CHANGE_KEY = ("lsn", "seq", "op")
-CONSUMED_SCHEMA = "consumer string, run_id bigint, lsn bigint, seq bigint, op int, consumed_at timestamp, watermark_lsn bigint"
+CONSUMED_SCHEMA = "consumer string, run_id bigint, lsn bigint, seq bigint, op int, consumed_at timestamp"
+WATERMARK_SCHEMA = "consumer string, lsn bigint, seq bigint, updated_at timestamp"
 EXPECTED_OPS = {2: 2, 3: 1, 4: 1}
 
 
-def read_consumed(spark: SparkSession, path: str) -> DataFrame:
-    """Stored changes; empty before the first batch."""
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.schema(CONSUMED_SCHEMA).parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException:
-        return spark.createDataFrame([], CONSUMED_SCHEMA)
+        return spark.createDataFrame([], schema)
+
+
+def read_consumed(spark: SparkSession, root: str) -> DataFrame:
+    """Stored changes; empty before the first batch."""
+    return _read(spark, f"{root}/changes", CONSUMED_SCHEMA)
+
+
+def read_watermarks(spark: SparkSession, root: str) -> DataFrame:
+    """Current watermark per consumer. Watermark rows are only appended."""
+    return watermarks(_read(spark, f"{root}/watermarks", WATERMARK_SCHEMA))
 
 
 def unconsumed(changes: DataFrame, consumed: DataFrame, consumer: str) -> DataFrame:
@@ -54,8 +63,8 @@ def ordered(changes: DataFrame) -> DataFrame:
     return changes.orderBy("lsn", "seq", "op")
 
 
-def consume_batch(changes: DataFrame, path: str, consumer: str) -> None:
-    """Appends the new changes of one micro-batch.
+def consume_batch(changes: DataFrame, root: str, consumer: str) -> None:
+    """Appends the new changes of one micro-batch, then the watermark it reached.
 
     Only stored changes from the batch's own lowest LSN on can collide with it,
     so older history is pruned from the comparison.
@@ -64,25 +73,22 @@ def consume_batch(changes: DataFrame, path: str, consumer: str) -> None:
     lowest = changes.agg(F.min("lsn")).first()[0]
     if lowest is None:
         return
-    consumed = read_consumed(spark, path).where(F.col("lsn") >= lowest)
-    fresh = unconsumed(changes, consumed, consumer)
-    top = changes.agg(F.max("lsn").alias("lsn"))
+    fresh = unconsumed(changes, read_consumed(spark, root).where(F.col("lsn") >= lowest), consumer)
+    name = F.lit(consumer).alias("consumer")
     fresh.select(
-        F.lit(consumer).alias("consumer"),
-        "run_id",
-        "lsn",
-        "seq",
-        F.col("op").cast("int").alias("op"),
-        F.current_timestamp().alias("consumed_at"),
-        top.scalar().alias("watermark_lsn"),
-    ).write.mode("append").parquet(path)
+        name, "run_id", "lsn", "seq", F.col("op").cast("int").alias("op"), F.current_timestamp().alias("consumed_at")
+    ).write.mode("append").parquet(f"{root}/changes")
+    reached = watermarks(changes.select(name, "lsn", "seq"))
+    reached.select(
+        "consumer", F.col("last_lsn").alias("lsn"), F.col("last_seq").alias("seq"), F.current_timestamp().alias("updated_at")
+    ).write.mode("append").parquet(f"{root}/watermarks")
 
 
-def start_consumer(spark: SparkSession, feed: str, schema: str, path: str, checkpoint: str, consumer: str) -> StreamingQuery:
+def start_consumer(spark: SparkSession, feed: str, schema: str, root: str, checkpoint: str, consumer: str) -> StreamingQuery:
     """Consumes everything the feed folder holds, then stops (``availableNow``)."""
     changes = spark.readStream.schema(schema).parquet(feed)
     return (
-        changes.writeStream.foreachBatch(lambda df, _: consume_batch(df, path, consumer))
+        changes.writeStream.foreachBatch(lambda df, _: consume_batch(df, root, consumer))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
