@@ -22,7 +22,9 @@ def text_record_hash(cells: Sequence[Column]) -> Column:
 
 def _json_text(value: Column) -> Column:
     quoted = F.to_json(F.array(value))
-    return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    escaped = F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    plain = F.concat(F.lit('"'), value, F.lit('"'))
+    return F.when(value.rlike(r'["\\\x00-\x1f]'), escaped).otherwise(plain)
 
 
 def typed_record_hash(fields: Sequence[tuple[str, str, Column]]) -> Column:
@@ -39,8 +41,7 @@ def typed_record_hash(fields: Sequence[tuple[str, str, Column]]) -> Column:
             body = column.cast("string")
         else:
             body = F.concat(F.lit('"'), column, F.lit('"'))
-        value = F.when(column.isNull(), F.lit("null")).otherwise(body)
-        pieces.append(F.concat(F.lit(f'["{name}",'), value, F.lit("]")))
+        pieces.append(F.concat(F.lit(f'["{name}",'), F.coalesce(body, F.lit("null")), F.lit("]")))
     return sha256_upper(F.concat(F.lit("["), F.concat_ws(",", *pieces), F.lit("]")))
 
 

@@ -43,7 +43,8 @@ def loose_int(text: Column) -> Column:
 
 def nonneg_int(text: Column, kind: str = "int") -> Column:
     """Non-negative integer of a Spark type (``int`` or ``smallint``), as int."""
-    return F.when(text.rlike(NONNEGATIVE_TEXT), F.regexp_replace(text, r"[\s_]", "").try_cast(kind).cast("int"))
+    plain = F.when(text.rlike(r"^[0-9]+\z"), text).when(text.rlike(NONNEGATIVE_TEXT), F.regexp_replace(text, r"[\s_]", ""))
+    return plain.try_cast(kind).cast("int")
 
 
 def with_plain_decimals(df: DataFrame, texts: Mapping[str, str]) -> DataFrame:
@@ -56,17 +57,25 @@ def with_plain_decimals(df: DataFrame, texts: Mapping[str, str]) -> DataFrame:
     """
     kept = df.columns
     df = df.withColumns({f"_tidy_{o}": F.regexp_replace(F.col(i), TIDY, "") for o, i in texts.items()})
+    # Only exponents need the pieces below; elsewhere they stay NULL and cost nothing.
     df = df.withColumns({
-        f"_digits_{o}": F.regexp_replace(F.regexp_extract(f"_tidy_{o}", "^[+-]?([0-9.]*)", 1), "[.]", "") for o in texts
+        f"_digits_{o}": F.when(
+            F.col(f"_tidy_{o}").rlike("[eE]"),
+            F.regexp_replace(F.regexp_extract(f"_tidy_{o}", "^[+-]?([0-9.]*)", 1), "[.]", ""),
+        )
+        for o in texts
     })
     df = df.withColumns({
-        f"_scale_{o}": F.greatest(
-            F.least(
-                F.length(F.regexp_extract(f"_tidy_{o}", "[.]([0-9]*)", 1))
-                - F.substring_index(F.lower(f"_tidy_{o}"), "e", -1).try_cast("int"),
-                F.length(f"_digits_{o}") + 40,
+        f"_scale_{o}": F.when(
+            F.col(f"_digits_{o}").isNotNull(),
+            F.greatest(
+                F.least(
+                    F.length(F.regexp_extract(f"_tidy_{o}", "[.]([0-9]*)", 1))
+                    - F.substring_index(F.lower(f"_tidy_{o}"), "e", -1).try_cast("int"),
+                    F.length(f"_digits_{o}") + 40,
+                ),
+                F.lit(-64),
             ),
-            F.lit(-64),
         )
         for o in texts
     })
@@ -92,7 +101,7 @@ def with_plain_decimals(df: DataFrame, texts: Mapping[str, str]) -> DataFrame:
         *[
             F.when(
                 F.col(f"_tidy_{o}").rlike(DECIMAL_TEXT),
-                F.when(F.col(f"_tidy_{o}").rlike("[eE]"), spelled(o)).otherwise(F.col(f"_tidy_{o}")),
+                F.when(F.col(f"_digits_{o}").isNotNull(), spelled(o)).otherwise(F.col(f"_tidy_{o}")),
             ).alias(o)
             for o in texts
         ],
@@ -112,7 +121,7 @@ def half_even_decimal(plain: Column, places: int = 18, integer_limit: int = 20)
 def decimal_literal(text: Column) -> Column:
     """The text without outer spaces and ``_`` if it is a finite decimal literal."""
     clean = F.regexp_replace(text, TIDY, "")
-    return F.when(clean.rlike(DECIMAL_TEXT), clean)
+    return F.when(text.rlike(DECIMAL_TEXT), text).when(clean.rlike(DECIMAL_TEXT), clean)
 
 
 def written_scale(literal: Column) -> Column:
@@ -122,11 +131,14 @@ def written_scale(literal: Column) -> Column:
 
 
 def exact_decimal(literal: Column, precision: int, scale: int) -> Column:
-    """Non-negative decimal that fits (precision, scale) with nothing rounded away."""
-    negative = r"^-[0.]*[1-9]"
-    return F.when(
-        (written_scale(literal) <= scale) & ~literal.rlike(negative), literal.try_cast(f"decimal({precision},{scale})")
-    )
+    """Non-negative decimal that fits (precision, scale) with nothing rounded away.
+
+    Plain digits, the usual case, take one pattern; signs and exponents take the
+    longer way.
+    """
+    usual = literal.rlike(rf"^[0-9]{{1,{precision - scale}}}([.][0-9]{{0,{scale}}})?\z")
+    unusual = (written_scale(literal) <= scale) & ~literal.rlike(r"^-[0.]*[1-9]")
+    return F.when(F.when(usual, True).otherwise(unusual), literal.try_cast(f"decimal({precision},{scale})"))
 
 
 def exact_decimal_text(literal: Column, value: Column) -> Column:
@@ -136,7 +148,8 @@ def exact_decimal_text(literal: Column, value: Column) -> Column:
     text = F.when(literal.rlike("[eE]"), unfolded).otherwise(literal)
     text = F.regexp_replace(text, r"^[+]|[.]\z", "")
     text = F.regexp_replace(text, r"^(-?)0+(?=[0-9])", "$1")
-    return F.regexp_replace(text, r"^(-?)(?=[.])", "$10")
+    text = F.regexp_replace(text, r"^(-?)(?=[.])", "$10")
+    return F.when(literal.rlike(r"^(0|[1-9][0-9]*)([.][0-9]+)?\z"), literal).otherwise(text)
 
 
 def integer_digits(plain: Column) -> Column:

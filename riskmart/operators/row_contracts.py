@@ -17,6 +17,11 @@ class SourceContractError(ValueError):
     """A source breaks a hard rule of its contract."""
 
 
+# A row mark made where the values are parsed. Spark pushes no filter below a
+# column like this, so a filter on the reason cannot copy the parsers into itself.
+MARK = "_mark"
+
+
 @dataclass(frozen=True)
 class Rule:
     """``ok`` must hold; ``problem`` says what is wrong when it does not."""
@@ -33,11 +38,11 @@ def with_reason(df: DataFrame, rules: Sequence[Rule], row_number: str) -> DataFr
     """
     broken = [F.when(~F.coalesce(rule.ok, F.lit(False)), F.lit(at)) for at, rule in enumerate(rules)]
     df = df.withColumn("_broken", F.coalesce(*broken))
-    words = F.when(F.lit(False), F.lit(None).cast("string"))
-    for at, rule in enumerate(rules):
-        words = words.when(F.col("_broken") == at, F.concat(F.lit(f"{rule.field} "), rule.problem))
-    text = F.concat(F.lit("row "), F.col(row_number).cast("string"), F.lit(": "), words)
-    return df.withColumn("reject_reason", F.when(F.col("_broken").isNotNull(), F.substring(text, 1, C.REASON_LIMIT))).drop("_broken")
+    # One lookup, not a branch per rule: a filter pushed down here must not copy the rules many times.
+    words = F.array(*[F.concat(F.lit(f": {rule.field} "), rule.problem) for rule in rules])
+    text = F.concat(F.lit("row "), F.col(row_number).cast("string"), F.element_at(words, F.col("_broken") + 1))
+    found = F.col("_broken").isNotNull() & (F.col(MARK) >= 0)
+    return df.withColumn("reject_reason", F.when(found, F.substring(text, 1, C.REASON_LIMIT))).drop("_broken", MARK)
 
 
 def cell(name: str) -> Column:
@@ -125,6 +130,7 @@ def apply_market_contract(raw: DataFrame, row_number: str = "source_row_number")
     decimals = {plain_column(c): text_column(c) for c in C.MARKET_DECIMALS}
     plain = P.with_plain_decimals(with_texts(raw, C.MARKET_COLUMNS), decimals)
     parsed = plain.select(
+        F.monotonically_increasing_id().alias(MARK),
         *lineage,
         *text.values(),
         *decimals,
@@ -158,8 +164,7 @@ def apply_market_contract(raw: DataFrame, row_number: str = "source_row_number")
 def split_rows(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): the quarantine policy.
 
-    Pass rows that are already written: a filter on the reason of a lazy plan
-    would be pushed below the parsers and evaluate them a second time.
+    Pass rows that are already written, or both sides parse the source again.
     """
     accepted = checked.filter(F.col("reject_reason").isNull()).drop("reject_reason", "raw_payload")
     rejected = checked.filter(F.col("reject_reason").isNotNull())
@@ -205,7 +210,9 @@ def apply_risk_contract(raw: DataFrame, row_number: str = "source_row_number") -
             value = P.nonneg_int(text[name], "smallint" if name == "VehYear" else "int")
         typed.append(value.alias(name))
     literals = {plain_column(c): P.decimal_literal(text[c]) for c in C.RISK_DECIMALS}
-    parsed = with_texts(raw, C.RISK_COLUMNS).withColumns(literals).select(*lineage, *text.values(), *literals, *typed)
+    parsed = with_texts(raw, C.RISK_COLUMNS).withColumns(literals).select(
+        F.monotonically_increasing_id().alias(MARK), *lineage, *text.values(), *literals, *typed
+    )
     hashed = []
     for name in C.RISK_COLUMNS:
         if name in C.RISK_DECIMALS:

@@ -18,7 +18,7 @@ from riskmart.operators import marts as M
 from riskmart.operators import warehouse as W
 from riskmart.operators.row_contracts import apply_market_contract, apply_risk_contract, split_rows
 from riskmart.session import tune
-from riskmart.sources.tables import new_folder, scan_with_ordinals, write_table
+from riskmart.sources.tables import new_folder, scan_with_ordinals, spread, write_table
 
 RISK_ATTRIBUTES = ("gender", "driv_age", "veh_year", "veh_model", "veh_group", "area", "state", "state_ab")
 RECORD_HASH_COLUMNS = (*RISK_ATTRIBUTES, "expos_total", "claim_nb_rob", "claim_nb_other")
@@ -141,7 +141,7 @@ class Sources:
     @property
     def market_checked(self) -> DataFrame:
         """Judged rows, written once: both sides of the split then read, not parse."""
-        return self.table("market_checked", lambda: apply_market_contract(self.market_raw))
+        return self.table("market_checked", lambda: apply_market_contract(spread(self.market_raw)))
 
     @cached_property
     def market_split(self) -> tuple[DataFrame, DataFrame]:
@@ -265,7 +265,7 @@ class Sources:
 
     @property
     def risk_checked(self) -> DataFrame:
-        return self.table("risk_checked", lambda: apply_risk_contract(self.risk_raw))
+        return self.table("risk_checked", lambda: apply_risk_contract(spread(self.risk_raw)))
 
     @cached_property
     def risk_dims(self) -> dict[str, DataFrame]:

@@ -59,6 +59,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/riskmart-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Splits the rows of a few-file table over all cores before CPU-heavy work.
+
+    Decided on the file count alone; a table with enough files is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def scan_with_ordinals(spark: SparkSession, path: str, name: str = "ordinal") -> DataFrame:
     """Rows numbered from 1 in file order, without a shuffle of the rows.
 
@@ -69,7 +78,7 @@ def scan_with_ordinals(spark: SparkSession, path: str, name: str = "ordinal") ->
     columns = df.columns
     df = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
     if len(df.inputFiles()) == 1:
-        return df.select(*columns, (F.col("_row") + 1).alias(name))
+        return spread(df.select(*columns, (F.col("_row") + 1).alias(name)))
     counts = df.groupBy("_path").agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_path", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))

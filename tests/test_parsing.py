@@ -79,7 +79,7 @@ def test_decimals_and_integers_match_python(spark):
         P.exact_decimal_text(literal, fitted).alias("spelled"),
         P.loose_int(F.col("t")).alias("whole"),
         P.canonical_int(F.col("t")).alias("code"),
-        P.nonneg_int(F.col("t")).alias("count"),
+        P.nonneg_int(F.col("t")).alias("nonneg"),
     )
     for r in df.collect():
         assert r.rounded == half_even(r.t), r
@@ -91,7 +91,7 @@ def test_decimals_and_integers_match_python(spark):
         assert (None if r.whole is None else int(r.whole)) == number, r
         inside = number is not None and -(2**31) <= number < 2**31
         assert r.code == (number if inside and str(number) == r.t else None), r
-        assert r.count == (number if inside and number >= 0 else None), r
+        assert r.nonneg == (number if inside and number >= 0 else None), r
 
 
 def test_month_start(spark):
