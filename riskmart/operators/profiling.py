@@ -10,11 +10,11 @@ from pyspark.sql.window import Window
 
 from riskmart.contracts import NULL_SENTINELS
 from riskmart.functions import parsing as P
-from riskmart.operators.ranks import running_totals, slice_by_bounds
+from riskmart.operators.ranks import slice_by_bounds
 
 QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 TOP = 10
-SLICES = 32
+SLICES = 64
 
 
 def stack_columns(df: DataFrame, columns: Sequence[str], kind: str = "string") -> DataFrame:
@@ -197,9 +197,9 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per (column, level).
 
-    Values are counted first, so a hot value is one row. Distinct values are cut
-    into slices of their order; running counts per slice then place each rank.
-    A single-task sort or value map per column is never needed.
+    A first pass counts rows per slice of the value axis, which tells the slices
+    the wanted ranks fall in. Only values of those slices are shuffled, counted
+    (so a hot value is one row) and ranked. No task sorts or holds a whole column.
     """
     bounds = slice_bounds(df, columns, slices)
     pieces = F.array(
@@ -213,22 +213,41 @@ def exact_quantiles(
         ]
     )
     stacked = df.select(F.inline(pieces)).where("value IS NOT NULL")
-    counts = stacked.groupBy("column_name", "slice", "value").agg(F.count("*").alias("n"))
-    sizes = counts.groupBy("column_name").agg(F.sum("n").alias("total"))
-    ranked = running_totals(counts, "value", F.col("slice"), ("n",), ("column_name",)).join(sizes, "column_name")
-    level = F.explode(F.array(*[F.lit(q) for q in levels]))
-    # The value at 0-based rank r is the one whose running count first exceeds r.
+    per_slice = stacked.groupBy("column_name", "slice").agg(F.count("*").alias("rows"))
+    whole = Window.partitionBy("column_name")
+    upto = whole.orderBy("slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     position = F.col("level") * (F.col("total") - 1)
-    first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
-    low, high = F.floor(position), F.ceil(position)
+    start = F.col("upto") - F.col("rows")
+
+    def holds(rank: Column) -> Column:
+        return (rank >= start) & (rank < F.col("upto"))
+
+    # At most two (slice, level) pairs per level and column, so this stays tiny.
+    targets = (
+        per_slice.withColumns({"upto": F.sum("rows").over(upto), "total": F.sum("rows").over(whole)})
+        .withColumn("level", F.explode(F.array(*[F.lit(q) for q in levels])))
+        .withColumn("position", position)
+        .where(holds(F.floor("position")) | holds(F.ceil("position")))
+        .select("column_name", "slice", "level", "position", start.alias("start"))
+    )
+    wanted = F.broadcast(targets.select("column_name", "slice").distinct())
+    counts = (
+        stacked.join(wanted, ["column_name", "slice"], "left_semi")
+        .groupBy("column_name", "slice", "value")
+        .agg(F.count("*").alias("n"))
+    )
+    inside = Window.partitionBy("column_name", "slice").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.withColumn("cum_n", F.sum("n").over(inside))
+
+    # The value at 0-based rank r is the one whose running count first exceeds r.
+    last = F.col("start") + F.col("cum_n") - 1
+    first = last - F.col("n") + 1
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= first) & (rank <= last), F.col("value")))
 
     picked = (
-        ranked.withColumn("level", level)
-        .withColumn("position", position)
-        .where(((low >= first) & (low <= last)) | ((high >= first) & (high <= last)))
+        ranked.join(targets, ["column_name", "slice"])
         .groupBy("column_name", "level", "position")
         .agg(at(F.floor("position")).alias("low"), at(F.ceil("position")).alias("high"))
     )

@@ -56,7 +56,7 @@ def brute_ap(pairs):
 
 def test_ranking_metrics_match_brute_force(spark):
     rng = random.Random(11)
-    pairs = [(round(min(1, max(0, rng.gauss(0.4 + 0.2 * y, 0.2))), 2), y) for y in (int(rng.random() < 0.3) for _ in range(400))]
+    pairs = [(round(min(1.0, max(0.0, rng.gauss(0.4 + 0.2 * y, 0.2))), 2), y) for y in (int(rng.random() < 0.3) for _ in range(400))]
     df = spark.createDataFrame(pairs, "score double, has_claim int").withColumn("score", F.col("score").cast("decimal(12,10)"))
     row = L.ranking_metrics(df).first()
     assert abs(row.roc_auc - brute_auc(pairs)) < 1e-12
