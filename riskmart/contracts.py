@@ -104,7 +104,9 @@ MARKET_STAGING_COLUMNS = (
     "claim_premium_ratio_raw",
     "claim_premium_ratio",
 )
-RISK_LINEAGE_COLUMNS = ("batch_id", "source_file", "source_row_number", "record_hash", "loaded_at")
+RISK_STAGING_COLUMNS = (
+    "batch_id", "source_file", "source_version", "source_row_number", "record_hash", "loaded_at", *RISK_COLUMNS,
+)
 
 # Label the marts give to a missing attribute, and its spelling in exports.
 UNKNOWN_LABEL = "Không rõ"
@@ -114,7 +116,6 @@ NULL_SENTINELS = ("", "NA", "N/A", "NULL")
 SNAPSHOT_SCHEMA_VERSION = 1
 SCORE_THRESHOLD = 0.5
 SCORE_BANDS = 20
-MODEL_FEATURES = ("Gender", "DrivAge", "VehYear", "VehModel", "VehGroup", "Area", "StateAb")
 POSITIVE_GROUP_QUOTA = 18_474
 NEGATIVE_GROUP_QUOTA = 81_526
 TRAIN_CAPS = (4_000, 24_000, 60_000)

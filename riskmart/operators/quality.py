@@ -224,6 +224,7 @@ RISK_FACT_RULES = {
         )
     ),
 }
+COLUMNS_CHECK = Check("STG_REQUIRED_COLUMNS", STG, "Staging must have exactly its declared columns")
 RISK_CHECKS = {
     "partition": Check("STG_PARTITION_RECONCILIATION", STG, "Every manifest file must have its expected rows"),
     "identity": Check("STG_TECHNICAL_IDENTITY_DUPLICATE", STG, "File and row number must be unique"),
@@ -269,8 +270,9 @@ MARKET_LINEAGE = ("batch_id", "premiums", "claims", "claim_premium_ratio")
 
 def risk_gate(
     staging: DataFrame, fact: DataFrame, dims: Mapping[str, DataFrame], manifest: DataFrame,
-    known_duplicates: int = 0, inject_failure: bool = False,
+    known_duplicates: int = 0, inject_failure: bool = False, layout: Sequence[str] | None = None,
 ) -> DataFrame:
+    """All risk rules; with ``layout`` also the declared staging columns."""
     c = RISK_CHECKS
     audit = Check(c["logical"].name, STG, c["logical"].detail, WARNING, known_duplicates)
     results = [
@@ -286,13 +288,16 @@ def risk_gate(
         lineage(fact, staging, ("record_hash",), c["lineage"]),
         natural_key_duplicates(dims, c["dims"]),
     ]
+    if layout is not None:
+        results.append(required_columns(staging, layout, COLUMNS_CHECK))
     return verdicts(results, warnings_pass=True, inject_failure=inject_failure)
 
 
 def market_gate(
     staging: DataFrame, rejected: DataFrame, batches: DataFrame, fact: DataFrame, dims: Mapping[str, DataFrame],
-    reconciliations: DataFrame, inject_failure: bool = False,
+    reconciliations: DataFrame, inject_failure: bool = False, layout: Sequence[str] | None = None,
 ) -> DataFrame:
+    """All market rules and warnings; with ``layout`` also the declared staging columns."""
     c = MARKET_CHECKS
     results = [
         fused_scan(staging, {**MARKET_ROW_RULES, **MARKET_WARNINGS}),
@@ -308,6 +313,8 @@ def market_gate(
         natural_key_duplicates(dims, c["dims"]),
         missing_reconciliation(batches, reconciliations, c["recon"]),
     ]
+    if layout is not None:
+        results.append(required_columns(staging, layout, COLUMNS_CHECK))
     return verdicts(results, inject_failure=inject_failure)
 
 

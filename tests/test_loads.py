@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskmart import contracts as C
+from riskmart.operators import batches as B
 from riskmart.operators import quality as Q
 from riskmart.operators import warehouse as W
 from riskmart.operators.row_contracts import SourceContractError
@@ -98,6 +99,11 @@ def test_market_load_publish_skip_and_retry(spark, tmp_path):
         J.load_market(spark, path, root, manifest(spark, ("m.csv", 50, size + 1, True)))
 
     staging = store.published()
+    assert Q.required_columns(staging, C.MARKET_STAGING_COLUMNS, Q.COLUMNS_CHECK).first().observed == 0
+    assert Q.required_columns(staging.drop("state"), C.MARKET_STAGING_COLUMNS, Q.COLUMNS_CHECK).first().observed == 1
+    assert B.successful(store.batches()) == 1
+    with pytest.raises(RuntimeError, match="at least 5"):
+        B.successful(store.batches(), 5)
     dims = W.market_dimensions(staging)
     fact = W.fact_market(staging, dims, store.batches())
     assert fact.count() == 48
@@ -119,6 +125,7 @@ def test_risk_load_is_all_or_nothing(spark, tmp_path):
     store = J.Store(spark, root, C.RISK)
     assert store.published().select("source_file").distinct().count() == 1
     assert store.rows("staging").count() == 2
+    assert Q.required_columns(store.published(), C.RISK_STAGING_COLUMNS, Q.COLUMNS_CHECK).first().observed == 0
     assert J.load_risk(spark, [good], root, listed)[0].outcome == "SKIPPED"
     with pytest.raises(SourceContractError, match="manifest"):
         J.load_risk(spark, [write("z.csv", {})], root, listed)
