@@ -46,8 +46,9 @@ def write_table(
     spark = df.sparkSession
     layout = [*partition_by, *sort_by]
     if layout:
-        count = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df = df.repartitionByRange(count, *layout).sortWithinPartitions(*layout)
+        # Without a fixed count, adaptive execution may merge small partitions.
+        df = df.repartitionByRange(partitions, *layout) if partitions else df.repartitionByRange(*layout)
+        df = df.sortWithinPartitions(*layout)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
