@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import quality_rules
+from riskmart.llm import quality_rules, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +60,8 @@ SELECT *, rule_bits & 3 <> 0 AS base_failed, rule_bits = 0 AS kept, 'v2' AS poli
 @query("op9_quality_rules", OP9_SQL)
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(quality_rules.ledger(table(spark, folder, "documents")))
+
+
+@query("op6_token_counts")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
