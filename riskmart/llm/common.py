@@ -10,6 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def crc_mod(column: str, divisor: int):
 def text_pieces(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that the texts of a piece take few MB; a longer text is a piece of its own."""
     texts = batch.column("text")
-    sizes = np.array([0 if n is None else n for n in pa.compute.binary_length(texts).to_pylist()], dtype=np.int64)
+    sizes = np.array([0 if n is None else n for n in pc.binary_length(texts).to_pylist()], dtype=np.int64)
     start, total = 0, 0
     for at, n in enumerate(sizes):
         if total and total + n > limit:

@@ -17,6 +17,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
@@ -133,7 +134,7 @@ def count_batches(path: str):
                     fresh = list(known)[len(counts) :]
                     counts = np.concatenate([counts, model.counts([t.encode() for t in fresh])])
                 totals = [int(counts[ids].sum()) + n for ids, n in zip(numbered, extra, strict=True)]
-                sizes = pa.compute.fill_null(pa.compute.binary_length(piece.column("text")), 0)
+                sizes = pc.fill_null(pc.binary_length(piece.column("text")), 0)
                 yield record(SCHEMA, [piece.column("doc_id"), sizes.cast(pa.int64()), totals])
 
     return run
