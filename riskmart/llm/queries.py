@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import quality_rules, secrets, token_counts
+from riskmart.llm import language_id, quality_rules, secrets, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_secrets")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(table(spark, folder, "documents"))
+
+
+@query("op1_language_id")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
