@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import language_id, quality_rules, secrets, token_counts
+from riskmart.llm import language_id, quality_rules, secrets, sharding, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +75,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_language_id")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(table(spark, folder, "documents"))
+
+
+@query("op7_sharding")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return sharding.shards(table(spark, folder, "documents"))
