@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import language_id, quality_rules, secrets, sharding, token_counts
+from riskmart.llm import language_id, quality_model, quality_rules, secrets, sharding, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_sharding")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.shards(table(spark, folder, "documents"))
+
+
+@query("op10_quality_model")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
