@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import language_id, quality_model, quality_rules, secrets, sharding, token_counts
+from riskmart.llm import decontamination, html_text, language_id, quality_model, quality_rules, secrets, sharding, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,47 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_quality_model")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+OP3_SQL = r"""
+WITH dw AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM documents
+), iw AS (
+    SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark
+), win AS (
+    SELECT DISTINCT item, w[i:i + 12] AS ws, least(len(w), 13) AS n
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM iw WHERE len(w) > 0)
+), dwin AS (
+    SELECT doc_id, i, n, w[i:i + n - 1] AS ws
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM dw, (SELECT DISTINCT n FROM win))
+), exact AS (
+    SELECT doc_id, i, item, d.n FROM dwin d JOIN win ON array_to_string(d.ws, ' ') = array_to_string(win.ws, ' ') AND d.n = win.n
+), hit AS (
+    SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM (SELECT doc_id, i, unnest(range(n)) AS k FROM exact) GROUP BY doc_id
+), named AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM exact) GROUP BY doc_id
+), pairs AS (
+    SELECT d.doc_id, win.item, d.ws AS a, win.ws AS b FROM dwin d JOIN win ON d.n = 13 AND win.n = 13 AND array_to_string(d.ws[1:4], ' ') = array_to_string(win.ws[1:4], ' ')
+    UNION ALL SELECT d.doc_id, win.item, d.ws, win.ws FROM dwin d JOIN win ON d.n = 13 AND win.n = 13 AND array_to_string(d.ws[5:8], ' ') = array_to_string(win.ws[5:8], ' ')
+    UNION ALL SELECT d.doc_id, win.item, d.ws, win.ws FROM dwin d JOIN win ON d.n = 13 AND win.n = 13 AND array_to_string(d.ws[9:13], ' ') = array_to_string(win.ws[9:13], ' ')
+), near AS (
+    SELECT doc_id, count(DISTINCT item) AS n_near FROM pairs WHERE len([k FOR k IN range(1, 14) IF a[k] <> b[k]]) BETWEEN 1 AND 2
+        AND (doc_id, item) NOT IN (SELECT (doc_id, item) FROM exact) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated,
+       CAST(coalesce(n_near, 0) AS BIGINT) AS n_near
+FROM dw LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN near USING (doc_id)
+"""
+
+
+@query("op3_decontamination", OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op2_html_text")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
