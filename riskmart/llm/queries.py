@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import decontamination, html_text, language_id, quality_model, quality_rules, secrets, sharding, token_counts
+from riskmart.llm import decontamination, html_text, language_id, near_dedup, quality_model, quality_rules, secrets, sharding, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -129,3 +129,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_html_text")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract(table(spark, folder, "pages"))
+
+
+@query("op8_near_dedup")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"))
