@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import decontamination, html_text, language_id, near_dedup, quality_model, quality_rules, secrets, sharding, token_counts
+from riskmart.llm import decontamination, html_text, language_id, mixing, near_dedup, quality_model, quality_rules, secrets, sharding, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,48 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_near_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"))
+
+
+def _raking_sql(docs: str) -> str:
+    """Common table expressions from ``docs`` (a table of documents) to ``mixed``: every document with factor, probability and selected."""
+    topic = "CASE " + " ".join(f"WHEN t LIKE '{pattern}' THEN '{name}'" for name, pattern in mixing.TOPICS) + f" ELSE '{mixing.OTHER_TOPIC}' END"
+    parts = [f"""mix_rows AS (
+    SELECT doc_id, source, lang, {topic} AS topic, len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+')) AS n_tokens,
+           CAST('0x' || substr(md5('29:' || doc_id), 1, 13) AS BIGINT) / CAST(pow(16, 13) AS DOUBLE) AS place
+    FROM (SELECT *, coalesce(text, '') AS t FROM {docs})
+), mix_cells AS MATERIALIZED (
+    SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS n, CAST(sum(n_tokens) AS DOUBLE) AS w FROM mix_rows GROUP BY ALL
+)"""]
+    for d in mixing.DIMENSIONS:
+        parts.append(f"""mix_{d} AS MATERIALIZED (
+    SELECT {d}, pow(own, {mixing.TEMPER}) / sum(pow(own, {mixing.TEMPER})) OVER () * sum(own) OVER () AS target FROM (SELECT {d}, sum(n) AS own FROM mix_cells GROUP BY {d}) WHERE own > 0
+)""")
+    last = "mix_cells"
+    for k in range(mixing.ROUNDS):
+        for d in mixing.DIMENSIONS:
+            now = f"mix_{k}_{d}"
+            parts.append(f"""{now} AS MATERIALIZED (
+    SELECT c.source, c.lang, c.topic, n, CASE WHEN sum(w) OVER (PARTITION BY c.{d}) > 0 THEN w * (target / sum(w) OVER (PARTITION BY c.{d})) ELSE 0 END AS w FROM {last} c JOIN mix_{d} t ON t.{d} = c.{d}
+)""")
+            last = now
+    # Of the scales that fix the first k cells (by factor) at probability 1, the right one is the first that leaves the next cell below 1.
+    parts.append(f"""mix_ranked AS (
+    SELECT *, w / n AS factor, coalesce(sum(n) OVER before, 0) AS held, sum(w) OVER onward AS rest, sum(n) OVER () AS tokens FROM {last} WHERE n > 0
+    WINDOW before AS (ORDER BY w / n DESC, source, lang, topic ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           onward AS (ORDER BY w / n DESC, source, lang, topic ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)
+), mix_scale AS (
+    SELECT arg_min(({mixing.BUDGET} * tokens - held) / rest, held) AS scale FROM mix_ranked WHERE factor * ({mixing.BUDGET} * tokens - held) / rest < 1
+), mixed AS (
+    SELECT r.doc_id, r.source, r.lang, r.topic, CAST(r.n_tokens AS BIGINT) AS n_tokens, round(factor, 8) AS factor, round(least(1, factor * scale), 8) AS probability,
+           place < least(1, factor * scale) AS selected
+    FROM mix_rows r JOIN mix_ranked c ON c.source = r.source AND c.lang = r.lang AND c.topic = r.topic, mix_scale
+)""")
+    return ", ".join(parts)
+
+
+OP4_SQL = f"WITH {_raking_sql('documents')} SELECT * FROM mixed"
+
+
+@query("op4_mixing", OP4_SQL)
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.probabilities(table(spark, folder, "documents"))
