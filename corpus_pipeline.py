@@ -1,10 +1,74 @@
-"""Corpus pipeline: stages over documents, each written as Parquet and read again."""
+"""Corpus pipeline: quality, near duplicates, benchmark decontamination, mixture, shards.
+
+Each stage takes what the one before it kept, written as Parquet and read again. All but the last return the columns of ``documents``; the last
+returns the place of every remaining document (see ``riskmart.llm.sharding``).
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from riskmart.llm import decontamination, mixing, near_dedup, quality_model, sharding
+from riskmart.llm.common import Store, table, without
+
+
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects (score below 0.5) go."""
+    return quality_model.accepted(docs, table(spark, sf_dir, "labels"))
+
+
+def one_row_per_id(docs: DataFrame) -> DataFrame:
+    """Of rows that share an id the first by text stays; only repeated ids are looked at closer."""
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("gone"))
+    if repeated.isEmpty():
+        return docs
+    again = docs.join(repeated, docs.doc_id == repeated.gone, "left_semi")
+    order = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
+    first = again.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.row_number().over(order).alias("at")).where("at = 1").select("row.*")
+    return docs.join(repeated, docs.doc_id == repeated.gone, "left_anti").unionByName(first)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each near-duplicate component stays."""
+    found = near_dedup.near_duplicates(docs)
+    gone = Store(spark, "copies").put(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    return one_row_per_id(without(docs, gone))
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents contaminated by exact benchmark passages go; proximity matches alone do not condemn."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), misses=0)
+    gone = Store(spark, "contaminated").put(found.where("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    return without(docs, gone)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are sampled by calibrated probabilities towards the source, language and topic targets."""
+    return mixing.mix(docs)
+
+
+def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every remaining document's shard and slot."""
+    return sharding.shards(docs)
+
+
+STAGES = [
+    ("quality_model", accept_quality),
+    ("near_dedup", drop_near_duplicates),
+    ("decontamination", decontaminate),
+    ("mixing", mix_sources),
+    ("sharding", cut_shards),
+]
+#: The first stage is a trained model, so no SQL gives these rows; tests/llm/test_pipeline.py checks each stage against its rule.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store, docs = Store(spark, "pipeline"), table(spark, sf_dir, "documents")
+    for number, (name, stage) in enumerate(STAGES):
+        docs = store.put(stage(spark, docs, sf_dir), f"{number}-{name}")
+        if number > 1:
+            store.drop(f"{number - 1}-{STAGES[number - 1][0]}")
+    return docs
