@@ -60,14 +60,36 @@ class Store:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: An anti join broadcasts its ids up to this many, else it shuffles.
+BROADCAST_IDS = 500_000
+
+
+def without(df: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows of ``df`` whose id is not among ``ids`` (a stored table with one column ``gone``); rows without an id stay."""
+    gone = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    return df.join(gone, df[id_col] == gone["gone"], "left_anti")
+
+
+def first_in_hash_order(df: DataFrame, limit: int, *ties: str) -> list:
+    """The first ``limit`` rows by column ``h`` (a 64-bit hash). Past a few times the limit only the lowest share of the hashes is sorted, so that
+    what reaches the driver does not grow with the input."""
+    total = df.count()
+    if total > 8 * limit:
+        low = -(2**63) + int(2**64 * 4 * limit / total)
+        rows = df.where(F.col("h") < low).orderBy("h", *ties).limit(limit).collect()
+        if len(rows) == limit:
+            return rows
+    return df.orderBy("h", *ties).limit(limit).collect()
+
+
 def crc_mod(column: str, divisor: int):
     """crc32 of a number written as text, modulo a divisor."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor
 
 
-def text_pieces(batch: pa.RecordBatch, limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+def text_pieces(batch: pa.RecordBatch, limit: int = BATCH_BYTES, text_col: str = "text") -> Iterator[pa.RecordBatch]:
     """Cuts a batch so that the texts of a piece take few MB; a longer text is a piece of its own."""
-    texts = batch.column("text")
+    texts = batch.column(text_col)
     sizes = np.array([0 if n is None else n for n in pc.binary_length(texts).to_pylist()], dtype=np.int64)
     start, total = 0, 0
     for at, n in enumerate(sizes):

@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import batches_of, crc_mod, lower_ascii, record, text_bytes, text_pieces
+from riskmart.llm.common import batches_of, crc_mod, first_in_hash_order, lower_ascii, record, text_bytes, text_pieces
 
 WINDOW = 64
 TRAIN_DOCS = 4000
@@ -202,10 +202,11 @@ def predict_batches(net: ByteGru | None):
 
 def trained(df: DataFrame, limit: int = TRAIN_DOCS) -> ByteGru | None:
     """Fit on the labelled rows of ``df`` (text, lang): a window from somewhere in each of the first ``limit`` documents in hash order."""
-    labelled = df.where("lang is not null and text rlike '\\\\p{L}'")
     place = F.xxhash64("doc_id", F.lit(1))
-    begin = F.lit(1) + F.pmod(place, F.greatest(F.lit(1), F.length("text") - F.lit(WINDOW - 1)).cast("long")).cast("int")
-    rows = labelled.select(place.alias("h"), "doc_id", "lang", F.col("text").substr(begin, F.lit(WINDOW)).alias("w")).orderBy("h", "doc_id", "w").limit(limit).collect()
+    text = F.coalesce("text", F.lit(""))
+    begin = F.lit(1) + F.pmod(place, F.greatest(F.lit(1), F.length(text) - F.lit(WINDOW - 1)).cast("long")).cast("int")
+    labelled = df.where("lang is not null").select(place.alias("h"), "doc_id", "lang", text.substr(begin, F.lit(WINDOW)).alias("w"))
+    rows = [r for r in first_in_hash_order(labelled, limit, "doc_id", "w", "lang") if r.w]
     return fit([r.w.encode() for r in rows], [r.lang for r in rows])
 
 

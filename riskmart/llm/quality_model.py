@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import batches_of, crc_mod, record, span_hashes, text_bytes, text_pieces
+from riskmart.llm.common import batches_of, crc_mod, first_in_hash_order, record, span_hashes, text_bytes, text_pieces
 
 BUCKETS, SHAPES, DIMENSIONS = 1 << 14, 256, 24
 REACH, NONZERO = 2, 4
@@ -201,18 +201,41 @@ def trained(rows: DataFrame, labels: DataFrame, vectors: np.ndarray, limit: int
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where((crc_mod("doc_id", 3) != 1) & F.col("quality").isin(0, 1)).distinct()
-        .withColumn("h", F.xxhash64("doc_id")).orderBy("h", "quality").limit(limit)
+        .withColumn("h", F.xxhash64("doc_id"))
     )
-    sample = rows.join(F.broadcast(chosen), "doc_id").select("h", "quality", "text")  # ``limit`` narrow rows
+    picked = first_in_hash_order(chosen, limit, "quality")
+    local = rows.sparkSession.createDataFrame([(r.doc_id, r.quality, r.h) for r in picked], "doc_id long, quality int, h long")
+    sample = rows.join(F.broadcast(local), "doc_id").select("h", "quality", "text")  # ``limit`` narrow rows
     found = batches_of(rows.sparkSession, sample, feature_batches(vectors), "h long, quality int, x binary").orderBy("h", "quality", "x").limit(limit).collect()
     x = np.array([np.frombuffer(r.x, np.float32) for r in found]).reshape(len(found), 2 * DIMENSIONS + 1)
     return fit(x, np.array([r.quality for r in found], dtype=np.float64))
 
 
+def keep_batches(vectors: np.ndarray, net: QualityNet, text_col: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in text_pieces(batch, PIECE, text_col):
+                good = net.scores(features(vectors, piece.column(text_col))) >= 0.5
+                yield piece.filter(pa.array(good))
+
+    return run
+
+
+def prepared(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.withColumn("held_out", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)))
+
+
 def classify(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, held_out, score, predicted of every row."""
-    rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("held_out", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)))
+    rows = prepared(df, id_col, text_col)
     vectors = word_vectors(rows)
     scored = batches_of(df.sparkSession, rows, score_batches(vectors, trained(rows, labels, vectors)), "doc_id long, held_out boolean, score double")
     return scored.select(F.col("doc_id").alias(id_col), "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def accepted(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, with all their columns, that the classifier scores 0.5 or more."""
+    rows = prepared(df, id_col, text_col)
+    vectors = word_vectors(rows)
+    return batches_of(df.sparkSession, df, keep_batches(vectors, trained(rows, labels, vectors), text_col), df.schema)
