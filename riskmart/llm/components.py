@@ -22,18 +22,22 @@ def _small(edges: DataFrame) -> DataFrame:
     return lower.union(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _is_stars(edges: DataFrame) -> bool:
+    """Every node has one row at most and no hub has a row of its own."""
+    sides = edges.select(F.col("a").alias("x"), F.lit(1).alias("row"), F.lit(0).alias("hub")).union(edges.select("b", F.lit(0), F.lit(1)))
+    return sides.groupBy("x").agg(F.sum("row").alias("row"), F.max("hub").alias("hub")).where("row > 1 or row > 0 and hub > 0").isEmpty()
+
+
 def components(links: DataFrame, store: Store, name: str) -> DataFrame:
     """(a, b): b is the least node of a's component; a node that is the least itself has no row.
 
-    Each round is written and read back; it ends when a round changes nothing, after a number of rounds that grows with the logarithm of the
+    Each round is written and read back; it ends when only stars are left, after a number of rounds that grows with the logarithm of the
     largest component. Minima are taken map-side first, and the join back to them may be split, so a hub of any degree is no hot task.
     """
     edges = store.put(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), f"{name}-0")
-    state, number = None, 0
-    while True:
-        found = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.col("b") % 1_000_003)).first()
-        if tuple(found) == state or found[0] == 0:
-            return edges
-        state, number = tuple(found), number + 1
+    number = 0
+    while not _is_stars(edges):
+        number += 1
         edges = store.put(_small(_large(edges)), f"{name}-{number}")
         store.drop(f"{name}-{number - 1}")
+    return edges

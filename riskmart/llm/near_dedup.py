@@ -3,10 +3,10 @@
 A document's set is that of its distinct word shingles. One hash of each shingle gives bin and value; an empty bin takes the value of a bin drawn by
 a fixed random sequence of its own, the same for all documents. Six bins make a band, 21 bands; documents that agree on a band meet in a bucket.
 
-Documents with one and the same set are a class and represented by its smallest id. In a bucket, candidates are a star: one centre with all
-others, so their number follows the bucket's size and not its square. Confirmed links (on the full sets) join documents to components. A bucket
-whose members are then in more than one component gets another centre, from outside its first centre's component, against all members of other
-components, and so on until a round finds no link that joins components. No bucket is capped.
+Documents with one and the same set are a class and represented by its smallest id. In a bucket, candidates are stars: few centres, each with
+all others, so their number follows the bucket's size and not its square. Confirmed links (on the full sets) join documents to components. A bucket
+whose members are then in more than one component gets other centres, against all members of other components, and so on until a round finds
+no link that joins components. No bucket is capped.
 
 At the contract's similarity of 0.85 two documents share a band with probability 1 - 5e-5, and the stars find every link that matters to components
 except one between two documents that never stood at the centre and are joined by no other way; README states the measured recall.
@@ -32,6 +32,8 @@ from riskmart.llm.components import components
 BINS, ROWS = 128, 6
 BANDS = BINS // ROWS
 PIECE = 1 << 22
+#: Centres of a bucket's star in one round: candidates are at most this many times the bucket's members.
+CENTRES = 3
 #: Ids of documents whose sets are needed are broadcast below this many, else shuffled.
 BROADCAST_IDS = 500_000
 _WORD = byte_class((0x09, 0x0D), (0x20, 0x20), inverted=True)
@@ -135,6 +137,19 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b").distinct()
 
 
+def _centres(labelled: DataFrame, number: int) -> DataFrame:
+    """(key, centre, centre_label): ``CENTRES`` members of each bucket that has more than one component. The first round has the smallest id among them;
+    else each centre is drawn by component first and then by member, so that members outside a bucket's main component soon stand there."""
+    sums = [F.min("label").alias("least"), F.max("label").alias("most")]
+    for k in range(CENTRES):
+        salt = F.lit(number * CENTRES + k)
+        of_label = F.xxhash64("label", "key", salt).bitwiseAND(F.lit(~0xFFFFF))
+        order = F.col("id") if number == k == 0 else of_label.bitwiseOR(F.xxhash64("id", salt).bitwiseAND(F.lit(0xFFFFF)))
+        sums += [F.min_by("id", order).alias(f"id_{k}"), F.min_by("label", order).alias(f"label_{k}")]
+    drawn = labelled.groupBy("key").agg(*sums).where("least < most")
+    return drawn.select("key", F.explode(F.array(*[F.struct(F.col(f"id_{k}").alias("centre"), F.col(f"label_{k}").alias("centre_label")) for k in range(CENTRES)])).alias("c")).select("key", "c.*")
+
+
 def near_duplicates(
     df: DataFrame, width: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -157,15 +172,8 @@ def near_duplicates(
     links, found, number = None, None, 0
     labelled = members.withColumn("label", F.col("id"))
     while True:
-        # The first centre of a bucket is its smallest id; later ones are drawn from outside the component of the bucket's least label.
-        if number == 0:
-            centres = labelled.groupBy("key").agg(F.min("id").alias("centre"), F.min("id").alias("centre_label"))
-        else:
-            least = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
-            outside = labelled.join(least, "key").where("label > least")
-            draw = F.xxhash64("id", "key", F.lit(number))
-            centres = outside.groupBy("key").agg(F.min_by(F.struct("id", "label"), F.struct(draw, "id")).alias("c")).select("key", F.col("c.id").alias("centre"), F.col("c.label").alias("centre_label"))
-        pairs = labelled.join(centres, "key").where("label <> centre_label").select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
+        pairs = labelled.join(_centres(labelled, number), "key").where("label <> centre_label")
+        pairs = pairs.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
         new = store.put(confirmed(pairs, sets, percent), f"links-{number}")
         if new.isEmpty():
             break
