@@ -56,8 +56,8 @@ def _targets(cells: DataFrame, dimension: str, shares: dict[str, float] | None,
     else:
         aim = F.coalesce(*[F.when(F.col(dimension) == F.lit("=" + v), F.lit(float(s))) for v, s in shares.items()], F.lit(0.0))
     wanted = sums.withColumn("aim", aim)
-    total = wanted.agg(F.sum("own").alias("all_own"), F.sum("aim").alias("all_aim"))
-    return wanted.join(F.broadcast(total)).select(dimension, (F.col("aim") / F.col("all_aim") * F.col("all_own")).alias("target"))  # total: one row
+    all_own, all_aim = wanted.agg(F.coalesce(F.sum("own"), F.lit(0.0)), F.coalesce(F.sum("aim"), F.lit(0.0))).first()
+    return wanted.select(dimension, (F.col("aim") / F.lit(all_aim or 1.0) * F.lit(all_own)).alias("target"))
 
 
 def raked(cells: DataFrame, store: Store, shares: dict[str, dict[str, float]], temper: float, rounds: int) -> DataFrame:
