@@ -139,11 +139,12 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _centres(labelled: DataFrame, number: int) -> DataFrame:
     """(key, centre, centre_label): ``CENTRES`` members of each bucket that has more than one component. The first round has the smallest id among them;
-    else each centre is drawn by component first and then by member, so that members outside a bucket's main component soon stand there."""
+    else each centre is drawn by component first and then by member, so that members outside a bucket's main component soon stand there. A draw has
+    one order for all buckets: documents that meet in many of them then mostly meet the same centres, and a pair is compared once."""
     sums = [F.min("label").alias("least"), F.max("label").alias("most")]
     for k in range(CENTRES):
         salt = F.lit(number * CENTRES + k)
-        of_label = F.xxhash64("label", "key", salt).bitwiseAND(F.lit(~0xFFFFF))
+        of_label = F.xxhash64("label", salt).bitwiseAND(F.lit(~0xFFFFF))
         order = F.col("id") if number == k == 0 else of_label.bitwiseOR(F.xxhash64("id", salt).bitwiseAND(F.lit(0xFFFFF)))
         sums += [F.min_by("id", order).alias(f"id_{k}"), F.min_by("label", order).alias(f"label_{k}")]
     drawn = labelled.groupBy("key").agg(*sums).where("least < most")
