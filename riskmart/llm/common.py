@@ -14,7 +14,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BATCH_BYTES = 8 * 1024 * 1024
+BATCH_BYTES = 4 * 1024 * 1024
 #: White space of the word rules: \x20 and \x09-\x0D.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -139,17 +139,29 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+HASH_BLOCK = 1 << 18
+_FORTH, _BACK = _powers(_BASE, HASH_BLOCK + 1), _powers(_INVERSE, HASH_BLOCK + 1)
+
+
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans; equal bytes have equal hashes wherever they stand.
+    """64-bit hashes of byte spans in order; equal bytes have equal hashes wherever they stand.
 
-    A polynomial over 64-bit byte values, taken from running sums: the cost is that of the bytes, in numpy.
+    A polynomial over 64-bit byte values, taken from running sums over blocks of spans: the cost is that of the bytes, in numpy, and the
+    memory that of a block or of the longest span.
     """
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE_VALUES[data] * _powers(_BASE, len(data)), out=sums[1:])
-    back = _powers(_INVERSE, len(data) + 1)
-    return mixed((sums[ends] - sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))
+    out, at = np.empty(len(starts), np.uint64), 0
+    while at < len(starts):
+        low = starts[at]
+        stop = max(at + 1, int(np.searchsorted(ends, low + HASH_BLOCK, side="right")))
+        part = data[low : ends[stop - 1]]
+        short = len(part) <= HASH_BLOCK
+        forth, back = (_FORTH, _BACK) if short else (_powers(_BASE, len(part)), _powers(_INVERSE, 1))
+        sums = np.zeros(len(part) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUES[part] * forth[: len(part)], out=sums[1:])
+        s, e = starts[at:stop] - low, ends[at:stop] - low  # a span longer than a block is alone and starts at 0
+        out[at:stop] = (sums[e] - sums[s]) * back[s] + (e - s).astype(np.uint64)
+        at = stop
+    return mixed(out)
 
 
 def word_spans(data: np.ndarray, starts: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

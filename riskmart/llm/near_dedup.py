@@ -31,7 +31,7 @@ from riskmart.llm.components import components
 
 BINS, ROWS = 128, 6
 BANDS = BINS // ROWS
-PIECE = 1 << 22
+PIECE = 1 << 20
 #: Centres of a bucket's star in one round: candidates are at most this many times the bucket's members.
 CENTRES = 3
 #: Ids of documents whose sets are needed are broadcast below this many, else shuffled.

@@ -27,7 +27,7 @@ from riskmart.llm.common import batches_of, crc_mod, first_in_hash_order, record
 BUCKETS, SHAPES, DIMENSIONS = 1 << 14, 256, 24
 REACH, NONZERO = 2, 4
 TRAIN_DOCS = 8000
-PIECE = 1 << 22
+PIECE = 1 << 20
 
 _CLASS = np.full(256, 3, dtype=np.int8)  # 0 space, 1 letter or beyond ASCII, 2 digit, 3 sign
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
