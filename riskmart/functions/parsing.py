@@ -108,6 +108,22 @@ def with_plain_decimals(df: DataFrame, texts: Mapping[str, str]) -> DataFrame:
     )
 
 
+def with_decimal_parts(df: DataFrame, text: str) -> DataFrame:
+    """Adds ``negative``, ``digits`` and ``scale`` of a decimal text: the value is digits / 10^scale, whatever its size.
+
+    NULL digits mark text that is no finite decimal literal. ``digits`` has no
+    leading zeros and is ``0`` for a zero; the exponent is in ``scale``.
+    """
+    tidy, kept = F.regexp_replace(F.col(text), TIDY, ""), df.columns
+    df = df.withColumn("_tidy", F.when(tidy.rlike(DECIMAL_TEXT), F.lower(tidy)))
+    df = df.withColumns({"_mantissa": F.substring_index("_tidy", "e", 1), "_power": F.when(F.col("_tidy").contains("e"), F.substring_index("_tidy", "e", -1).cast("int")).otherwise(0)})
+    return df.select(
+        *kept, F.col("_tidy").startswith("-").alias("negative"),
+        F.regexp_replace(F.regexp_replace("_mantissa", "[+.-]", ""), "^0+(?=[0-9])", "").alias("digits"),
+        (F.length(F.regexp_extract("_mantissa", "[.]([0-9]*)", 1)) - F.col("_power")).alias("scale"),
+    )
+
+
 def half_even_decimal(plain: Column, places: int = 18, integer_limit: int = 20) -> Column:
     """decimal(38,18) of a plain literal, rounded half to even; NULL if too large.
 
@@ -150,13 +166,3 @@ def exact_decimal_text(literal: Column, value: Column) -> Column:
     text = F.regexp_replace(text, r"^(-?)0+(?=[0-9])", "$1")
     text = F.regexp_replace(text, r"^(-?)(?=[.])", "$10")
     return F.when(literal.rlike(r"^(0|[1-9][0-9]*)([.][0-9]+)?\z"), literal).otherwise(text)
-
-
-def integer_digits(plain: Column) -> Column:
-    """Digits before the point of a plain literal; none for a zero whole part."""
-    return F.length(F.regexp_extract(plain, r"^-?0*([0-9]*)", 1))
-
-
-def scale_digits(plain: Column) -> Column:
-    """Digits written after the point of a plain literal."""
-    return F.length(F.regexp_extract(plain, r"[.]([0-9]*)", 1))

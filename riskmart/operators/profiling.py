@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,36 +51,85 @@ def text_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def numeric_text_profile(df: DataFrame, columns: Sequence[str], sentinels: Sequence[str] = ("",)) -> DataFrame:
-    """Lexical profile of decimal text columns, with a suggested decimal type."""
-    texts = stack_columns(df.select(*[_trimmed(c).alias(c) for c in columns]), columns)
-    plain = P.with_plain_decimals(texts, {"plain": "value"})
-    blank = F.upper("value").isin(*sentinels)
-    number = F.when(~blank, P.half_even_decimal(F.col("plain")))
-    parsed = plain.select(
-        "column_name",
-        blank.alias("blank"),
-        (~blank & F.col("plain").isNull()).alias("invalid"),
-        number.alias("number"),
-        F.when(~blank, P.integer_digits(F.col("plain"))).alias("whole"),
-        F.when(~blank, P.scale_digits(F.col("plain"))).alias("places"),
-    )
-    profiled = parsed.groupBy("column_name").agg(
-        F.count_if(~F.col("blank") & ~F.col("invalid")).alias("present_count"),
-        F.count_if("blank").alias("null_count"),
-        F.count_if("invalid").alias("invalid_count"),
-        F.count_if(F.col("number") < 0).alias("negative_count"),
-        F.count_if(F.col("number") == 0).alias("zero_count"),
-        F.min("number").alias("min"),
-        F.max("number").alias("max"),
-        F.sum("number").alias("sum"),
-        F.coalesce(F.max("whole"), F.lit(0)).alias("max_integer_digits"),
-        F.coalesce(F.max("places"), F.lit(0)).alias("max_scale_digits"),
-    )
-    precision = F.least(F.greatest(F.col("max_integer_digits") + F.col("max_scale_digits"), F.lit(1)), F.lit(38))
-    return profiled.withColumn(
-        "suggested_type", F.format_string("DECIMAL(%d,%d)", precision, F.col("max_scale_digits"))
+LIMB = 18
+# Powers of ten a profile writes out; a value beyond them is shown in powers of ten, and its column has no sum.
+WRITTEN_POWERS = 100_000
+
+
+def _plain(negative: bool, digits: str, scale: int) -> str:
+    """Shortest plain notation of digits / 10^scale."""
+    digits = digits.lstrip("0") or "0"
+    cut = len(digits) - len(digits.rstrip("0")) if digits != "0" else 0
+    digits, scale = digits[: len(digits) - cut], (scale - cut) if digits != "0" else 0
+    sign = "-" if negative and digits != "0" else ""
+    if abs(scale) > WRITTEN_POWERS:
+        return f"{sign}{digits}E{-scale}"
+    if scale <= 0:
+        return sign + digits + "0" * -scale
+    padded = digits.rjust(scale + 1, "0")
+    return f"{sign}{padded[:-scale]}.{padded[-scale:]}"
+
+
+def numeric_text_profile(df: DataFrame, sentinels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Lexical profile of decimal text columns, with a suggested decimal type.
+
+    ``sentinels`` names the columns and, in upper case, their spellings of null.
+    Values of any size are exact: they are compared by the place of their first
+    digit and then by their digits, and summed in limbs of 18 digits. The one
+    summary row and the few limbs of a column are put together on the driver.
+    """
+    columns = list(sentinels)
+    pieces = df.select(*[_trimmed(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    for i, c in enumerate(columns):
+        blank = F.upper(f"v{i}").isin(*sentinels[c])
+        rest = [x for x in pieces.columns if x != f"v{i}"]
+        parsed = P.with_decimal_parts(pieces.withColumn("_blank", blank), f"v{i}")
+        zero, weight = F.col("digits") == "0", F.length("digits") - F.col("scale")
+        size = F.struct(weight.alias("weight"), F.rtrim(F.col("digits"), F.lit("0")).alias("digits"))
+        value = F.when(~F.col("_blank") & F.col("digits").isNotNull(), F.struct("negative", zero.alias("zero"), "digits", "scale", size.alias("size")))
+        pieces = parsed.select(*rest, value.alias(f"n{i}"), F.col("_blank").alias(f"b{i}"))
+    facts, limbs = [], []
+    for i, c in enumerate(columns):
+        n, blank = F.col(f"n{i}"), F.col(f"b{i}")
+        positive, below = ~n["zero"] & ~n["negative"], ~n["zero"] & n["negative"]
+        facts.append(F.struct(
+            F.lit(c).alias("column_name"), F.count(n).alias("present_count"), F.count_if(blank).alias("null_count"),
+            F.count_if(~blank & n.isNull()).alias("invalid_count"), F.count_if(below).alias("negative_count"), F.count_if(n["zero"]).alias("zero_count"),
+            F.max(F.when(positive, n["size"])).alias("high"), F.min(F.when(positive, n["size"])).alias("low"),
+            F.max(F.when(below, n["size"])).alias("deep"), F.min(F.when(below, n["size"])).alias("near"),
+            F.coalesce(F.max(F.greatest(F.length(n["digits"]) - n["scale"], F.lit(0))), F.lit(0)).alias("max_integer_digits"),
+            F.coalesce(F.max(F.greatest(n["scale"], F.lit(0))), F.lit(0)).alias("max_scale_digits"),
+            F.coalesce(F.max(F.abs(n["scale"])), F.lit(0)).alias("power"),
+        ))
+        limbs.append(F.struct(F.lit(i).alias("i"), n.alias("n")))
+    # A row is 18 digits of a value at a fixed place; most values have one or two.
+    low = F.floor(-F.col("n.scale") / F.lit(LIMB)).cast("int")
+    shifted = F.concat("n.digits", F.repeat(F.lit("0"), -F.col("n.scale") - low * LIMB))
+    filled = F.lpad(shifted, (F.ceil(F.length(shifted) / LIMB) * LIMB).cast("int"), "0")
+    placed = pieces.select(F.inline(F.array(*limbs))).where(f"n is not null and not n.zero and abs(n.scale) <= {WRITTEN_POWERS}").select(
+        "i", F.when(F.col("n.negative"), -1).otherwise(1).alias("sign"), low.alias("low"), filled.alias("filled")
     )
+    at = F.col("at") + F.col("low")
+    chunk = F.substring(F.col("filled"), F.length("filled") - (F.col("at") + 1) * LIMB + 1, F.lit(LIMB))
+    parts = placed.select("i", "sign", "low", "filled", F.explode(F.sequence(F.lit(0), (F.length("filled") / LIMB).cast("int") - 1)).alias("at"))
+    sums = parts.groupBy("i", at.alias("limb")).agg(F.sum(F.col("sign") * chunk.cast("decimal(18,0)")).alias("total")).collect()
+    rows = []
+    for i, (c, r) in enumerate(zip(columns, pieces.agg(F.array(*facts).alias("r")).first().r, strict=True)):
+        own = [(x.limb, int(x.total)) for x in sums if x.i == i]
+        base = min([limb for limb, _ in own], default=0)
+        total = sum(t * 10 ** (LIMB * (limb - base)) for limb, t in own)
+        zero = "0" if r.zero_count else None
+        shown = lambda negative, size: size and _plain(negative, size.digits, len(size.digits) - size.weight)
+        precision = min(max(r.max_integer_digits + r.max_scale_digits, 1), 38)
+        rows.append((
+            c, r.present_count, r.null_count, r.invalid_count, r.negative_count, r.zero_count, shown(True, r.deep) or zero or shown(False, r.low),
+            shown(False, r.high) or zero or shown(True, r.near), _plain(total < 0, str(abs(total)), -LIMB * base) if r.present_count and r.power <= WRITTEN_POWERS else None,
+            r.max_integer_digits, r.max_scale_digits, f"DECIMAL({precision},{r.max_scale_digits})",
+        ))
+    return df.sparkSession.createDataFrame(rows, (
+        "column_name string, present_count long, null_count long, invalid_count long, negative_count long, zero_count long, min string, max string, "
+        "sum string, max_integer_digits int, max_scale_digits int, suggested_type string"
+    ))
 
 
 def date_profile(df: DataFrame, column: str) -> DataFrame:
@@ -96,18 +145,26 @@ def date_profile(df: DataFrame, column: str) -> DataFrame:
 
 
 def code_profile(df: DataFrame, column: str) -> DataFrame:
-    """Integer-like code column."""
-    text = _trimmed(column)
-    code = P.loose_int(text)
-    counts = df.select(text.alias("text"), code.alias("code")).groupBy("text", "code").agg(F.count("*").alias("n"))
-    codes = counts.where("code IS NOT NULL").groupBy("code").agg(F.count("*").alias("spellings"))
+    """Integer-like code column; codes of any length are compared by sign, length and digits."""
+    text = F.col("text")
+    digits = F.regexp_replace(F.regexp_replace(text, r"[\s_+-]", ""), "^0+(?=[0-9])", "")
+    below = text.rlike(r"^\s*-") & (digits != "0")
+    code = F.when(text.rlike(P.INTEGER_TEXT), F.struct(below.alias("below"), F.length(digits).alias("size"), digits.alias("digits")))
+    counts = df.groupBy(_trimmed(column).alias("text")).agg(F.count("*").alias("n")).withColumn("code", code)
+    codes = counts.where("code IS NOT NULL").groupBy("code.below", "code.size", "code.digits").agg(F.count("*").alias("spellings"))
     distinct = codes.agg(F.count("*").alias("n"))
+    size = F.struct("code.size", "code.digits")
+    signed = lambda sign, found: F.concat(F.lit(sign), found["digits"])
     return counts.agg(
         F.coalesce(F.sum(F.when(F.col("text") == "", F.col("n"))), F.lit(0)).alias("null_count"),
         F.coalesce(F.sum(F.when((F.col("text") != "") & F.col("code").isNull(), F.col("n"))), F.lit(0)).alias("invalid_count"),
-        F.min("code").cast("bigint").alias("min"),
-        F.max("code").cast("bigint").alias("max"),
-    ).select(F.lit(column).alias("column_name"), "*", distinct.scalar().alias("cardinality"))
+        F.max(F.when(F.col("code.below"), size)).alias("deep"), F.min(F.when(F.col("code.below"), size)).alias("near"),
+        F.max(F.when(~F.col("code.below"), size)).alias("high"), F.min(F.when(~F.col("code.below"), size)).alias("low"),
+    ).select(
+        F.lit(column).alias("column_name"), "null_count", "invalid_count",
+        F.coalesce(signed("-", F.col("deep")), signed("", F.col("low"))).alias("min"), F.coalesce(signed("", F.col("high")), signed("-", F.col("near"))).alias("max"),
+        distinct.scalar().alias("cardinality"),
+    )
 
 
 def invalid_values(df: DataFrame, column: str, parsed: Column) -> DataFrame:
@@ -305,14 +362,13 @@ def precision_profile(df: DataFrame, columns: Sequence[str], file: str = "source
         *[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]
     )
     cells = df.select(file, row, F.inline(pieces))
-    plain = P.with_plain_decimals(cells, {"plain": "value"})
-    sized = plain.select(
+    sized = P.with_decimal_parts(cells, "value").select(
         "column_name",
         file,
         row,
-        F.when(F.col("plain").isNotNull(), F.greatest(F.lit(1), P.integer_digits(F.col("plain")))).alias("whole"),
-        P.scale_digits(F.col("plain")).alias("places"),
-    )
+        F.when(F.col("digits").isNotNull(), F.greatest(F.lit(1), F.length("digits") - F.col("scale"))).alias("whole"),
+        F.greatest(F.col("scale"), F.lit(0)).alias("places"),
+    ).withColumn("places", F.when(F.col("whole").isNotNull(), F.col("places")))
     # One pass: there are few (file, widths) combinations, and all answers follow from them.
     shapes = sized.groupBy("column_name", file, "whole", "places").agg(
         F.count("*").alias("rows"), F.min(row).alias("first_row")

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from riskmart.sources.tables import broadcast_if_small
 
 HARD, WARNING = "HARD", "WARNING"
-IDENTITY = ("source_file", "source_row_number")
+IDENTITY = ("source_file", "source_version", "source_row_number")
 
 
 class QualityGateError(RuntimeError):
@@ -127,20 +127,41 @@ def orphans(fact: DataFrame, dims: Mapping[str, DataFrame], check: Check) -> Dat
     return _single(seen, check, F.count_if(lost))
 
 
-def lineage(fact: DataFrame, staged: DataFrame, compared: Sequence[str], check: Check) -> DataFrame:
-    """Facts whose copied columns differ from their staging row (NULL equals NULL)."""
-    source = staged.select(*IDENTITY, *[F.col(c).alias(f"_{c}") for c in compared])
-    joined = fact.select(*IDENTITY, *compared).join(source, list(IDENTITY))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in compared])
-    return _single(joined, check, F.count_if(~same))
+def compared_layers(
+    staging: DataFrame, fact: DataFrame, compared: Sequence[str], identity: Check, counts: Check, grain: Check, lineage: Check, mode: str
+) -> DataFrame:
+    """Four rules on staging and fact from one pass by identity: duplicates of either, count difference, and lineage.
+
+    Lineage counts the fact identities that staging lacks or holds with other
+    values in ``compared`` (NULL equals NULL); values are compared as two 64-bit
+    hashes. ``mode`` is that of ``duplicates``.
+    """
+    seal = (F.xxhash64(*compared).alias("h"), F.xxhash64(F.lit(7), *reversed(compared)).alias("g"))
+    sides = staging.select(*IDENTITY, F.lit(1).alias("s"), F.lit(0).alias("f"), *seal).unionAll(
+        fact.select(*IDENTITY, F.lit(0).alias("s"), F.lit(1).alias("f"), *seal)
+    )
+    by_identity = sides.groupBy(*IDENTITY).agg(
+        F.sum("s").alias("s"), F.sum("f").alias("f"), F.min("h").alias("h"), F.max("h").alias("h_top"), F.min("g").alias("g"), F.max("g").alias("g_top")
+    )
 
+    def repeated(side: str) -> Column:
+        return F.coalesce(F.sum(F.greatest(F.col(side) - 1, F.lit(0))), F.lit(0)) if mode == "rows" else F.count_if(F.col(side) > 1)
 
-def natural_key_duplicates(dims: Mapping[str, DataFrame], check: Check) -> DataFrame:
-    """Members in excess of one per natural hash, over all dimensions."""
+    differs = (F.col("f") > 0) & ((F.col("s") == 0) | (F.col("h") != F.col("h_top")) | (F.col("g") != F.col("g_top")))
+    one = by_identity.agg(
+        repeated("s").alias(identity.name), F.abs(F.coalesce(F.sum(F.col("s") - F.col("f")), F.lit(0))).alias(counts.name),
+        repeated("f").alias(grain.name), F.count_if(differs).alias(lineage.name),
+    )
+    return observed_rows(one, [identity, counts, grain, lineage])
+
+
+def natural_key_duplicates(dims: Mapping[str, DataFrame], check: Check, natural: Mapping[str, str] | None = None) -> DataFrame:
+    """Members in excess of one per natural hash, or per natural key column if given, over all dimensions."""
+    keys = natural or dict.fromkeys(dims, "natural_hash")
     stacked = reduce(
-        lambda a, b: a.unionAll(b), [d.select(F.lit(n).alias("dim"), "natural_hash") for n, d in dims.items()]
+        lambda a, b: a.unionAll(b), [d.select(F.lit(n).alias("dim"), F.col(keys[n]).cast("string").alias("member")) for n, d in dims.items()]
     )
-    return duplicates(stacked, ("dim", "natural_hash"), check, mode="rows")
+    return duplicates(stacked, ("dim", "member"), check, mode="rows")
 
 
 def missing_reconciliation(batches: DataFrame, runs: DataFrame, check: Check) -> DataFrame:
@@ -179,11 +200,11 @@ def verdicts(results: Sequence[DataFrame], warnings_pass: bool = False, inject_f
 
 
 def run_gate(results: DataFrame, label: str, log_path: str | None = None) -> list:
-    """Appends the verdicts to the log, then raises if a hard rule failed."""
-    stamped = results.withColumn("run_label", F.lit(label)).withColumn("run_at", F.current_timestamp())
+    """Runs the gate once, appends its verdicts to the log, then raises if a hard rule failed."""
+    rows = results.collect()  # one row for each rule
     if log_path:
-        stamped.coalesce(1).write.mode("append").parquet(log_path)
-    rows = results.collect()
+        stored = results.sparkSession.createDataFrame(rows, results.schema)
+        stored.withColumns({"run_label": F.lit(label), "run_at": F.current_timestamp()}).coalesce(1).write.mode("append").parquet(log_path)
     failed = [r.rule_name for r in rows if r.severity == HARD and r.status != "PASS"]
     if failed:
         raise QualityGateError(f"{label}: hard rules failed: {', '.join(failed)}")
@@ -265,7 +286,8 @@ MARKET_CHECKS = {
     "dims": Check("DWH_DIMENSION_NATURAL_KEY_UNIQUENESS", DWH, "Natural keys must be unique"),
     "recon": Check("RECONCILIATION_LATEST_FULL_RUN", "RECONCILIATION", "Every SUCCESS batch needs a SUCCESS reconciliation"),
 }
-MARKET_LINEAGE = ("batch_id", "premiums", "claims", "claim_premium_ratio")
+MARKET_COMPARED = ("batch_id", "record_hash", "premiums", "claims", "claim_premium_ratio")
+MARKET_NATURAL = {"month": "year_month", "company": "company_code", "product": "product", "state": "state"}
 
 
 def risk_gate(
@@ -279,13 +301,10 @@ def risk_gate(
         fused_scan(staging, RISK_ROW_RULES),
         fused_scan(fact, RISK_FACT_RULES),
         partition_reconciliation(manifest, staging, c["partition"]),
-        duplicates(staging, IDENTITY, c["identity"], mode="rows"),
+        compared_layers(staging, fact, ("record_hash",), c["identity"], c["counts"], c["grain"], c["lineage"], "rows"),
         one_to_one(staging, "state", "state_ab", c["mapping"]),
         duplicates(staging, ("record_hash",), audit, mode="rows"),
-        count_difference(staging, fact, c["counts"]),
         orphans(fact, dims, c["orphans"]),
-        duplicates(fact, IDENTITY, c["grain"], mode="rows"),
-        lineage(fact, staging, ("record_hash",), c["lineage"]),
         natural_key_duplicates(dims, c["dims"]),
     ]
     if layout is not None:
@@ -303,14 +322,11 @@ def market_gate(
         fused_scan(staging, {**MARKET_ROW_RULES, **MARKET_WARNINGS}),
         batch_reconciliation(batches, staging, rejected, c["batches"]),
         _single(rejected, c["rejects"], F.count("*")),
-        duplicates(staging, IDENTITY, c["identity"]),
+        compared_layers(staging, fact, MARKET_COMPARED, c["identity"], c["counts"], c["fact_grain"], c["lineage"], "groups"),
         duplicates(staging, ("company_code", "year_month", "product", "state"), c["grain"]),
         several_values(staging, "company_code", "company_name", c["names"]),
-        count_difference(staging, fact, c["counts"]),
         orphans(fact, dims, c["orphans"]),
-        duplicates(fact, IDENTITY, c["fact_grain"]),
-        lineage(fact, staging, MARKET_LINEAGE, c["lineage"]),
-        natural_key_duplicates(dims, c["dims"]),
+        natural_key_duplicates(dims, c["dims"], MARKET_NATURAL),
         missing_reconciliation(batches, reconciliations, c["recon"]),
     ]
     if layout is not None:

@@ -117,7 +117,9 @@ def apply_market_contract(raw: DataFrame, row_number: str = "source_row_number")
     """Typed market columns next to the source text, plus hash, payload and reason.
 
     ``raw`` has the eight text columns and a row number; the optional columns
-    ``extra_cells`` and ``cells`` come from the CSV reader. Values are parsed in
+    ``extra_cells``, ``cells`` and ``raw_line`` come from the CSV reader. The
+    payload of a refused row has null for a cell that was not there, and the whole
+    source line if the row has another width than the contract. Values are parsed in
     one projection and judged in the next, so no parse is evaluated twice.
     """
     extra = F.col("extra_cells") if "extra_cells" in raw.columns else F.lit(False)
@@ -140,7 +142,13 @@ def apply_market_contract(raw: DataFrame, row_number: str = "source_row_number")
         F.nullif(text["claim_premium_ratio"], F.lit("NA")).alias("claim_premium_ratio_raw"),
         *[P.half_even_decimal(F.col(plain_column(c))).alias(c) for c in C.MARKET_DECIMALS],
     )
-    payload = F.to_json(F.struct(*[text[c].alias(c) for c in C.MARKET_COLUMNS]))
+    def given(position: int, c: str) -> Column:
+        return F.when(F.col("cells") > position, text[c]) if "cells" in raw.columns else text[c]
+
+    sent = [given(position, c).alias(c) for position, c in enumerate(C.MARKET_COLUMNS)]
+    if "raw_line" in raw.columns:
+        sent.append(F.col("raw_line"))
+    payload = F.to_json(F.struct(*sent), {"ignoreNullFields": "false"} if "cells" in raw.columns else {})
     judged = with_reason(parsed, market_rules(extra), row_number)
     return judged.select(
         *lineage,
@@ -227,20 +235,15 @@ def apply_risk_contract(raw: DataFrame, row_number: str = "source_row_number") -
 
 
 def contract_violations(checked: DataFrame, file: str = "source_file") -> DataFrame:
-    """Rows and bad rows per file, with the first bad row and its reason.
-
-    ``checked`` should be written rows, as it is read twice.
-    """
+    """Rows and bad rows per file, with the first bad row and its reason, in one aggregate."""
     bad = F.col("reject_reason").isNotNull()
-    counts = checked.groupBy(file).agg(
+    number = F.when(bad, F.col("source_row_number"))
+    return checked.groupBy(file).agg(
         F.count("*").alias("source_rows"),
         F.count_if(bad).alias("bad_rows"),
-        F.min(F.when(bad, F.col("source_row_number"))).alias("first_bad_row"),
-    )
-    reasons = checked.where(bad).select(
-        F.col(file), F.col("source_row_number").alias("first_bad_row"), F.col("reject_reason").alias("first_reason")
+        F.min(number).alias("first_bad_row"),
+        F.min_by("reject_reason", number).alias("first_reason"),
     )
-    return counts.join(reasons, [file, "first_bad_row"], "left").select(*counts.columns, "first_reason")
 
 
 def require_clean(checked: DataFrame) -> None:

@@ -115,20 +115,19 @@ def market_dimensions(staging: DataFrame) -> dict[str, DataFrame]:
     return {name: assign_keys(df, f"{name}_key") for name, df in market_members(staging).items()}
 
 
+MARKET_LINEAGE = ("batch_id", "source_file", "source_version", "source_row_number", "record_hash", "loaded_at")
 MARKET_KEYS = {"month": "year_month", "company": "company_code", "product": "product", "state": "state"}
 
 
 def fact_market(staging: DataFrame, dims: Mapping[str, DataFrame], batches: DataFrame) -> DataFrame:
-    """One fact per staged row of a SUCCESS batch, with its four dimension keys."""
+    """One fact per staged row of a SUCCESS batch, with its lineage and its four dimension keys."""
     done = batches.where(F.col("status") == "SUCCESS").select("batch_id")
     fact = staging.join(broadcast_if_small(done), "batch_id", "left_semi")
     for name, natural in MARKET_KEYS.items():
         keys = dims[name].select(natural, f"{name}_key")
         fact = fact.join(broadcast_if_small(keys), natural)
     return fact.select(
-        "batch_id",
-        "source_file",
-        "source_row_number",
+        *[c for c in MARKET_LINEAGE if c in staging.columns],
         *[f"{name}_key" for name in MARKET_KEYS],
         "premiums",
         "claims",

@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.contracts import MARKET_COLUMNS
 from riskmart.functions.hashing import text_record_hash
 from riskmart.operators import marts as M
 from riskmart.operators import warehouse as W
@@ -48,7 +49,7 @@ class Sources:
 
     @cached_property
     def lineitem(self) -> DataFrame:
-        return scan_with_ordinals(self.spark, f"{self.folder}/lineitem.parquet")
+        return spread(scan_with_ordinals(self.spark, f"{self.folder}/lineitem.parquet"))
 
     # -- market track -------------------------------------------------------
 
@@ -66,19 +67,22 @@ class Sources:
                 F.sum(F.when(returned, price * _money("l_discount", "decimal(4,2)")).otherwise(0))
                 .cast("decimal(38,4)")
                 .alias("claims"),
-                F.min("ordinal").alias("source_row_number"),
+                F.min("ordinal").alias("_ordinal"),
             )
+            # Two versions of one file: every row number stands in both.
+            .withColumns({"source_version": F.when(F.col("_ordinal") % 2 == 1, "V1").otherwise("V2"), "source_row_number": F.expr("(_ordinal + 1) div 2")})
         )
         tick = F.lit("0.01").cast("decimal(4,2)")
         ratio = F.when(
             F.col("source_row_number") % 11 != 0,
             ((F.col("source_row_number") % 200 - 3).cast("decimal(9,0)") * tick).cast("decimal(18,4)"),
         )
-        return sold.join(
+        rows = sold.join(
             self.read("supplier").select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey")
         ).select(
             F.concat(F.lit("market-"), F.year("year_month").cast("string")).alias("batch_id"),
             F.lit("market.csv").alias("source_file"),
+            "source_version",
             "source_row_number",
             F.col("s_suppkey").cast("int").alias("company_code"),
             F.col("s_name").alias("company_name"),
@@ -89,6 +93,7 @@ class Sources:
             "claims",
             ratio.alias("claim_premium_ratio"),
         )
+        return rows.withColumn("record_hash", text_record_hash([F.col(c).cast("string") for c in MARKET_COLUMNS]))
 
     @property
     def market(self) -> DataFrame:
@@ -209,6 +214,7 @@ class Sources:
         )
         rows = joined.select(
             F.concat(F.lit("part"), (F.col("l_orderkey") % 5).cast("string"), F.lit(".csv")).alias("source_file"),
+            F.lit("V1").alias("source_version"),
             F.col("ordinal").alias("source_row_number"),
             F.nullif("c_mktsegment", F.lit("FURNITURE")).alias("gender"),
             F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("driv_age"),
@@ -293,6 +299,53 @@ class Sources:
             (base * weight).cast("decimal(12,10)").alias("score"),
         )
 
+    # -- two versions of a file, and damaged layers on which every rule finds something ------
+
+    @cached_property
+    def risk_versions(self) -> tuple[DataFrame, DataFrame]:
+        """Staging and fact with the last file staged a second time under another version."""
+        again = lambda df: df.unionByName(df.where("source_file = 'part4.csv'").withColumn("source_version", F.lit("V2")))
+        return again(self.risk), again(self.fact_risk)
+
+    @cached_property
+    def risk_damaged(self) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+        slot = "source_row_number % 1009"
+        staging = self.risk.withColumns({
+            "prem_total": F.expr(f"if({slot} = 1, null, prem_total)"),
+            "claim_amount_rob": F.expr(f"if({slot} = 2, cast(-1 as decimal(19, 6)), claim_amount_rob)"),
+            "state": F.expr(f"if({slot} = 3, null, state)"),
+            "state_ab": F.expr(f"if({slot} = 4, 'ZZ', state_ab)"),
+            "claim_nb_fire": F.expr(f"if({slot} = 5, 1, claim_nb_fire)"),
+        }).unionByName(self.risk.where(f"{slot} = 6"))
+        fact = self.fact_risk.where(f"{slot} <> 8").withColumns({
+            "driver_key": F.expr(f"if({slot} = 7, -5, driver_key)"),
+            "record_hash": F.expr(f"if({slot} = 9, 'X' || record_hash, record_hash)"),
+            "loss_ratio": F.expr(f"if({slot} = 12, null, loss_ratio)"),
+            "source_row_number": F.expr(f"if({slot} = 10, source_row_number + 1000000000, source_row_number)"),
+        }).unionByName(self.fact_risk.where(f"{slot} = 11"))
+        driver = self.risk_dims["driver"]
+        twins = driver.where("driver_key % 3 = 1").withColumn("driver_key", F.col("driver_key") + 1_000_000)
+        return staging, fact, {**self.risk_dims, "driver": driver.unionByName(twins)}
+
+    @cached_property
+    def market_damaged(self) -> tuple[DataFrame, DataFrame, dict[str, DataFrame]]:
+        slot = "source_row_number % 503"
+        staging = self.market.withColumns({
+            "company_name": F.expr(f"case {slot} when 1 then null when 3 then 'other name' else company_name end"),
+            "year_month": F.expr(f"if({slot} = 2, date_add(year_month, 1), year_month)"),
+            "claims": F.expr(f"if({slot} = 4, cast(-1 as decimal(38, 4)), claims)"),
+        }).unionByName(self.market.where(f"{slot} = 5").withColumn("source_row_number", F.col("source_row_number") + 1_000_000_000)).unionByName(
+            self.market.where(f"{slot} = 6")
+        )
+        fact = self.fact_market.where(f"{slot} <> 8").withColumns({
+            "company_key": F.expr(f"if({slot} = 7, -5, company_key)"),
+            "premiums": F.expr(f"if({slot} = 9, cast(premiums + 1 as decimal(38, 2)), premiums)"),
+            "source_row_number": F.expr(f"if({slot} = 10, source_row_number + 1000000000, source_row_number)"),
+        }).unionByName(self.fact_market.where(f"{slot} = 11"))
+        state = self.market_dims["state"]
+        twins = state.where("state_key % 3 = 1").withColumn("state_key", F.col("state_key") + 1_000_000)
+        return staging, fact, {**self.market_dims, "state": state.unionByName(twins)}
+
     # -- marts: small, written once, read by every analytic -------------------
 
     @property

@@ -25,13 +25,14 @@ from riskmart.operators.row_contracts import (
     split_rows,
 )
 from riskmart.sources import csv_contract as S
-from riskmart.sources.tables import new_folder, write_table
+from riskmart.sources.tables import delete_folder, new_folder, read_or_empty, work_folder, write_table
 
 EVENT_SCHEMA = (
     "batch_id string, source_file string, source_version string, status string, event_seq bigint, "
     "expected_rows bigint, accepted_rows bigint, rejected_rows bigint, elapsed_ms bigint, error string, event_at timestamp"
 )
 AUDIT_SCHEMA = "batch_id string, stage string, status string, rows_affected bigint, detail string, event_at timestamp"
+VERSION_SCHEMA = "source_file string, source_version string, length bigint"
 MANIFEST_SCHEMA = "source_file string, expected_source_rows bigint, expected_source_bytes bigint, is_canonical boolean"
 
 
@@ -58,10 +59,7 @@ class Store:
         return f"{self.root}/{self.contract.name}_{name}"
 
     def read(self, name: str, schema: str) -> DataFrame:
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(name))
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        return read_or_empty(self.spark, self.path(name), schema)
 
     def append(self, name: str, schema: str, row: tuple) -> None:
         self.spark.createDataFrame([row], schema).coalesce(1).write.mode("append").parquet(self.path(name))
@@ -79,7 +77,9 @@ class Store:
         """Stored rows of a table with all its partitions, or None before the first load."""
         try:
             return self.spark.read.parquet(self.path(name))
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def published(self, name: str = "staging") -> DataFrame:
@@ -101,7 +101,7 @@ class Store:
         )
         for row in open_batches.select("batch_id").collect():
             for name in ("staging", "rejects"):
-                _delete(self.spark, f"{self.path(name)}/batch_id={row.batch_id}")
+                delete_folder(self.spark, f"{self.path(name)}/batch_id={row.batch_id}")
 
     def publish(self, df: DataFrame, name: str, batch_id: str) -> None:
         df.drop("batch_id").write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={batch_id}")
@@ -113,18 +113,13 @@ def _now():
     return datetime.now(UTC)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def _load(
     store: Store, path: str, manifest: DataFrame, by_content: bool, multi_line: bool = False
 ) -> LoadResult:
     spark, contract = store.spark, store.contract
     S.check_header(spark, [path], contract)
-    version = S.fingerprints(spark, [path])
+    with work_folder(spark, "version") as folder:
+        version = spark.createDataFrame(S.fingerprints(spark, [path], folder).collect(), VERSION_SCHEMA)  # one file
     S.require_manifest(version, manifest)
     source = version.join(manifest.where("is_canonical"), "source_file").first()
     name, expected = source.source_file, source.expected_source_rows
@@ -157,13 +152,15 @@ def _load(
 
     event(B.RUNNING, None, None)
     store.audit(batch_id, "STAGING_LOAD", "STARTED", 0, "source is read only")
+    work = new_folder(spark, "load")
     try:
-        raw = S.land_with_row_numbers(spark, [path], contract, multi_line=multi_line)
+        raw = S.land_with_row_numbers(spark, [path], contract, f"{work}/landing", multi_line)
         apply = apply_market_contract if contract is C.MARKET else apply_risk_contract
         judged = apply(raw).withColumns(
             {"source_version": F.lit(source.source_version), "loaded_at": F.current_timestamp()}
         )
-        checked = write_table(judged.drop("cells", "extra_cells"), new_folder(spark, "checked"))
+        checked = write_table(judged.drop("cells", "extra_cells", "raw_line"), f"{work}/checked")
+        delete_folder(spark, f"{work}/landing")
         if contract.policy == "fail_fast":
             require_clean(checked)
         accepted, rejected = split_rows(checked)
@@ -184,6 +181,8 @@ def _load(
         event(B.FAILED, None, None, str(error))
         store.audit(batch_id, "STAGING_LOAD", "FAILED", None, str(error))
         raise
+    finally:
+        delete_folder(spark, work)
     event(B.SUCCESS, counts.good, counts.n - counts.good)
     store.audit(batch_id, "STAGING_LOAD", "SUCCESS", counts.good, f"source={counts.n}; accepted={counts.good}")
     return LoadResult(batch_id, "SUCCESS", counts.n, counts.good, counts.n - counts.good)

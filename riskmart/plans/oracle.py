@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from riskmart.contracts import RISK_COLUMNS, UNKNOWN_LABEL
+from riskmart.contracts import MARKET_COLUMNS, RISK_COLUMNS, UNKNOWN_LABEL
 from riskmart.operators.warehouse import RISK_STAGING_TO_SNAKE
 from riskmart.plans.fixtures import RECORD_HASH_COLUMNS
 
@@ -39,28 +39,30 @@ def _unknown(kind: str, label: dict[str, str]) -> str:
     return f" UNION ALL SELECT 0, repeat('0', 64), {', '.join(label.values())}"
 
 
+MARKET_HASH = nul_hash([f"CAST({c} AS VARCHAR)" for c in MARKET_COLUMNS])
 RISK_HASH = nul_hash([f"CAST({c} AS VARCHAR)" for c in RECORD_HASH_COLUMNS])
 CLAIM_COUNT = "(claim_nb_rob + claim_nb_partcoll + claim_nb_totcoll + claim_nb_fire + claim_nb_other)"
 CLAIM_AMOUNT = "(claim_amount_rob + claim_amount_partcoll + claim_amount_totcoll + claim_amount_fire + claim_amount_other)"
 
 FX: dict[str, str] = {
     "fx_lineitem": "SELECT *, row_number() OVER () AS ordinal FROM lineitem",
-    "fx_market": """
-SELECT 'market-' || CAST(year(year_month) AS VARCHAR) AS batch_id, 'market.csv' AS source_file, source_row_number,
+    "fx_market": f"""
+SELECT *, {MARKET_HASH} AS record_hash FROM (
+SELECT 'market-' || CAST(year(year_month) AS VARCHAR) AS batch_id, 'market.csv' AS source_file, source_version, source_row_number,
   CAST(l_suppkey AS INT) AS company_code, s_name AS company_name, year_month, p_type AS product,
   lpad(CAST(c_nationkey AS VARCHAR), 2, '0') AS state, premiums, claims,
   CASE WHEN source_row_number % 11 <> 0 THEN
     CAST(CAST(source_row_number % 200 - 3 AS DECIMAL(9,0)) * CAST(0.01 AS DECIMAL(4,2)) AS DECIMAL(18,4)) END AS claim_premium_ratio
-FROM (
+FROM (SELECT *, CASE WHEN o % 2 = 1 THEN 'V1' ELSE 'V2' END AS source_version, (o + 1) // 2 AS source_row_number FROM (
   SELECT l.l_suppkey, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS year_month, p.p_type, c.c_nationkey,
     CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))
       * CASE WHEN l.l_linestatus = 'F' AND l.l_linenumber = 7 AND l.l_quantity < 5 THEN -1 ELSE 1 END) AS DECIMAL(38,2)) AS premiums,
     CAST(SUM(CASE WHEN l.l_returnflag = 'R' THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(4,2))
       ELSE 0 END) AS DECIMAL(38,4)) AS claims,
-    MIN(l.ordinal) AS source_row_number
+    MIN(l.ordinal) AS o
   FROM fx_lineitem l JOIN part p ON p.p_partkey = l.l_partkey
   JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN customer c ON c.c_custkey = o.o_custkey
-  GROUP BY ALL) JOIN supplier ON s_suppkey = l_suppkey""",
+  GROUP BY ALL)) JOIN supplier ON s_suppkey = l_suppkey)""",
     "fx_market_raw": f"""
 SELECT batch_id, source_file, source_row_number,
   {_slots("CAST(company_code AS VARCHAR)", {1: "''", 2: "'0' || CAST(company_code AS VARCHAR)", 3: "'99999999999'"})} AS company_code,
@@ -83,7 +85,7 @@ FROM (SELECT batch_id, CAST(substr(batch_id, 8, 4) AS INT) AS y, count(*) AS n,
     "dim_product": _dim("Product", "SELECT DISTINCT product FROM fx_market", ["product"]),
     "dim_state": _dim("State", "SELECT DISTINCT state FROM fx_market", ["state"]),
     "fact_market": """
-SELECT s.batch_id, s.source_file, s.source_row_number, m.month_key, c.company_key, p.product_key, g.state_key,
+SELECT s.batch_id, s.source_file, s.source_version, s.source_row_number, s.record_hash, m.month_key, c.company_key, p.product_key, g.state_key,
   s.premiums, s.claims, s.claim_premium_ratio, CAST(year(s.year_month) AS INT) AS calendar_year
 FROM fx_market s JOIN fx_market_batches b ON b.batch_id = s.batch_id AND b.status = 'SUCCESS'
 JOIN dim_month m ON m.year_month = s.year_month JOIN dim_company c ON c.company_code = s.company_code
@@ -92,7 +94,7 @@ JOIN dim_product p ON p.product = s.product JOIN dim_state g ON g.state = s.stat
 SELECT {RISK_HASH} AS record_hash, *,
   CAST(expos_total * part_share AS DECIMAL(19,6)) AS expos_fire_rob,
   CAST(prem_total * part_share AS DECIMAL(19,6)) AS prem_fire_rob, CAST(prem_total * 10 AS DECIMAL(19,6)) AS sum_ins_avg
-FROM (SELECT 'part' || CAST(l.l_orderkey % 5 AS VARCHAR) || '.csv' AS source_file, l.ordinal AS source_row_number,
+FROM (SELECT 'part' || CAST(l.l_orderkey % 5 AS VARCHAR) || '.csv' AS source_file, 'V1' AS source_version, l.ordinal AS source_row_number,
   NULLIF(c.c_mktsegment, 'FURNITURE') AS gender, NULLIF(o.o_orderpriority, '4-NOT SPECIFIED') AS driv_age,
   CASE WHEN p.p_size = 50 THEN NULL ELSE 1960 + p.p_size END AS veh_year, p.p_name AS veh_model, p.p_brand AS veh_group,
   r.r_name AS area, CASE WHEN n.n_nationkey = 0 THEN NULL ELSE n.n_name END AS state,
@@ -145,6 +147,37 @@ SELECT 'batch-' || CAST(user_id AS VARCHAR) AS batch_id, 'file-' || CAST(user_id
 }
 
 
+for name in ("fx_risk", "fact_risk"):
+    FX[f"{name}_versions"] = f"SELECT * FROM {name} UNION ALL SELECT * REPLACE ('V2' AS source_version) FROM {name} WHERE source_file = 'part4.csv'"
+FX |= {
+    "fx_risk_damaged": """
+SELECT * REPLACE (CASE WHEN source_row_number % 1009 = 1 THEN NULL ELSE prem_total END AS prem_total,
+  CASE WHEN source_row_number % 1009 = 2 THEN CAST(-1 AS DECIMAL(19,6)) ELSE claim_amount_rob END AS claim_amount_rob,
+  CASE WHEN source_row_number % 1009 = 3 THEN NULL ELSE state END AS state, CASE WHEN source_row_number % 1009 = 4 THEN 'ZZ' ELSE state_ab END AS state_ab,
+  CASE WHEN source_row_number % 1009 = 5 THEN 1 ELSE claim_nb_fire END AS claim_nb_fire) FROM fx_risk
+UNION ALL SELECT * FROM fx_risk WHERE source_row_number % 1009 = 6""",
+    "fact_risk_damaged": """
+SELECT * REPLACE (CASE WHEN source_row_number % 1009 = 7 THEN -5 ELSE driver_key END AS driver_key,
+  CASE WHEN source_row_number % 1009 = 9 THEN 'X' || record_hash ELSE record_hash END AS record_hash,
+  CASE WHEN source_row_number % 1009 = 12 THEN NULL ELSE loss_ratio END AS loss_ratio,
+  CASE WHEN source_row_number % 1009 = 10 THEN source_row_number + 1000000000 ELSE source_row_number END AS source_row_number)
+FROM fact_risk WHERE source_row_number % 1009 <> 8 UNION ALL SELECT * FROM fact_risk WHERE source_row_number % 1009 = 11""",
+    "dim_driver_damaged": "SELECT * FROM dim_driver UNION ALL SELECT * REPLACE (driver_key + 1000000 AS driver_key) FROM dim_driver WHERE driver_key % 3 = 1",
+    "fx_market_damaged": """
+SELECT * REPLACE (CASE source_row_number % 503 WHEN 1 THEN NULL WHEN 3 THEN 'other name' ELSE company_name END AS company_name,
+  CAST(CASE WHEN source_row_number % 503 = 2 THEN year_month + 1 ELSE year_month END AS DATE) AS year_month,
+  CASE WHEN source_row_number % 503 = 4 THEN CAST(-1 AS DECIMAL(38,4)) ELSE claims END AS claims) FROM fx_market
+UNION ALL SELECT * REPLACE (source_row_number + 1000000000 AS source_row_number) FROM fx_market WHERE source_row_number % 503 = 5
+UNION ALL SELECT * FROM fx_market WHERE source_row_number % 503 = 6""",
+    "fact_market_damaged": """
+SELECT * REPLACE (CASE WHEN source_row_number % 503 = 7 THEN -5 ELSE company_key END AS company_key,
+  CASE WHEN source_row_number % 503 = 9 THEN CAST(premiums + 1 AS DECIMAL(38,2)) ELSE premiums END AS premiums,
+  CASE WHEN source_row_number % 503 = 10 THEN source_row_number + 1000000000 ELSE source_row_number END AS source_row_number)
+FROM fact_market WHERE source_row_number % 503 <> 8 UNION ALL SELECT * FROM fact_market WHERE source_row_number % 503 = 11""",
+    "dim_state_damaged": "SELECT * FROM dim_state UNION ALL SELECT * REPLACE (state_key + 1000000 AS state_key) FROM dim_state WHERE state_key % 3 = 1",
+}
+
+
 def _risk_slots(base: str, changes: dict[int, str]) -> str:
     return _slots(base, changes).replace("% 97", "% 211")
 

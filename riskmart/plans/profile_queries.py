@@ -5,10 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.contracts import MARKET_COLUMNS, NULL_SENTINELS
+from riskmart.contracts import MARKET_COLUMNS, NULL_SENTINELS, RISK_DECIMALS
 from riskmart.functions import parsing as P
 from riskmart.operators import profiling as R
-from riskmart.plans.contract_queries import sql_half_even
 from riskmart.plans.fixtures import RISK_ATTRIBUTES, Sources
 from riskmart.plans.registry import query
 
@@ -23,22 +22,50 @@ def _stack(table: str, columns: tuple[str, ...]) -> str:
 
 _SENTINELS = ", ".join(f"'{s}'" for s in NULL_SENTINELS)
 _RX = "'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]{1,9})?$'"
-_PLAIN = "CASE WHEN value = '1e-5' THEN '0.00001' ELSE value END"
+# Values beyond any decimal column and beyond int64, for the profiles that must take them as they are.
+_HUGE = {19: "123456789012345678901.5", 20: "1e-100", 21: "0.0000000000000000004", 22: "-98765432109876543210987654321098765432109876543210"}
+_LONG_CODE = "12345678901234567890"
+_PLAIN = "CASE value WHEN '1e-5' THEN '0.00001' WHEN '1e-100' THEN '0.' || repeat('0', 99) || '1' ELSE value END"
+_RAW_HUGE = (
+    "(SELECT * REPLACE (CASE source_row_number % 97 " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in _HUGE.items())
+    + f" ELSE premiums END AS premiums, CASE source_row_number % 97 WHEN 19 THEN '{_LONG_CODE}' WHEN 20 THEN '-{_LONG_CODE}' ELSE company_code END AS company_code) FROM fx_market_raw)"
+)
+_POWER = 130  # the oracle's numbers are whole multiples of 10^-130
+
+
+def _shown(number: str) -> str:
+    """Shortest plain notation of a whole number of 10^-130."""
+    bare = f"ltrim(CAST({number} AS VARCHAR), '-')"
+    digits = f"lpad({bare}, greatest(length({bare}), {_POWER + 1})::INT, '0')"
+    plain = f"rtrim(rtrim(left({digits}, length({digits}) - {_POWER}) || '.' || right({digits}, {_POWER}), '0'), '.')"
+    return f"CASE WHEN CAST({number} AS VARCHAR) LIKE '-%' THEN '-' ELSE '' END || {plain}"
+
+
+def _huge(src: Sources) -> DataFrame:
+    slot, code = F.col("source_row_number") % 97, F.lit(_LONG_CODE)
+    premiums = F.col("premiums")
+    for at, value in _HUGE.items():
+        premiums = F.when(slot == at, value).otherwise(premiums)
+    codes = F.when(slot == 19, code).when(slot == 20, F.concat(F.lit("-"), code)).otherwise(F.col("company_code"))
+    return src.market_raw.withColumns({"premiums": premiums, "company_code": codes})
 
 
 @query(
     "profile_numeric_text",
-    f"""WITH t AS (SELECT column_name, {_PLAIN} AS value, upper(value) IN ({_SENTINELS}) AS blank, regexp_matches(value, {_RX}) AS good FROM {_stack('fx_market_raw', NUMBERS)}),
-v AS (SELECT *, CASE WHEN good THEN {sql_half_even('value')} END AS number, CASE WHEN good THEN length(regexp_extract(value, '^-?0*([0-9]*)', 1)) END AS whole,
-  CASE WHEN good THEN length(regexp_extract(value, '[.]([0-9]*)', 1)) END AS places FROM t)
+    f"""WITH t AS (SELECT column_name, {_PLAIN} AS value, CASE WHEN column_name = 'claim_premium_ratio' THEN upper(value) IN ({_SENTINELS}) ELSE value = '' END AS blank,
+  regexp_matches(value, {_RX}) AS good FROM {_stack(_RAW_HUGE, NUMBERS)}),
+p AS (SELECT *, CASE WHEN value LIKE '-%' THEN '-' ELSE '' END AS sign, ltrim(split_part(ltrim(value, '+-'), '.', 1), '0') AS whole, split_part(ltrim(value, '+-'), '.', 2) AS frac FROM t),
+v AS (SELECT *, CASE WHEN good THEN CAST(sign || whole || rpad(frac, {_POWER}, '0') AS BIGNUM) END AS number,
+  CASE WHEN good THEN CASE WHEN ltrim(whole || frac, '0') = '' THEN greatest(1 - length(frac), 0) ELSE length(whole) END END AS iw, CASE WHEN good THEN length(frac) END AS places FROM p)
 SELECT column_name, count_if(good)::BIGINT AS present_count, count_if(blank)::BIGINT AS null_count, count_if(NOT good AND NOT blank)::BIGINT AS invalid_count,
-  count_if(number < 0)::BIGINT AS negative_count, count_if(number = 0)::BIGINT AS zero_count, CAST(min(number) AS VARCHAR) AS min, CAST(max(number) AS VARCHAR) AS max,
-  CAST(sum(number) AS VARCHAR) AS sum, CAST(max(whole) AS INT) AS max_integer_digits, CAST(max(places) AS INT) AS max_scale_digits,
-  'DECIMAL(' || least(38, greatest(1, max(whole) + max(places))) || ',' || max(places) || ')' AS suggested_type FROM v GROUP BY column_name""",
+  count_if(good AND sign = '-' AND ltrim(whole || frac, '0') <> '')::BIGINT AS negative_count, count_if(good AND ltrim(whole || frac, '0') = '')::BIGINT AS zero_count,
+  {_shown('min(number)')} AS min, {_shown('max(number)')} AS max, {_shown('sum(number)')} AS sum,
+  CAST(max(iw) AS INT) AS max_integer_digits, CAST(max(places) AS INT) AS max_scale_digits,
+  'DECIMAL(' || least(38, greatest(1, max(iw) + max(places))) || ',' || max(places) || ')' AS suggested_type FROM v GROUP BY column_name""",
 )
 def profile_numeric_text(src: Sources) -> DataFrame:
-    profile = R.numeric_text_profile(src.market_raw, NUMBERS, NULL_SENTINELS)
-    return profile.withColumns({c: F.col(c).cast("string") for c in ("min", "max", "sum")})
+    """Only the ratio has spellings of null beside the blank."""
+    return R.numeric_text_profile(_huge(src), {"premiums": ("",), "claims": ("",), "claim_premium_ratio": NULL_SENTINELS})
 
 
 @query(
@@ -60,7 +87,7 @@ def profile_topk(src: Sources) -> DataFrame:
 
 
 _DAY = "CASE WHEN regexp_matches(year_month, '^[0-9]{4}-[0-9]{2}-[0-9]{2}$') THEN TRY_CAST(year_month AS DATE) END"
-_CODE = "TRY_CAST(company_code AS BIGINT)"
+_CODE = "TRY_CAST(company_code AS HUGEINT)"
 
 
 @query(
@@ -68,12 +95,11 @@ _CODE = "TRY_CAST(company_code AS BIGINT)"
     f"""SELECT 'year_month' AS column_name, count_if(year_month = '')::BIGINT AS null_count, count_if(year_month <> '' AND {_DAY} IS NULL)::BIGINT AS invalid_count,
   CAST(min({_DAY}) AS VARCHAR) AS min, CAST(max({_DAY}) AS VARCHAR) AS max, CAST(NULL AS BIGINT) AS cardinality FROM fx_market_raw
 UNION ALL SELECT 'company_code', count_if(company_code = '')::BIGINT, count_if(company_code <> '' AND {_CODE} IS NULL)::BIGINT, CAST(min({_CODE}) AS VARCHAR), CAST(max({_CODE}) AS VARCHAR),
-  count(DISTINCT {_CODE}) FROM fx_market_raw""",
+  count(DISTINCT {_CODE}) FROM {_RAW_HUGE}""",
 )
 def profile_dates(src: Sources) -> DataFrame:
     dates = R.date_profile(src.market_raw, "year_month").withColumn("cardinality", F.lit(None).cast("bigint"))
-    codes = R.code_profile(src.market_raw, "company_code")
-    return dates.unionByName(codes.withColumns({c: F.col(c).cast("string") for c in ("min", "max")}))
+    return dates.unionByName(R.code_profile(_huge(src), "company_code"))
 
 
 @query(
@@ -197,15 +223,16 @@ def profile_partition_dups(src: Sources) -> DataFrame:
     return R.partition_duplicates(src.risk.select("source_file", key.alias("record")), "record")
 
 
-_RISK_TEXT = ("ExposTotal", "PremTotal")
+_RISK_DECIMALS = tuple(RISK_DECIMALS)
 _WIDE = " UNION ALL ".join(
-    f"""SELECT '{c}' AS column_name, source_file, source_row_number, "{c}" AS value FROM fx_risk_raw""" for c in _RISK_TEXT
+    f"""SELECT '{c}' AS column_name, source_file, source_row_number, CASE WHEN source_row_number % 211 = 20 THEN '1e-100' ELSE "{c}" END AS value FROM fx_risk_raw"""
+    for c in _RISK_DECIMALS
 )
 
 
 @query(
     "profile_precision",
-    f"""WITH t AS (SELECT column_name, source_file, source_row_number, CASE WHEN value = '1.5e3' THEN '1500.' ELSE value END AS value FROM ({_WIDE})),
+    f"""WITH t AS (SELECT column_name, source_file, source_row_number, CASE value WHEN '1.5e3' THEN '1500.' WHEN '1e-100' THEN '0.' || repeat('0', 99) || '1' ELSE value END AS value FROM ({_WIDE})),
 v AS (SELECT *, CASE WHEN regexp_matches(value, {_RX}) THEN greatest(1, length(regexp_extract(value, '^-?0*([0-9]*)', 1))) END AS whole,
   CASE WHEN regexp_matches(value, {_RX}) THEN length(regexp_extract(value, '[.]([0-9]*)', 1)) END AS places FROM t),
 m AS (SELECT column_name, count(*) AS rows, count_if(places IS NULL)::BIGINT AS parse_errors, CAST(max(whole) AS INT) AS max_integer_digits, CAST(max(places) AS INT) AS max_fraction_digits FROM v GROUP BY 1)
@@ -215,4 +242,5 @@ FROM m LEFT JOIN LATERAL (SELECT source_file, source_row_number FROM v WHERE v.c
 LEFT JOIN LATERAL (SELECT source_file, source_row_number FROM v WHERE v.column_name = m.column_name AND whole = max_integer_digits ORDER BY 1, 2 LIMIT 1) i ON true""",
 )
 def profile_precision(src: Sources) -> DataFrame:
-    return R.precision_profile(src.risk_raw, _RISK_TEXT)
+    tiny = {c: F.when(F.col("source_row_number") % 211 == 20, "1e-100").otherwise(F.col(c)) for c in _RISK_DECIMALS}
+    return R.precision_profile(src.risk_raw.withColumns(tiny), _RISK_DECIMALS)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +36,16 @@ def _if(table: str, condition: str) -> str:
     return f"SELECT count(*) FROM {table} WHERE {condition}"
 
 
+_ID = ", ".join(Q.IDENTITY)
+
+
+def _lineage(fact: str, staging: str, compared: tuple[str, ...]) -> str:
+    """Fact identities that staging lacks or holds with other values."""
+    value = "CAST([" + ", ".join(f"CAST({c} AS VARCHAR)" for c in compared) + "] AS VARCHAR)"
+    return f"""SELECT count(*) FROM (SELECT count_if(layer = 'f') AS f, count_if(layer = 's') AS s, count(DISTINCT v) AS variants FROM (
+ SELECT {_ID}, 's' AS layer, {value} AS v FROM {staging} UNION ALL SELECT {_ID}, 'f', {value} FROM {fact}) GROUP BY {_ID}) WHERE f > 0 AND (s = 0 OR variants > 1)"""
+
+
 _PAIRS = " OR ".join(
     f"(claim_nb_{k} = 0 AND claim_amount_{k} > 0) OR (claim_nb_{k} > 0 AND claim_amount_{k} = 0)"
     for k in ("rob", "partcoll", "totcoll", "fire", "other")
@@ -50,15 +62,15 @@ RISK_SQL = {
     "dq_claim_pair": [rule_sql(list(Q.RISK_ROW_RULES)[3], _if("fx_risk", _PAIRS))],
     "dq_ratio_finite": [rule_sql(list(Q.RISK_FACT_RULES)[0], _if("fact_risk", _RATIO))],
     "dq_partition_recon": [rule_sql(R["partition"], f"SELECT count(*) FROM {_FX_MANIFEST} m LEFT JOIN (SELECT source_file, count(*) AS n FROM fx_risk GROUP BY 1) s USING (source_file) WHERE coalesce(n, 0) <> expected")],
-    "dq_identity_dup": [rule_sql(R["identity"], _dup_rows("fx_risk", "source_file, source_row_number"))],
+    "dq_identity_dup": [rule_sql(R["identity"], _dup_rows("fx_risk", _ID))],
     "dq_state_mapping": [rule_sql(R["mapping"], """SELECT count(*) FROM (SELECT state FROM fx_risk WHERE state IS NOT NULL GROUP BY 1 HAVING count(DISTINCT state_ab) > 1
  UNION ALL SELECT state_ab FROM fx_risk WHERE state_ab IS NOT NULL GROUP BY 1 HAVING count(DISTINCT state) > 1)""")],
     "dq_logical_dup": [rule_sql(R["logical"], _dup_rows("fx_risk", "record_hash"))],
     "dq_fact_staging": [rule_sql(R["counts"], "SELECT abs((SELECT count(*) FROM fx_risk) - (SELECT count(*) FROM fact_risk))")],
     "dq_orphans": [rule_sql(R["orphans"], """SELECT count(*) FROM fact_risk f LEFT JOIN dim_driver d USING (driver_key) LEFT JOIN dim_vehicle v USING (vehicle_key)
  LEFT JOIN dim_geography g USING (geography_key) WHERE d.natural_hash IS NULL OR v.natural_hash IS NULL OR g.natural_hash IS NULL""")],
-    "dq_fact_grain": [rule_sql(R["grain"], _dup_rows("fact_risk", "source_file, source_row_number"))],
-    "dq_lineage": [rule_sql(R["lineage"], "SELECT count(*) FROM fact_risk f JOIN fx_risk s USING (source_file, source_row_number) WHERE f.record_hash IS DISTINCT FROM s.record_hash")],
+    "dq_fact_grain": [rule_sql(R["grain"], _dup_rows("fact_risk", _ID))],
+    "dq_lineage": [rule_sql(R["lineage"], _lineage("fact_risk", "fx_risk", ("record_hash",)))],
     "dq_dim_unique": [rule_sql(R["dims"], " + ".join(f"({_dup_rows(t, 'natural_hash')})" for t in ("dim_driver", "dim_vehicle", "dim_geography")))],
 }
 RECON_SQL = """SELECT b.batch_id, b.status AS load_status, b.expected_source_rows, b.accepted_rows, b.rejected_rows,
@@ -91,17 +103,16 @@ MARKET_SQL = {
  WHERE b.status = 'SUCCESS' AND (b.expected_source_rows <> b.accepted_rows + b.rejected_rows OR b.accepted_rows <> coalesce(s.n, 0)
    OR b.rejected_rows <> coalesce(r.n, 0))""")],
     "rejects": [rule_sql(M["rejects"], f"SELECT count(*) FROM ({CHECKED}) WHERE reason IS NOT NULL")],
-    "identity": [rule_sql(M["identity"], _dup_groups("fx_market", "source_file, source_row_number"))],
+    "identity": [rule_sql(M["identity"], _dup_groups("fx_market", _ID))],
     "dq_business_grain": [rule_sql(M["grain"], _dup_groups("fx_market", "company_code, year_month, product, state"))],
     "names": [rule_sql(M["names"], "SELECT count(*) FROM (SELECT company_code FROM fx_market GROUP BY 1 HAVING count(DISTINCT company_name) > 1)")],
     "counts": [rule_sql(M["counts"], "SELECT abs((SELECT count(*) FROM fx_market) - (SELECT count(*) FROM fact_market))")],
     "orphans": [rule_sql(M["orphans"], """SELECT count(*) FROM fact_market f LEFT JOIN dim_month m USING (month_key) LEFT JOIN dim_company c USING (company_key)
  LEFT JOIN dim_product p USING (product_key) LEFT JOIN dim_state g USING (state_key)
  WHERE m.natural_hash IS NULL OR c.natural_hash IS NULL OR p.natural_hash IS NULL OR g.natural_hash IS NULL""")],
-    "fact_grain": [rule_sql(M["fact_grain"], _dup_groups("fact_market", "source_file, source_row_number"))],
-    "lineage": [rule_sql(M["lineage"], "SELECT count(*) FROM fact_market f JOIN fx_market s USING (source_file, source_row_number) WHERE "
-                         + " OR ".join(f"f.{c} IS DISTINCT FROM s.{c}" for c in Q.MARKET_LINEAGE))],
-    "dims": [rule_sql(M["dims"], " + ".join(f"({_dup_rows(t, 'natural_hash')})" for t in ("dim_month", "dim_company", "dim_product", "dim_state")))],
+    "fact_grain": [rule_sql(M["fact_grain"], _dup_groups("fact_market", _ID))],
+    "lineage": [rule_sql(M["lineage"], _lineage("fact_market", "fx_market", Q.MARKET_COMPARED))],
+    "dims": [rule_sql(M["dims"], " + ".join(f"({_dup_rows(f'dim_{t}', c)})" for t, c in Q.MARKET_NATURAL.items()))],
     "dq_recon_present": [rule_sql(M["recon"], f"""SELECT CASE WHEN EXISTS (SELECT 1 FROM fx_market_batches b WHERE b.status = 'SUCCESS' AND NOT EXISTS (
  SELECT 1 FROM ({RECON_SQL}) r WHERE r.batch_id = b.batch_id AND r.status = 'SUCCESS')) THEN 1 ELSE 0 END""")],
 }
@@ -118,6 +129,19 @@ def _sql(name: str) -> str:
     return (RISK_SQL.get(name) or MARKET_SQL[name])[0]
 
 
+def _versions_sql(name: str) -> str:
+    return re.sub(r"\b(fx_risk|fact_risk)\b", r"\1_versions", _sql(name))
+
+
+def _damaged_sql(rules: list[str]) -> list[str]:
+    """The same rules on the damaged layers. Batches, rejects and reconciliations are broken as they are."""
+    return [re.sub(r"\b(fx_risk|fact_risk|dim_driver|fx_market|fact_market|dim_state)\b", r"\1_damaged", r) for r in rules]
+
+
+def _columns_sql(off: int) -> str:
+    return rule_sql(Q.COLUMNS_CHECK, f"SELECT {off}")
+
+
 def _manifest(src: Sources) -> DataFrame:
     """Expected rows per file, counted on the source table itself."""
     name = F.concat(F.lit("part"), (F.col("l_orderkey") % 5).cast("string"), F.lit(".csv"))
@@ -163,9 +187,9 @@ def dq_partition_recon(src: Sources) -> DataFrame:
     return Q.partition_reconciliation(_manifest(src), src.risk, R["partition"])
 
 
-@query("dq_identity_dup", _sql("dq_identity_dup"))
+@query("dq_identity_dup", _versions_sql("dq_identity_dup"))
 def dq_identity_dup(src: Sources) -> DataFrame:
-    return Q.duplicates(src.risk, Q.IDENTITY, R["identity"], mode="rows")
+    return Q.duplicates(src.risk_versions[0], Q.IDENTITY, R["identity"], mode="rows")
 
 
 @query("dq_state_mapping", _sql("dq_state_mapping"))
@@ -173,9 +197,9 @@ def dq_state_mapping(src: Sources) -> DataFrame:
     return Q.one_to_one(src.risk, "state", "state_ab", R["mapping"])
 
 
-@query("dq_logical_dup", _sql("dq_logical_dup"))
+@query("dq_logical_dup", _versions_sql("dq_logical_dup"))
 def dq_logical_dup(src: Sources) -> DataFrame:
-    return Q.duplicates(src.risk, ("record_hash",), R["logical"], mode="rows")
+    return Q.duplicates(src.risk_versions[0], ("record_hash",), R["logical"], mode="rows")
 
 
 @query("dq_fact_staging", _sql("dq_fact_staging"))
@@ -188,14 +212,16 @@ def dq_orphans(src: Sources) -> DataFrame:
     return Q.orphans(src.fact_risk, src.risk_dims, R["orphans"])
 
 
-@query("dq_fact_grain", _sql("dq_fact_grain"))
+@query("dq_fact_grain", _versions_sql("dq_fact_grain"))
 def dq_fact_grain(src: Sources) -> DataFrame:
-    return Q.duplicates(src.fact_risk, Q.IDENTITY, R["grain"], mode="rows")
+    return Q.duplicates(src.risk_versions[1], Q.IDENTITY, R["grain"], mode="rows")
 
 
-@query("dq_lineage", _sql("dq_lineage"))
+@query("dq_lineage", _versions_sql("dq_lineage"))
 def dq_lineage(src: Sources) -> DataFrame:
-    return Q.lineage(src.fact_risk, src.risk, ("record_hash",), R["lineage"])
+    staging, fact = src.risk_versions
+    rules = Q.compared_layers(staging, fact, ("record_hash",), R["identity"], R["counts"], R["grain"], R["lineage"], "rows")
+    return rules.where(F.col("rule_name") == R["lineage"].name)
 
 
 @query("dq_dim_unique", _sql("dq_dim_unique"))
@@ -223,26 +249,50 @@ def dq_recon_present(src: Sources) -> DataFrame:
     return Q.missing_reconciliation(src.market_batches, _reconciliations(src), M["recon"])
 
 
-@query("dq_risk", gate_sql([s for rules in RISK_SQL.values() for s in rules], True))
+_RISK_RULES = [s for rules in RISK_SQL.values() for s in rules]
+_MARKET_RULES = [s for rules in MARKET_SQL.values() for s in rules]
+UNDECLARED = "declared_but_absent"
+
+
+@query("dq_risk", gate_sql([*_RISK_RULES, _columns_sql(0)], True))
 def dq_risk(src: Sources) -> DataFrame:
-    return Q.risk_gate(src.risk, src.fact_risk, src.risk_dims, _manifest(src), KNOWN_DUPLICATES)
+    return Q.risk_gate(src.risk, src.fact_risk, src.risk_dims, _manifest(src), KNOWN_DUPLICATES, layout=src.risk.columns)
+
+
+@query("dq_risk_damaged", gate_sql([*_damaged_sql(_RISK_RULES), _columns_sql(1)], True))
+def dq_risk_damaged(src: Sources) -> DataFrame:
+    """The risk gate on damaged layers: every rule finds something."""
+    staging, fact, dims = src.risk_damaged
+    return Q.risk_gate(staging, fact, dims, _manifest(src), KNOWN_DUPLICATES, layout=[*staging.columns, UNDECLARED])
 
 
 def _market_gate(src: Sources, inject: bool) -> DataFrame:
     return Q.market_gate(
-        src.market, src.market_split[1], src.market_batches, src.fact_market, src.market_dims, _reconciliations(src), inject
+        src.market, src.market_split[1], src.market_batches, src.fact_market, src.market_dims, _reconciliations(src), inject, src.market.columns
     )
 
 
-_MARKET_RULES = [s for rules in MARKET_SQL.values() for s in rules]
-
-
-@query("dq_market", gate_sql(_MARKET_RULES, False))
+@query("dq_market", gate_sql([*_MARKET_RULES, _columns_sql(0)], False))
 def dq_market(src: Sources) -> DataFrame:
     return _market_gate(src, inject=False)
 
 
-@query("dq_inject", gate_sql([*_MARKET_RULES, rule_sql(Q.CONTROLLED_FAILURE, "SELECT 1")], False))
+_DAMAGED_MARKET = [
+    *(r for name, rules in MARKET_SQL.items() if name not in ("rejects", "dq_recon_present") for r in _damaged_sql(rules)),
+    *MARKET_SQL["rejects"], *MARKET_SQL["dq_recon_present"],
+]
+
+
+@query("dq_market_damaged", gate_sql([*(r.replace("fx_market_damaged_batches", "fx_market_batches") for r in _DAMAGED_MARKET), _columns_sql(1)], False))
+def dq_market_damaged(src: Sources) -> DataFrame:
+    """The market gate on damaged layers: every rule finds something."""
+    staging, fact, dims = src.market_damaged
+    return Q.market_gate(
+        staging, src.market_split[1], src.market_batches, fact, dims, _reconciliations(src), layout=[*staging.columns, UNDECLARED]
+    )
+
+
+@query("dq_inject", gate_sql([*_MARKET_RULES, _columns_sql(0), rule_sql(Q.CONTROLLED_FAILURE, "SELECT 1")], False))
 def dq_inject(src: Sources) -> DataFrame:
     """The market gate with its controlled failure row."""
     return _market_gate(src, inject=True)

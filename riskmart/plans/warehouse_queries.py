@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from riskmart.operators import marts as M
 from riskmart.operators import warehouse as W
+from riskmart.operators.quality import IDENTITY
 from riskmart.plans.fixtures import Sources
 from riskmart.plans.registry import query
 
@@ -97,7 +98,7 @@ def fd_company_name(src: Sources) -> DataFrame:
     return companies.unionByName(vehicles)
 
 
-FACT_MARKET_SQL = """SELECT batch_id, source_file, source_row_number, month_key, company_key, product_key, state_key,
+FACT_MARKET_SQL = """SELECT batch_id, source_file, source_version, source_row_number, record_hash, month_key, company_key, product_key, state_key,
   CAST(premiums AS VARCHAR) AS premiums, CAST(claims AS VARCHAR) AS claims, CAST(claim_premium_ratio AS VARCHAR) AS claim_premium_ratio,
   calendar_year FROM fact_market"""
 
@@ -111,15 +112,18 @@ def fact_market(src: Sources) -> DataFrame:
     return _as_text(src.fact_market, "premiums", "claims", "claim_premium_ratio")
 
 
+_FIRST_VERSION = "SELECT * FROM fact_market WHERE source_version = 'V1'"
+
+
 @query(
     "fact_incremental",
-    """SELECT s.source_file, s.source_row_number, s.batch_id FROM fx_market s
-WHERE NOT EXISTS (SELECT 1 FROM fact_market f WHERE f.source_file = s.source_file AND f.source_row_number = s.source_row_number)""",
+    f"""SELECT s.source_file, s.source_version, s.source_row_number, s.batch_id FROM fx_market s WHERE NOT EXISTS (SELECT 1 FROM ({_FIRST_VERSION}) f
+  WHERE f.source_file = s.source_file AND f.source_version = s.source_version AND f.source_row_number = s.source_row_number)""",
 )
 def fact_incremental(src: Sources) -> DataFrame:
-    """Staged rows the fact does not hold yet (those of the failed batch)."""
-    missing = W.missing_facts(src.market, src.fact_market, ("source_file", "source_row_number"))
-    return missing.select("source_file", "source_row_number", "batch_id")
+    """Rows to add to a fact that holds the file's first version: all of the second, and those of the failed batch."""
+    loaded = src.fact_market.where("source_version = 'V1'")
+    return W.missing_facts(src.market, loaded, IDENTITY).select(*IDENTITY, "batch_id")
 
 
 @query(

@@ -12,28 +12,36 @@ from pyspark.sql.window import Window
 
 from riskmart.contracts import SourceContract
 from riskmart.operators.row_contracts import SourceContractError
-from riskmart.sources.tables import new_folder, write_table
+from riskmart.sources.tables import broadcast_if_small, new_folder, write_table
 
 BOM = "﻿"
-WHOLE_FILE_LIMIT = 2 * 1024**3 - 1
+FOLD = 1024
 QUOTED = '"([^"]|"")*"'
 
 
 def check_header(spark: SparkSession, paths: Sequence[str], contract: SourceContract) -> None:
-    """Compares the first line of every file with the contract before any load."""
-    for path in paths:
-        first = spark.read.text(path).head()
-        line = first[0].removeprefix(BOM) if first else ""
-        header = tuple(next(csv.reader(io.StringIO(line)), ()))
+    """Compares the first line of every file with the contract before any load, in one job."""
+    lines = spark.read.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_position"), "value",
+    )
+    first = lines.where("_block = 0").groupBy("path").agg(F.min_by("value", "_position").alias("line"))
+    plain = [mark + ",".join(contract.columns) for mark in ("", BOM)]
+    # One row for each other spelling: a quoted header is still right, and the scan checks every header again.
+    for row in first.where(~F.col("line").isin(plain)).groupBy("line").agg(F.min("path").alias("path")).limit(100).collect():
+        header = tuple(next(csv.reader(io.StringIO(row.line.removeprefix(BOM))), ()))
         if header != contract.columns:
-            raise SourceContractError(f"{path}: header does not match the {contract.name} contract: {','.join(header)}")
+            raise SourceContractError(f"{row.path}: header does not match the {contract.name} contract: {','.join(header)}")
+    if first.count() < len(paths):  # a scan skips files without a byte
+        raise SourceContractError(f"a file of the {contract.name} contract is empty")
 
 
 def read_contract_csv(spark: SparkSession, paths: Sequence[str], contract: SourceContract, multi_line: bool = False) -> DataFrame:
     """All columns as text, with the file name, split position and row width.
 
-    ``cells`` counts the cells of a row and ``extra_cells`` marks a row that is
-    too wide. A file with embedded newlines needs ``multi_line``, which keeps
+    ``cells`` counts the cells of a row, ``extra_cells`` marks a row that is too
+    wide, and ``raw_line`` is the source line of a row of another width, so that
+    a quarantine loses nothing of it. A file with embedded newlines needs ``multi_line``, which keeps
     Spark from splitting it.
     """
     rows = (
@@ -57,6 +65,7 @@ def read_contract_csv(spark: SparkSession, paths: Sequence[str], contract: Sourc
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_position"),
         *contract.columns,
+        F.col("_corrupt_record").alias("raw_line"),
         cells.alias("cells"),
     ).withColumn("extra_cells", F.col("cells") > width)
 
@@ -70,17 +79,19 @@ def land_with_row_numbers(
     counts per file split (one row per split), without sorting rows.
     """
     folder = folder or new_folder(spark, "landing")
-    return number_rows(write_table(read_contract_csv(spark, paths, contract, multi_line), folder))
+    return number_rows(write_table(read_contract_csv(spark, paths, contract, multi_line), f"{folder}/rows"), f"{folder}/starts")
 
 
-def number_rows(landed: DataFrame) -> DataFrame:
+def number_rows(landed: DataFrame, folder: str) -> DataFrame:
+    """Adds ``source_row_number``. The first numbers of the splits are a table of one row each, written and read back under its true
+    size, so that the checked broadcast moves no source row."""
     splits = landed.groupBy("source_file", "_block").agg(F.count("*").alias("_rows"), F.min("_position").alias("_first"))
     before = Window.partitionBy("source_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = splits.select(
+    starts = write_table(splits.select(
         "source_file", "_block", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
-    )
+    ), folder)
     kept = [c for c in landed.columns if c not in ("_block", "_position", "source_file")]
-    return landed.join(starts, ["source_file", "_block"]).select(
+    return landed.join(broadcast_if_small(starts), ["source_file", "_block"]).select(
         "source_file", (F.col("_start") + F.col("_position") - F.col("_first") + 1).alias("source_row_number"), *kept
     )
 
@@ -90,42 +101,32 @@ def file_sizes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "path", "length")
 
 
-def fingerprints(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Version id per file: the SHA-256 of its bytes.
+def fingerprints(spark: SparkSession, paths: Sequence[str], folder: str | None = None) -> DataFrame:
+    """Version id per file, by one definition for files of any size.
 
-    Larger files than one value can hold get a digest over the ordered digests
-    of their lines, computed as an order-aware aggregate.
+    Every line has a SHA-256, a carriage return before its end included. ``FOLD``
+    digests in order make one of the next level until one is left (a block of one
+    keeps its digest); the id is the SHA-256 of that and of the file's length,
+    which tells whether the last line is ended. No task holds a file.
     """
-    sizes = {r.path: r for r in file_sizes(spark, paths).collect()}
-    small = [p for p, r in sizes.items() if r.length <= WHOLE_FILE_LIMIT]
-    large = [p for p, r in sizes.items() if r.length > WHOLE_FILE_LIMIT]
-    name = F.element_at(F.split("path", "/"), -1).alias("source_file")
-    parts = []
-    if small:
-        whole = spark.read.format("binaryFile").load(small)
-        parts.append(whole.select(name, F.upper(F.sha2("content", 256)).alias("source_version"), "length"))
-    for path in large:
-        parts.append(line_digest(spark, path, sizes[path].length))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def line_digest(spark: SparkSession, path: str, length: int) -> DataFrame:
-    """Digest of a splittable file from numbered line hashes."""
-    lines = spark.read.text(path).select(
+    folder = folder or new_folder(spark, "lines")
+    lines = spark.read.option("lineSep", "\n").text(list(paths)).select(
         F.col("_metadata.file_name").alias("source_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_position"),
-        F.sha2("value", 256).alias("line"),
-    )
-    numbered = number_rows(write_table(lines, new_folder(spark, "lines")))
-    mixed = numbered.select("source_file", F.xxhash64("source_row_number", "line").alias("h"), F.xxhash64("line", "source_row_number").alias("g"))
-    digest = F.concat_ws(":", F.count("*"), F.bit_xor("h"), F.bit_xor("g"))
-    return mixed.groupBy("source_file").agg(digest.alias("d")).select(
-        "source_file", F.upper(F.sha2("d", 256)).alias("source_version"), F.lit(length).cast("bigint").alias("length")
+        F.sha2(F.col("value").cast("binary"), 256).alias("line"),
     )
+    level = number_rows(write_table(lines, f"{folder}/lines"), f"{folder}/line-starts").select("source_file", (F.col("source_row_number") - 1).alias("at"), "line")
+    most = level.agg(F.max("at")).first()[0] or 0
+    while most:
+        block = F.sort_array(F.collect_list(F.struct("at", "line")))  # FOLD entries at most
+        folded = level.groupBy("source_file", F.expr(f"at div {FOLD}").alias("above")).agg(block.alias("block"))
+        joined = F.sha2(F.concat_ws("", F.transform("block", lambda x: x["line"])), 256)
+        level = folded.select("source_file", F.col("above").alias("at"), F.when(F.size("block") == 1, F.col("block")[0]["line"]).otherwise(joined).alias("line"))
+        most //= FOLD
+    sizes = file_sizes(spark, paths)
+    root = F.concat(F.col("length").cast("string"), F.lit(":"), F.coalesce("line", F.lit("")))
+    return sizes.join(level, "source_file", "left").select("source_file", F.upper(F.sha2(root, 256)).alias("source_version"), "length")
 
 
 def require_manifest(files: DataFrame, manifest: DataFrame) -> None:

@@ -2,31 +2,63 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-BROADCAST_LIMIT = 64 * 1024 * 1024
-_local_folder: tempfile.TemporaryDirectory | None = None
-
+# Compressed Parquet may take ten times as much in memory.
+BROADCAST_LIMIT = 16 * 1024 * 1024
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder for written intermediate tables: ``spark.checkpoint.dir`` if it is set.
+    """Folder for written intermediate tables: ``spark.checkpoint.dir``.
 
-    Only a local-mode session may fall back to a temporary folder of its own.
+    Only a session whose tasks run in this very process may go without it; it is
+    then given a temporary folder that is removed at exit.
     """
-    global _local_folder
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    if _local_folder is None:
-        _local_folder = tempfile.TemporaryDirectory(prefix="riskmart-")
-    return _local_folder.name
+    folder = tempfile.mkdtemp(prefix="riskmart-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A stored table; a path that is not there yet is an empty one, any other problem is an error."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def work_folder(spark: SparkSession, label: str) -> Iterator[str]:
+    """A new folder for the tables of one job, deleted when the job ends, whether it succeeds or not."""
+    folder = new_folder(spark, label)
+    try:
+        yield folder
+    finally:
+        delete_folder(spark, folder)
 
 
 def write_table(
@@ -61,29 +93,26 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Splits the rows of a few-file table over all cores before CPU-heavy work.
-
-    Decided on the file count alone; a table with enough files is left as it is.
-    """
+    """Splits the rows of a scan with fewer tasks than cores before CPU-heavy work; a larger scan is left as it is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def scan_with_ordinals(spark: SparkSession, path: str, name: str = "ordinal") -> DataFrame:
     """Rows numbered from 1 in file order, without a shuffle of the rows.
 
-    Parquet carries each row's position in its file; only the per-file counts
-    are summed up, one row per file.
+    Parquet carries each row's position in its file. The first numbers of the
+    files, one row each, are written and read back under their true size for the
+    checked broadcast.
     """
     df = spark.read.parquet(path)
     columns = df.columns
     df = df.select("*", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.row_index").alias("_row"))
-    if len(df.inputFiles()) == 1:
-        return spread(df.select(*columns, (F.col("_row") + 1).alias(name)))
     counts = df.groupBy("_path").agg(F.count("*").alias("_rows"))
     before = Window.orderBy("_path").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select("_path", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    return df.join(starts, "_path").select(*columns, (F.col("_start") + F.col("_row") + 1).alias(name))
+    starts = write_table(starts, new_folder(spark, "file-starts"))
+    return df.join(broadcast_if_small(starts), "_path").select(*columns, (F.col("_start") + F.col("_row") + 1).alias(name))
 
 
 def planned_bytes(df: DataFrame) -> int:

@@ -7,32 +7,26 @@ consumer got; correctness never rests on it.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from riskmart.sources.tables import read_or_empty
+
 CHANGE_KEY = ("lsn", "seq", "op")
 CONSUMED_SCHEMA = "consumer string, run_id bigint, lsn bigint, seq bigint, op int, consumed_at timestamp"
 WATERMARK_SCHEMA = "consumer string, lsn bigint, seq bigint, updated_at timestamp"
 EXPECTED_OPS = {2: 2, 3: 1, 4: 1}
 
 
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException:
-        return spark.createDataFrame([], schema)
-
-
 def read_consumed(spark: SparkSession, root: str) -> DataFrame:
     """Stored changes; empty before the first batch."""
-    return _read(spark, f"{root}/changes", CONSUMED_SCHEMA)
+    return read_or_empty(spark, f"{root}/changes", CONSUMED_SCHEMA)
 
 
 def read_watermarks(spark: SparkSession, root: str) -> DataFrame:
     """Current watermark per consumer. Watermark rows are only appended."""
-    return watermarks(_read(spark, f"{root}/watermarks", WATERMARK_SCHEMA))
+    return watermarks(read_or_empty(spark, f"{root}/watermarks", WATERMARK_SCHEMA))
 
 
 def unconsumed(changes: DataFrame, consumed: DataFrame, consumer: str) -> DataFrame:

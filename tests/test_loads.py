@@ -1,5 +1,7 @@
 import csv
 import hashlib
+import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,10 +10,11 @@ from riskmart import contracts as C
 from riskmart.operators import batches as B
 from riskmart.operators import quality as Q
 from riskmart.operators import warehouse as W
-from riskmart.operators.row_contracts import SourceContractError
+from riskmart.operators.row_contracts import SourceContractError, apply_market_contract
 from riskmart.plans import loads as J
 from riskmart.plans import snapshot as X
 from riskmart.sources import csv_contract as S
+from riskmart.sources.tables import scan_with_ordinals, shared_folder
 
 from test_row_contracts import GOOD, RISK_GOOD
 
@@ -50,8 +53,13 @@ def test_header_must_match(spark, tmp_path):
     good = write_csv(tmp_path / "good.csv", C.MARKET_COLUMNS, market_rows(1))
     S.check_header(spark, [good], C.MARKET)
     bad = write_csv(tmp_path / "bad.csv", C.MARKET_COLUMNS[::-1], market_rows(1))
-    with pytest.raises(SourceContractError):
-        S.check_header(spark, [bad], C.MARKET)
+    (tmp_path / "empty.csv").write_bytes(b"")
+    quoted = tmp_path / "quoted.csv"
+    quoted.write_text(",".join(f'"{c}"' for c in C.MARKET_COLUMNS) + "\n")
+    S.check_header(spark, [good, str(quoted)], C.MARKET)
+    for paths in ([bad], [good, bad], [str(tmp_path / "empty.csv"), good]):
+        with pytest.raises(SourceContractError):
+            S.check_header(spark, paths, C.MARKET)
 
 
 def test_row_width_and_quotes(spark, tmp_path):
@@ -66,13 +74,51 @@ def test_row_width_and_quotes(spark, tmp_path):
     assert landed[4].company_name == 'A, "B"'
 
 
-def test_fingerprint_is_the_file_digest(spark, tmp_path):
-    path = write_csv(tmp_path / "f.csv", C.MARKET_COLUMNS, market_rows(3))
-    row = S.fingerprints(spark, [path]).first()
-    assert row.source_version == hashlib.sha256((tmp_path / "f.csv").read_bytes()).hexdigest().upper()
-    digest = S.line_digest(spark, path, 1).first().source_version
-    swapped = write_csv(tmp_path / "g.csv", C.MARKET_COLUMNS, market_rows(3)[::-1])
-    assert digest == S.line_digest(spark, path, 1).first().source_version != S.line_digest(spark, swapped, 1).first().source_version
+def version_of(data: bytes, fold: int) -> str:
+    level = [hashlib.sha256(line).hexdigest() for line in data.split(b"\n")[: None if data and not data.endswith(b"\n") else -1]]
+    while len(level) > 1:
+        blocks = [level[i : i + fold] for i in range(0, len(level), fold)]
+        level = [b[0] if len(b) == 1 else hashlib.sha256("".join(b).encode()).hexdigest() for b in blocks]
+    return hashlib.sha256(f"{len(data)}:{''.join(level)}".encode()).hexdigest().upper()
+
+
+def test_versions_by_one_definition(spark, tmp_path, monkeypatch):
+    contents = {"one": b"x", "unix": b"x\ny\n", "windows": b"x\r\ny", "open": b"x\ny", "long": b"".join(b"row %d\r\n" % i for i in range(300)), "bytes": b"\xff\xfe\nab"}
+    for name, data in contents.items():
+        (tmp_path / name).write_bytes(data)
+    paths = [str(tmp_path / name) for name in contents]
+    for fold, split in ((1024, "128m"), (7, "128m"), (7, "200")):  # small and large files take the same way
+        monkeypatch.setattr(S, "FOLD", fold)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        try:
+            got = {r.source_file: (r.source_version, r.length) for r in S.fingerprints(spark, paths).collect()}
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert got == {name: (version_of(data, fold), len(data)) for name, data in contents.items()}
+    assert len({v for v, _ in got.values()}) == len(contents)
+
+
+def test_row_numbers_do_not_move_rows(spark, tmp_path):
+    paths = [write_csv(tmp_path / f"{n}.csv", C.MARKET_COLUMNS, market_rows(20)) for n in ("a", "b", "c")]
+    plan = S.land_with_row_numbers(spark, paths, C.MARKET)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    spark.range(0, 50, 1, 3).write.parquet(str(tmp_path / "p"))
+    numbered = scan_with_ordinals(spark, str(tmp_path / "p"))
+    plan = numbered._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert sorted(r.ordinal for r in numbered.collect()) == list(range(1, 51))
+
+
+def test_rejects_keep_the_whole_line(spark, tmp_path):
+    data = market_rows(3)
+    data[0] += ["nine", "t,en"]
+    data[1] = data[1][:6]
+    path = write_csv(tmp_path / "m.csv", C.MARKET_COLUMNS, data)
+    checked = {r.source_row_number: r for r in apply_market_contract(S.land_with_row_numbers(spark, [path], C.MARKET)).collect()}
+    wide, short = json.loads(checked[1].raw_payload), json.loads(checked[2].raw_payload)
+    assert wide["raw_line"].endswith(',nine,"t,en"') and wide["company_code"] == data[0][0]
+    assert short["claims"] is None and short["claim_premium_ratio"] is None and short["premiums"] == data[1][5]
+    assert checked[3].raw_payload is None
 
 
 def test_market_load_publish_skip_and_retry(spark, tmp_path):
@@ -88,6 +134,7 @@ def test_market_load_publish_skip_and_retry(spark, tmp_path):
     good = manifest(spark, ("m.csv", 50, size, True))
     result = J.load_market(spark, path, root, good)
     assert (result.outcome, result.source_rows, result.accepted_rows, result.rejected_rows) == ("SUCCESS", 50, 48, 2)
+    assert not [p for p in os.listdir(shared_folder(spark)) if p.startswith(("riskmart-load-", "riskmart-version-"))]
     assert store.rows("staging").count() == 48
     reasons = {r.source_row_number: r.reject_reason for r in store.published("rejects").collect()}
     assert reasons == {4: "row 4: premiums is not a finite decimal", 10: "row 10: row has more cells than the contract"}
@@ -107,8 +154,9 @@ def test_market_load_publish_skip_and_retry(spark, tmp_path):
     dims = W.market_dimensions(staging)
     fact = W.fact_market(staging, dims, store.batches())
     assert fact.count() == 48
-    gate = Q.verdicts([Q.count_difference(staging, fact, Q.MARKET_CHECKS["counts"]), Q.orphans(fact, dims, Q.MARKET_CHECKS["orphans"]),
-                       Q.lineage(fact, staging, Q.MARKET_LINEAGE, Q.MARKET_CHECKS["lineage"]), Q.fused_scan(staging, Q.MARKET_ROW_RULES)])
+    c = Q.MARKET_CHECKS
+    layers = Q.compared_layers(staging, fact, Q.MARKET_COMPARED, c["identity"], c["counts"], c["fact_grain"], c["lineage"], "groups")
+    gate = Q.verdicts([layers, Q.orphans(fact, dims, c["orphans"]), Q.fused_scan(staging, Q.MARKET_ROW_RULES)])
     assert {r.status for r in Q.run_gate(gate, "load test")} == {"PASS"}
 
 
