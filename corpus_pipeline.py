@@ -32,15 +32,19 @@ def one_row_per_id(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each near-duplicate component stays."""
-    found = near_dedup.near_duplicates(docs)
+    work = Store(spark, "copies-work")
+    found = near_dedup.near_duplicates(docs, store=work)
     gone = Store(spark, "copies").put(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    work.clear()
     return one_row_per_id(without(docs, gone))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents contaminated by exact benchmark passages go; proximity matches alone do not condemn."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), misses=0)
+    work = Store(spark, "contaminated-work")
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), misses=0, store=work)
     gone = Store(spark, "contaminated").put(found.where("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    work.clear()
     return without(docs, gone)
 
 

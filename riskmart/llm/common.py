@@ -14,6 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskmart.sources.tables import delete_folder
+
 BATCH_BYTES = 4 * 1024 * 1024
 #: White space of the word rules: \x20 and \x09-\x0D.
 SPACES = " \t\n\x0b\x0c\r"
@@ -54,10 +56,13 @@ class Store:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def drop(self, name: str) -> None:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.base}/{name}")
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    def drop(self, *names: str) -> None:
+        for name in names:
+            delete_folder(self.spark, f"{self.base}/{name}")
+
+    def clear(self) -> None:
+        """Drops all tables; what is still computed from them must have been written before."""
+        delete_folder(self.spark, self.base)
 
 
 #: An anti join broadcasts its ids up to this many, else it shuffles.
@@ -194,9 +199,14 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
 
 
 def batches_of(spark: SparkSession, df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` under bounded batches."""
+    """``mapInArrow`` under bounded batches; a task that ends gives unused memory back, as its worker lives on."""
+
+    def run(batches):
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
     bound_batches(spark)
-    return df.mapInArrow(function, schema)
+    return df.mapInArrow(run, schema)
 
 
 def record(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:

@@ -63,10 +63,10 @@ def segment_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             number += 1
 
 
-def index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Segments of the positional index over every row, written to the shared folder."""
+def index(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", store: Store | None = None) -> DataFrame:
+    """Segments of the positional index over every row, written to the shared folder (or to the caller's ``store``)."""
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return Store(df.sparkSession, "phrases").put(batches_of(df.sparkSession, rows, segment_batches, SEGMENT_DDL), "segments")
+    return (store or Store(df.sparkSession, "phrases")).put(batches_of(df.sparkSession, rows, segment_batches, SEGMENT_DDL), "segments")
 
 
 @dataclass
@@ -208,5 +208,5 @@ def report(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     )
 
 
-def contamination(docs: DataFrame, items: DataFrame, misses: int = 2) -> DataFrame:
-    return report(search(index(docs), items, misses))
+def contamination(docs: DataFrame, items: DataFrame, misses: int = 2, store: Store | None = None) -> DataFrame:
+    return report(search(index(docs, store=store), items, misses))

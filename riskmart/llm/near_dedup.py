@@ -152,11 +152,14 @@ def _centres(labelled: DataFrame, number: int) -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, width: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, width: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", store: Store | None = None
 ) -> DataFrame:
-    """id, n_shingles, component_id (smallest id reachable over links, itself included), kept (it is that id)."""
+    """id, n_shingles, component_id (smallest id reachable over links, itself included), kept (it is that id).
+
+    A caller that gives its own ``store`` may clear it once the result is written.
+    """
     spark = df.sparkSession
-    store = Store(spark, "near")
+    store = store or Store(spark, "near")
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     signed = store.put(batches_of(spark, rows, sign_batches(width), "doc_id long, n long, digest binary, bands array<long>"), "signed")
     classes = store.put(
@@ -183,6 +186,7 @@ def near_duplicates(
         labelled = members.join(found.select(F.col("a").alias("id"), F.col("b").alias("label")), "id", "left").withColumn("label", F.coalesce("label", "id"))
         number += 1
 
+    store.drop("members", "wanted", "sets", *[f"links-{k}" for k in range(number + 1)])
     named = classes.select("digest", F.col("id").alias("rep"))
     if found is not None:
         named = named.join(found.select(F.col("a").alias("rep"), F.col("b").alias("label")), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))
