@@ -400,11 +400,19 @@ class Sources:
         )
 
 
-_SOURCES: dict[tuple[str, str], Sources] = {}
+_SOURCES: dict[tuple, Sources] = {}
+
+
+def _contents(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of what a data folder holds."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in found))
 
 
 def sources(spark: SparkSession, folder: str) -> Sources:
-    key = (spark.sparkContext.applicationId, folder)
+    """The derived tables of a folder, built once for what it holds now: new or changed files give new tables."""
+    key = (spark.sparkContext.applicationId, folder, _contents(spark, folder))
     if key not in _SOURCES:
         _SOURCES[key] = Sources(spark, folder)
     return _SOURCES[key]

@@ -71,7 +71,7 @@ class Store:
         return B.latest_state(self.events())
 
     def audit(self, batch_id: str | None, stage: str, status: str, rows: int | None, detail: str) -> None:
-        self.append("audit", AUDIT_SCHEMA, (batch_id, stage, status, rows, detail[: C.REASON_LIMIT], _now()))
+        self.append("audit", AUDIT_SCHEMA, (batch_id, stage, status, rows, detail[: C.REASON_LIMIT], now()))
 
     def rows(self, name: str) -> DataFrame | None:
         """Stored rows of a table with all its partitions, or None before the first load."""
@@ -107,7 +107,7 @@ class Store:
         df.drop("batch_id").write.mode("overwrite").parquet(f"{self.path(name)}/batch_id={batch_id}")
 
 
-def _now():
+def now():
     from datetime import UTC, datetime
 
     return datetime.now(UTC)
@@ -138,16 +138,16 @@ def _load(
     if action == "RETRY":
         store.drop_open(name, source.source_version)
 
-    batch_id, started = str(uuid.uuid4()), _now()
+    batch_id, started = str(uuid.uuid4()), now()
 
     def event(status: str, accepted: int | None, rejected: int | None, error: str | None = None) -> None:
-        elapsed = int((_now() - started).total_seconds() * 1000)
-        sequence = int(_now().timestamp() * 1_000_000)
+        elapsed = int((now() - started).total_seconds() * 1000)
+        sequence = int(now().timestamp() * 1_000_000)
         store.append(
             "batch_events",
             EVENT_SCHEMA,
             (batch_id, name, source.source_version, status, sequence, expected, accepted, rejected, elapsed,
-             error and error[: C.REASON_LIMIT], _now()),
+             error and error[: C.REASON_LIMIT], now()),
         )
 
     event(B.RUNNING, None, None)

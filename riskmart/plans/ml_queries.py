@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskmart import contracts as C
 from riskmart.operators import ml as L
 from riskmart.operators.warehouse import described_risk
 from riskmart.plans.fixtures import MODEL_VERSION, SCORE_POPULATION, Sources
@@ -13,9 +14,16 @@ from riskmart.plans.registry import query
 CAP = 20_000
 _SALTED = "upper(sha256(record_hash || ':{salt}'))"
 _GROUPS = "(SELECT DISTINCT record_hash, has_claim FROM fact_risk)"
-POPULATION = f"""SELECT f.* FROM fact_risk f WHERE record_hash IN (SELECT record_hash FROM (
+
+
+def _population_sql(positive: int, negative: int) -> str:
+    return f"""SELECT f.* FROM fact_risk f WHERE record_hash IN (SELECT record_hash FROM (
   SELECT record_hash, has_claim, row_number() OVER (PARTITION BY has_claim ORDER BY record_hash) AS r FROM {_GROUPS})
-  WHERE r <= CASE WHEN has_claim = 1 THEN 18474 ELSE 81526 END)"""
+  WHERE r <= CASE WHEN has_claim = 1 THEN {positive} ELSE {negative} END)"""
+
+
+POPULATION = _population_sql(C.POSITIVE_GROUP_QUOTA, C.NEGATIVE_GROUP_QUOTA)
+SMALL_QUOTAS = (200, 900)
 SPLITS = f"""SELECT p.*, s.split FROM ({POPULATION}) p JOIN (SELECT record_hash, has_claim, CASE (r - 1) % 5 WHEN 0 THEN 'test' WHEN 1 THEN 'validation' ELSE 'train' END AS split
   FROM (SELECT record_hash, has_claim, row_number() OVER (PARTITION BY has_claim ORDER BY {_SALTED.format(salt=L.SEED)}, record_hash) AS r
     FROM (SELECT DISTINCT record_hash, has_claim FROM ({POPULATION})))) s USING (record_hash, has_claim)"""
@@ -39,6 +47,12 @@ def ml_population(src: Sources) -> DataFrame:
     )
 
 
+@query("ml_population_quota", f"SELECT source_file, source_row_number, record_hash, has_claim FROM ({_population_sql(*SMALL_QUOTAS)})")
+def ml_population_quota(src: Sources) -> DataFrame:
+    """Quotas that leave groups out at every scale."""
+    return L.bounded_population(src.fact_risk, *SMALL_QUOTAS).select("source_file", "source_row_number", "record_hash", "has_claim")
+
+
 @query(
     "ml_split_summary",
     f"""SELECT split, count(*) AS rows, CAST(sum(has_claim) AS BIGINT) AS positive_rows, count_if(has_claim = 0)::BIGINT AS negative_rows,
