@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from itertools import product as product_of
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart.contracts import SCORE_BANDS, UNKNOWN_LABEL
 from riskmart.functions.measures import money
+from riskmart.operators.warehouse import workload_slice
 from riskmart.sources.tables import broadcast_if_small
 
 
@@ -135,9 +138,20 @@ def _members_of(fact: DataFrame, dim: DataFrame, key: str, condition: Column) ->
     return fact.join(dim.where(condition).select(key), key, "left_semi")
 
 
+def _sliced(fact: DataFrame, workload: str, members: Sequence[list[int] | None]) -> DataFrame:
+    """Only the slices of the chosen members, if the fact is a copy laid out for the workload and the members are few."""
+    name = f"{workload}_slice"
+    if name not in fact.columns or any(m is None for m in members):
+        return fact
+    slices = [F.col(name) == workload_slice(*[F.lit(k).cast("bigint") for k in keys]) for keys in product_of(*members)]
+    return fact.where(reduce(lambda a, b: a | b, slices, F.lit(False)))
+
+
 def company_by_month(fact: DataFrame, dims: Mapping[str, DataFrame], company_code: int, from_year: int) -> DataFrame:
     """Hot workload 1: one company from a year on, by month."""
-    chosen = _members_of(fact, dims["company"], "company_key", F.col("company_code") == company_code)
+    wanted = F.col("company_code") == company_code
+    fact = _sliced(fact, "company", [_member_keys(dims["company"], "company_key", wanted)])
+    chosen = _members_of(fact, dims["company"], "company_key", wanted)
     grouped = chosen.where(F.col("calendar_year") >= from_year).groupBy("month_key").agg(*_totals())
     return _with_dims(grouped, dims, month=("year_month",)).select(
         F.lit(company_code).alias("company_code"), F.col("year_month").cast("string").alias("month"), "premium", "claims"
@@ -148,6 +162,8 @@ def state_product_by_month(
     fact: DataFrame, dims: Mapping[str, DataFrame], state: str, product: str, from_year: int
 ) -> DataFrame:
     """Hot workload 2: one state and product from a year on, by month."""
+    named = {"state": F.col("state") == state, "product": F.col("product") == product}
+    fact = _sliced(fact, "state_product", [_member_keys(dims[d], f"{d}_key", condition) for d, condition in named.items()])
     chosen = _members_of(fact, dims["state"], "state_key", F.col("state") == state)
     chosen = _members_of(chosen, dims["product"], "product_key", F.col("product") == product)
     grouped = chosen.where(F.col("calendar_year") >= from_year).groupBy("month_key").agg(*_totals())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskmart import contracts as C
@@ -136,6 +136,21 @@ def fact_market(staging: DataFrame, dims: Mapping[str, DataFrame], batches: Data
     )
 
 
+WORKLOAD_SLICES = 64
+WORKLOADS = {"company": ("company_key",), "state_product": ("state_key", "product_key")}
+
+
+def workload_slice(*keys: Column) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(WORKLOAD_SLICES)).cast("int")
+
+
+def workload_layout(fact: DataFrame, workload: str) -> DataFrame:
+    """The columns one hot workload reads, with the slice its copy is partitioned by: literal keys give a literal slice, so one in
+    ``WORKLOAD_SLICES`` partitions is opened."""
+    keys = WORKLOADS[workload]
+    return fact.select(workload_slice(*[F.col(k) for k in keys]).alias(f"{workload}_slice"), *keys, "calendar_year", "month_key", "premiums", "claims")
+
+
 def fact_risk(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Null-safe star join of risk staging; the reserved members never match."""
     fact = staging

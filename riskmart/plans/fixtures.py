@@ -186,6 +186,21 @@ class Sources:
             sort_by=("state_key", "product_key", "company_key"),
         )
 
+    def fact_for(self, workload: str) -> DataFrame:
+        """A sorted copy of the fact's columns for one hot workload."""
+        return self.table(
+            f"fact_by_{workload}", lambda: W.workload_layout(self.fact_market, workload),
+            partition_by=(f"{workload}_slice",), sort_by=(*W.WORKLOADS[workload], "calendar_year"),
+        )
+
+    @property
+    def fact_by_company(self) -> DataFrame:
+        return self.fact_for("company")
+
+    @property
+    def fact_by_state_product(self) -> DataFrame:
+        return self.fact_for("state_product")
+
     # -- risk track ---------------------------------------------------------
 
     def _risk(self) -> DataFrame:

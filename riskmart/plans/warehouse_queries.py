@@ -238,7 +238,7 @@ FROM fact_market f JOIN dim_company c USING (company_key) JOIN dim_month m USING
 WHERE c.company_code = {HOT_COMPANY} AND m.calendar_year >= {HOT_FROM} GROUP BY c.company_code, m.year_month ORDER BY 2""",
 )
 def perf_company_month(src: Sources) -> DataFrame:
-    return M.company_by_month(src.fact_market, src.market_dims, HOT_COMPANY, HOT_FROM)
+    return M.company_by_month(src.fact_by_company, src.market_dims, HOT_COMPANY, HOT_FROM)
 
 
 @query(
@@ -250,7 +250,7 @@ WHERE g.state = '{HOT_STATE}' AND p.product = '{HOT_PRODUCT}' AND m.calendar_yea
 GROUP BY g.state, p.product, m.year_month ORDER BY 3""",
 )
 def perf_state_product_month(src: Sources) -> DataFrame:
-    return M.state_product_by_month(src.fact_market, src.market_dims, HOT_STATE, HOT_PRODUCT, HOT_FROM)
+    return M.state_product_by_month(src.fact_by_state_product, src.market_dims, HOT_STATE, HOT_PRODUCT, HOT_FROM)
 
 
 @query(
