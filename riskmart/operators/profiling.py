@@ -11,6 +11,7 @@ from pyspark.sql.window import Window
 from riskmart.contracts import NULL_SENTINELS
 from riskmart.functions import parsing as P
 from riskmart.operators.ranks import slice_by_bounds
+from riskmart.sources.tables import work_folder, write_table
 
 QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 TOP = 10
@@ -70,24 +71,8 @@ def _plain(negative: bool, digits: str, scale: int) -> str:
     return f"{sign}{padded[:-scale]}.{padded[-scale:]}"
 
 
-def numeric_text_profile(df: DataFrame, sentinels: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Lexical profile of decimal text columns, with a suggested decimal type.
-
-    ``sentinels`` names the columns and, in upper case, their spellings of null.
-    Values of any size are exact: they are compared by the place of their first
-    digit and then by their digits, and summed in limbs of 18 digits. The one
-    summary row and the few limbs of a column are put together on the driver.
-    """
-    columns = list(sentinels)
-    pieces = df.select(*[_trimmed(c).alias(f"v{i}") for i, c in enumerate(columns)])
-    for i, c in enumerate(columns):
-        blank = F.upper(f"v{i}").isin(*sentinels[c])
-        rest = [x for x in pieces.columns if x != f"v{i}"]
-        parsed = P.with_decimal_parts(pieces.withColumn("_blank", blank), f"v{i}")
-        zero, weight = F.col("digits") == "0", F.length("digits") - F.col("scale")
-        size = F.struct(weight.alias("weight"), F.rtrim(F.col("digits"), F.lit("0")).alias("digits"))
-        value = F.when(~F.col("_blank") & F.col("digits").isNotNull(), F.struct("negative", zero.alias("zero"), "digits", "scale", size.alias("size")))
-        pieces = parsed.select(*rest, value.alias(f"n{i}"), F.col("_blank").alias(f"b{i}"))
+def _numeric_facts(pieces: DataFrame, columns: Sequence[str]) -> tuple[list, list]:
+    """The summary of each column, and the totals of its limbs."""
     facts, limbs = [], []
     for i, c in enumerate(columns):
         n, blank = F.col(f"n{i}"), F.col(f"b{i}")
@@ -112,10 +97,34 @@ def numeric_text_profile(df: DataFrame, sentinels: Mapping[str, Sequence[str]])
     at = F.col("at") + F.col("low")
     chunk = F.substring(F.col("filled"), F.length("filled") - (F.col("at") + 1) * LIMB + 1, F.lit(LIMB))
     parts = placed.select("i", "sign", "low", "filled", F.explode(F.sequence(F.lit(0), (F.length("filled") / LIMB).cast("int") - 1)).alias("at"))
-    sums = parts.groupBy("i", at.alias("limb")).agg(F.sum(F.col("sign") * chunk.cast("decimal(18,0)")).alias("total")).collect()
+    sums = parts.groupBy("i", at.alias("limb")).agg(F.sum(F.col("sign") * chunk.cast("decimal(18,0)")).alias("total"))
+    return pieces.agg(F.array(*facts).alias("r")).first().r, sums.collect()
+
+
+def numeric_text_profile(df: DataFrame, sentinels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Lexical profile of decimal text columns, with a suggested decimal type.
+
+    ``sentinels`` names the columns and, in upper case, their spellings of null.
+    Values of any size are exact: they are compared by the place of their first
+    digit and then by their digits, and summed in limbs of 18 digits. The one
+    summary row and the few limbs of a column are put together on the driver.
+    """
+    columns = list(sentinels)
+    pieces = df.select(*[_trimmed(c).alias(f"v{i}") for i, c in enumerate(columns)])
+    for i, c in enumerate(columns):
+        blank = F.upper(f"v{i}").isin(*sentinels[c])
+        rest = [x for x in pieces.columns if x != f"v{i}"]
+        parsed = P.with_decimal_parts(pieces.withColumn("_blank", blank), f"v{i}")
+        zero, weight = F.col("digits") == "0", F.length("digits") - F.col("scale")
+        size = F.struct(weight.alias("weight"), F.rtrim(F.col("digits"), F.lit("0")).alias("digits"))
+        value = F.when(~F.col("_blank") & F.col("digits").isNotNull(), F.struct("negative", zero.alias("zero"), "digits", "scale", size.alias("size")))
+        pieces = parsed.select(*rest, value.alias(f"n{i}"), F.col("_blank").alias(f"b{i}"))
+    # Parsed once and written: both passes below would parse each value anew for every figure they take from it.
+    with work_folder(df.sparkSession, "numeric-profile") as folder:
+        facts, limbs = _numeric_facts(write_table(pieces, folder), columns)
     rows = []
-    for i, (c, r) in enumerate(zip(columns, pieces.agg(F.array(*facts).alias("r")).first().r, strict=True)):
-        own = [(x.limb, int(x.total)) for x in sums if x.i == i]
+    for i, (c, r) in enumerate(zip(columns, facts, strict=True)):
+        own = [(x.limb, int(x.total)) for x in limbs if x.i == i]
         base = min([limb for limb, _ in own], default=0)
         total = sum(t * 10 ** (LIMB * (limb - base)) for limb, t in own)
         zero = "0" if r.zero_count else None
