@@ -58,6 +58,25 @@ def test_equals_brute_force(spark):
     assert len(wrong) <= len(want) // 200, wrong
 
 
+def test_pairs_within_families_just_below_the_similarity(spark, monkeypatch):
+    """Members of a family meet in most buckets but are linked with none; the pairs among them are found whatever the centres are."""
+    monkeypatch.setattr(N, "CENTRES", 1)
+    draw, rows = random.Random(12), []
+    for family in range(3):
+        places = draw.sample(range(2, 1490, 3), 490)
+        copies = []
+        for k, own in enumerate([24] * 18 + [19] * 2):  # words of their own, no two at one place: only the last two reach 0.85 together
+            text = [f"f{family}w{i}" for i in range(1500)]
+            for at in (places.pop() for _ in range(own)):
+                text[at] = f"f{family}m{k}x{at}"
+            copies.append(text)
+        rows += [(1000 * family + k, " ".join(text)) for k, text in enumerate(copies)]
+    want = brute(rows)
+    assert sum(not kept for _, _, kept in want.values()) == 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in N.near_duplicates(df).collect()} == want
+
+
 def test_hot_copies_nulls_and_repeats(spark):
     rows = [(i, "same text for every row of this group") for i in range(500, 900)] + [(i, None) for i in range(950, 960)] + [(None, "same text for every row of this group"), (700, "same text for every row of this group")]
     got = N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
