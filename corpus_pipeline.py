@@ -13,6 +13,9 @@ from pyspark.sql.window import Window
 from riskmart.llm import decontamination, mixing, near_dedup, quality_model, sharding
 from riskmart.llm.common import Store, table, without
 
+#: Column that tells rows apart while a stage applies its verdicts: a hash, since ids can be missing or repeated.
+ROW_KEY = "__row_key"
+
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects (score below 0.5) go."""
@@ -31,21 +34,27 @@ def one_row_per_id(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate component stays."""
+    """The document with the smallest id of each near-duplicate component stays. Each row is judged by its own text, also where rows share an id."""
     work = Store(spark, "copies-work")
-    found = near_dedup.near_duplicates(docs, store=work)
-    gone = Store(spark, "copies").put(found.where("not kept and doc_id is not null").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    keyed = docs.withColumn(ROW_KEY, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
+    found = near_dedup.near_duplicates(keyed.select(F.col(ROW_KEY).alias("doc_id"), "text"), store=work)
+    named = found.where("doc_id is not null").select(F.col("doc_id").alias(ROW_KEY), "component_id").distinct()
+    placed = work.put(keyed.where("doc_id is not null").select(ROW_KEY, "doc_id").distinct().join(named, ROW_KEY), "placed")
+    least = placed.groupBy("component_id").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("component_id", "least")
+    gone = placed.join(least, "component_id").where("doc_id > least").select(F.col(ROW_KEY).alias("gone")).distinct()
+    gone = Store(spark, "copies").put(gone, "gone")
     work.clear()
-    return one_row_per_id(without(docs, gone))
+    return one_row_per_id(without(keyed, gone, ROW_KEY).drop(ROW_KEY))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated by exact benchmark passages go; proximity matches alone do not condemn."""
+    """Documents contaminated by exact benchmark passages go, with or without an id; proximity matches alone do not condemn. The verdict is the text's."""
     work = Store(spark, "contaminated-work")
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), misses=0, store=work)
+    keyed = docs.withColumn(ROW_KEY, F.xxhash64("text"))
+    found = decontamination.contamination(keyed.select(F.col(ROW_KEY).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), misses=0, store=work)
     gone = Store(spark, "contaminated").put(found.where("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "gone")
     work.clear()
-    return without(docs, gone)
+    return without(keyed, gone, ROW_KEY).drop(ROW_KEY)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,5 +35,17 @@ def test_repeated_and_missing_ids(spark):
     assert ids(P.drop_near_duplicates(spark, docs, FOLDER), "text") == sorted([(1, text), (None, text), (3, None)], key=str)
 
 
+def test_each_row_follows_its_own_verdict(spark):
+    passage = spark.read.parquet(f"{FOLDER}/benchmark.parquet").where("length(text) > 200").orderBy("item_id").first().text
+    copied, own = "some words that are long enough to be copied in whole", "quite another text that nobody else has written down before"
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows = [(3, copied, "en", "s", 1), (7, own, "en", "s", 1), (7, copied, "en", "s", 1), (1, "the least id has words of its own", "en", "s", 1)]
+    left = ids(P.drop_near_duplicates(spark, spark.createDataFrame(rows, schema), FOLDER), "text")
+    assert left == sorted([(1, rows[3][1]), (3, copied), (7, own)], key=str)
+    rows = [(None, passage, "en", "s", 1), (None, own, "en", "s", 1), (5, passage, "en", "s", 1), (5, own, "en", "s", 1), (6, None, "en", "s", 1)]
+    left = ids(P.decontaminate(spark, spark.createDataFrame(rows, schema), FOLDER), "text")
+    assert left == sorted([(None, own), (5, own), (6, None)], key=str)
+
+
 def test_names_and_order():
     assert [name for name, _ in P.STAGES] == ["quality_model", "near_dedup", "decontamination", "mixing", "sharding"]
