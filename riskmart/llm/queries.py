@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import decontamination, html_text, language_id, mixing, near_dedup, quality_model, quality_rules, secrets, sharding, token_counts
+from riskmart.llm import decontamination, html_text, language_id, license_scan, mixing, near_dedup, quality_model, quality_rules, secrets, sharding, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -179,3 +179,40 @@ OP4_SQL = f"WITH {_raking_sql('documents')} SELECT * FROM mixed"
 @query("op4_mixing", OP4_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.probabilities(table(spark, folder, "documents"))
+
+
+def _license_sql() -> str:
+    rules = ", ".join(f"({r.at}, '{r.label}', {r.priority}, {r.weight}, '{r.keyword}', '{r.pattern}')" for r in license_scan.RULES)
+    return rf"""
+WITH rules(rid, label, priority, weight, keyword, pattern) AS (VALUES {rules}),
+cleaned AS (
+    SELECT doc_id, row_number() OVER () AS k, trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+', '  ', 'g'), ' ') AS t FROM documents
+), docs AS MATERIALIZED (
+    SELECT doc_id, k, CASE WHEN t = '' THEN '' ELSE ' ' || t || ' ' END AS normal, CASE WHEN t = '' THEN 0 ELSE len(string_split(t, '  ')) END AS n_words FROM cleaned
+), marked AS MATERIALIZED (
+    SELECT k, rid, label, priority, weight, string_split(regexp_replace(normal, pattern, ' ' || chr(1) || '\1' || chr(2) || ' ', 'g'), '  ') AS w
+    FROM docs JOIN rules ON contains(normal, ' ' || keyword || ' ') AND regexp_matches(normal, pattern)
+), spans AS (
+    SELECT k, rid, label, priority, CAST(weight AS DOUBLE) AS weight,
+           unnest([i - 1 FOR i IN range(1, len(w) + 1) IF contains(w[i], chr(1))]) AS first, unnest([i - 1 FOR i IN range(1, len(w) + 1) IF contains(w[i], chr(2))]) AS last
+    FROM marked
+), kept AS (
+    SELECT * FROM spans s WHERE priority = {license_scan.BASE} OR NOT EXISTS (
+        SELECT 1 FROM spans o WHERE o.k = s.k AND o.first <= s.first AND o.last >= s.last AND o.rid <> s.rid AND (o.priority > s.priority
+            OR o.priority = s.priority AND (o.last - o.first > s.last - s.first OR o.last - o.first = s.last - s.first AND o.rid < s.rid)))
+), summed AS (
+    SELECT k, count(*) AS n_spans, count(*) FILTER (priority = {license_scan.BASE}) AS n_base, min(first) FILTER (priority = {license_scan.BASE}) AS first_word,
+           max(first) FILTER (priority = {license_scan.BASE}) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (priority = {license_scan.BASE}) AS base_labels,
+           string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(weight) AS score
+    FROM kept GROUP BY k
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans
+FROM docs LEFT JOIN summed USING (k)
+"""
+
+
+@query("op13_license_scan", _license_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
