@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import decontamination, html_text, language_id, license_scan, mixing, near_dedup, quality_model, quality_rules, secrets, sharding, token_counts
+from riskmart.llm import decontamination, html_text, language_id, license_scan, merkle_manifest, mixing, near_dedup, quality_model, quality_rules, secrets, sharding, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,8 @@ FROM docs LEFT JOIN summed USING (k)
 @query("op13_license_scan", _license_sql())
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents"))
+
+
+@query("op11_merkle_manifest")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return merkle_manifest.proofs(table(spark, folder, "documents"))
