@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskmart.llm import decontamination, html_text, language_id, license_scan, merkle_manifest, mixing, near_dedup, quality_model, quality_rules, secrets, sharding, token_counts
+from riskmart.llm import collocations, decontamination, html_text, language_id, license_scan, merkle_manifest, mixing, near_dedup, quality_model, quality_rules, secrets, sharding, token_counts
 from riskmart.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -221,3 +221,37 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_merkle_manifest")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest.proofs(table(spark, folder, "documents"))
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), worded AS (
+    SELECT lang, [w FOR w IN string_split_regex(piece, '[\x20\x09]+') IF w <> ''] AS w FROM pieces
+), grams AS (
+    SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, count(*) AS f
+    FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM worded, (VALUES (1), (2), (3)) AS s(size)) GROUP BY ALL
+), totals AS (
+    SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM grams WHERE size = 1 GROUP BY lang
+), often AS MATERIALIZED (
+    SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f FROM grams WHERE f >= 10
+), cuts AS (
+    SELECT g.lang, g.size, g.phrase, g.f AS a, k, l.f AS l, r.f AS r, CAST(1000000 AS HUGEINT) * g.f * g.f // (CAST(l.f AS HUGEINT) * r.f) AS score
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM often WHERE size > 1) g
+    JOIN often l ON l.lang = g.lang AND l.phrase = array_to_string(g.w[1:k], ' ') JOIN often r ON r.lang = g.lang AND r.phrase = array_to_string(g.w[k + 1:], ' ')
+), least AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), longer AS (
+    SELECT lang, part, max(f) AS f FROM (SELECT lang, f, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM often WHERE size = 3) GROUP BY ALL
+), ranked AS (
+    SELECT c.*, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+    FROM least c LEFT JOIN longer o ON o.lang = c.lang AND o.part = c.phrase AND c.size = 2 WHERE o.f IS NULL OR 100 * o.f < 50 * c.a
+)
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query("op12_collocations", OP12_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(table(spark, folder, "documents"))
