@@ -32,7 +32,7 @@ from riskmart.sources.tables import broadcast_if_small
 LEAST, TOP, INSIDE = 10, 2000, 50
 FILTER_BITS = 1 << 28
 #: Bytes of n-grams that a shard may hold at most, if all were distinct; filters that are merged at a time.
-SHARD_BYTES, MERGED = 1 << 24, 512
+SHARD_BYTES, MERGED = 1 << 23, 512
 #: The first rows of a language are taken in so many slices, then in one.
 RANK_SLICES = 64
 #: At most 15 digits of a count keep every product below within 38 digits.
@@ -139,7 +139,7 @@ def tokens(texts: pa.Array, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         ids = span_hashes(np.random.default_rng(seed).permutation(256).astype(np.uint8)[data], begins, ends)
     else:
         ids = span_hashes(data, begins, ends)
-    broken = np.concatenate([[0], np.cumsum(_BREAKS[data])])[begins]
+    broken = np.concatenate([[0], np.cumsum(_BREAKS[data], dtype=np.int32)])[begins]
     owner = np.repeat(np.arange(len(counts)), counts)
     follows = np.zeros(len(begins), bool)
     follows[1:] = (broken[1:] == broken[:-1]) & (owner[1:] == owner[:-1])

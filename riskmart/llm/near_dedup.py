@@ -1,17 +1,21 @@
 """Near duplicates by one-permutation MinHash with optimal densification, banded buckets and star-shaped candidates.
 
 A document's set is that of its distinct word shingles. One hash of each shingle gives bin and value; an empty bin takes the value of a bin drawn by
-a fixed random sequence of its own, the same for all documents. Six bins make a band, 21 bands; documents that agree on a band meet in a bucket.
+a fixed random sequence of its own, the same for all documents. Some bins make a band; documents that agree on a band meet in a bucket.
 
 Documents with one and the same set are a class and represented by its smallest id. In a bucket, candidates are stars: few centres, each with
 all others, so their number follows the bucket's size and not its square. Confirmed links (on the full sets) join documents to components. A bucket
-whose members are then in more than one component gets other centres, against all members of other components, and so on until a round finds
-no link that joins components. Then every bucket that still holds several components has all its pairs of members from different components
-compared, so that each pair that shares a band is linked, in one component already, or known to be below the similarity. Pairs are left out
-there only if they cannot reach it: the shingles that no other member has are common to no pair, which bounds what two sets can share. No
-bucket is capped.
+whose members are then in more than one component gets other centres, against all members of other components, for ``ROUNDS`` rounds.
 
-At the contract's similarity of 0.85 two documents share a band with probability 1 - 5e-5; that is the only way to lose a link.
+What buckets still hold in several components is settled exactly (``_rest``), so that each pair that shares a band is linked, in one component already,
+or known to be below the similarity. Buckets that share members make a family. A member is told by its differences from the family's core (the
+shingles that most members have): of two members with d and e differences, c of them common, the sets differ in d + e - 2c shingles. So two
+members that are near enough to the core are linked whatever their differences are, and a star around the member nearest to the core joins them
+all; any other link needs common differences, and two sets that have enough of them share one of the rarest of each (a prefix). Only members
+that do meet, on that difference. Sizes, places and a parity sketch of 1,024 bits, which bounds the symmetric difference from below, rule out pairs
+before any set moves. No bucket, list or partner is capped.
+
+The number of bands follows the similarity: at it, two documents share none with a probability of 1e-4 at most. That is the only way to lose a link.
 
 Defined cases: a null, empty or blank text has an empty set, is linked with nothing and is its own component. With fewer words than a shingle the whole
 sequence is the one shingle. Rows that share an id count as one document. A null id gets a null component and is not kept. An empty table gives an
@@ -30,10 +34,14 @@ from pyspark.sql import functions as F
 
 from riskmart.llm.common import Store, batches_of, byte_class, lower_ascii, mixed, record, span_hashes, text_bytes, text_pieces, word_spans
 from riskmart.llm.components import components
+from riskmart.sources.tables import broadcast_if_small
 
-BINS, ROWS = 128, 6
-BANDS = BINS // ROWS
+BINS = 128
+MISS = 1e-4
 PIECE = 1 << 20
+SKETCH_WORDS = 16
+#: Rounds of stars before the rest is settled.
+ROUNDS = 3
 #: Centres of a bucket's star in one round: candidates are at most this many times the bucket's members.
 CENTRES = 3
 #: Ids of documents whose sets are needed are broadcast below this many, else shuffled.
@@ -91,24 +99,37 @@ def signatures(sets: list[np.ndarray], donors: np.ndarray) -> np.ndarray:
     return sig.reshape(len(sets), BINS)
 
 
-def band_keys(sig: np.ndarray) -> np.ndarray:
-    keys = np.repeat(np.arange(BANDS, dtype=np.uint64)[None, :], len(sig), axis=0)
-    parts = sig[:, : BANDS * ROWS].reshape(len(sig), BANDS, ROWS)
-    for r in range(ROWS):
+def band_rows(percent: int) -> int:
+    """The most rows a band may have if two documents at the similarity are to share one of the bands with probability 1 - ``MISS``."""
+    fits = [r for r in range(1, BINS) if (1 - (percent / 100) ** r) ** (BINS // r) <= MISS]
+    return max(fits, default=1)
+
+
+def band_keys(sig: np.ndarray, rows: int) -> np.ndarray:
+    bands = BINS // rows
+    keys = np.repeat(np.arange(bands, dtype=np.uint64)[None, :], len(sig), axis=0)
+    parts = sig[:, : bands * rows].reshape(len(sig), bands, rows)
+    for r in range(rows):
         keys = mixed(keys ^ parts[:, :, r])
     return keys.view(np.int64)
 
 
+def sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles at each of 1,024 places: two sketches differ in no more bits than the sets in shingles."""
+    odd = np.bincount((shingles & np.uint64(64 * SKETCH_WORDS - 1)).astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 SIGNED = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
 
 
-def sign_batches(width: int):
+def sign_batches(width: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         donors = _donors()
         for batch in batches:
             for piece in text_pieces(batch, PIECE):
                 sets = shingle_sets(piece.column("text"), width)
-                keys = band_keys(signatures(sets, donors))
+                keys = band_keys(signatures(sets, donors), rows)
                 yield record(SIGNED, [
                     piece.column("doc_id"), [len(s) for s in sets], [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets],
                     [k if len(s) else None for k, s in zip(keys, sets, strict=True)],
@@ -117,7 +138,8 @@ def sign_batches(width: int):
     return run
 
 
-SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64()))])
+SETS = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("digest", pa.binary()), ("bits", pa.list_(pa.int64()))])
+SETS_DDL = "id long, n long, shingles array<long>, digest binary, bits array<long>"
 
 
 def set_batches(width: int):
@@ -125,53 +147,101 @@ def set_batches(width: int):
         for batch in batches:
             for piece in text_pieces(batch, PIECE):
                 sets = shingle_sets(piece.column("text"), width)
-                yield record(SETS, [piece.column("doc_id"), [len(s) for s in sets], [s.view(np.int64) for s in sets]])
+                yield record(SETS, [
+                    piece.column("doc_id"), [len(s) for s in sets], [s.view(np.int64) for s in sets],
+                    [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], [sketch(s) for s in sets],
+                ])
 
     return run
 
 
+def _apart(left: str, right: str) -> str:
+    """SQL: the bits in which two sketches differ."""
+    return f"aggregate(zip_with({left}, {right}, (l, r) -> bit_count(l ^ r)), 0, (total, n) -> total + n)"
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough."""
+    """Pairs (a, b) whose full sets are similar enough. Sizes and sketches decide first; of the pairs they leave, one set moves with each."""
+    side = lambda c: sets.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits_{c}"))
+    sized = pairs.join(side("b"), "b").join(side("a"), "a").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    likely = sized.where(f"{100 + percent} * {_apart('bits_a', 'bits_b')} <= {100 - percent} * (na + nb)").select("a", "b").distinct()
     left = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
     right = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    both = pairs.join(left, "b").join(right, "a").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
+    both = likely.join(left, "b").join(right, "a").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(100 * common >= percent * (F.col("na") + F.col("nb") - common)).select("a", "b").distinct()
 
 
 def _centres(labelled: DataFrame, number: int) -> DataFrame:
-    """(key, centre, centre_label): ``CENTRES`` members of each bucket that has more than one component. The first round has the smallest id among them;
-    else each centre is drawn by component first and then by member, so that members outside a bucket's main component soon stand there. A draw has
+    """(key, centre, centre_label): ``CENTRES`` members of each bucket that has more than one component. The first round has the smallest id alone;
+    later each centre is drawn by component first and then by member, so that members outside a bucket's main component soon stand there. A draw has
     one order for all buckets: documents that meet in many of them then mostly meet the same centres, and a pair is compared once."""
     sums = [F.min("label").alias("least"), F.max("label").alias("most")]
-    for k in range(CENTRES):
+    for k in range(CENTRES if number else 1):
         salt = F.lit(number * CENTRES + k)
         of_label = F.xxhash64("label", salt).bitwiseAND(F.lit(~0xFFFFF))
-        order = F.col("id") if number == k == 0 else of_label.bitwiseOR(F.xxhash64("id", salt).bitwiseAND(F.lit(0xFFFFF)))
+        order = F.col("id") if number == 0 else of_label.bitwiseOR(F.xxhash64("id", salt).bitwiseAND(F.lit(0xFFFFF)))
         sums += [F.min_by("id", order).alias(f"id_{k}"), F.min_by("label", order).alias(f"label_{k}")]
     drawn = labelled.groupBy("key").agg(*sums).where("least < most")
-    return drawn.select("key", F.explode(F.array(*[F.struct(F.col(f"id_{k}").alias("centre"), F.col(f"label_{k}").alias("centre_label")) for k in range(CENTRES)])).alias("c")).select("key", "c.*")
+    return drawn.select("key", F.explode(F.array(*[F.struct(F.col(f"id_{k}").alias("centre"), F.col(f"label_{k}").alias("centre_label")) for k in range(CENTRES if number else 1)])).alias("c")).select("key", "c.*")
+
+
+def _mixed(labelled: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component."""
+    split = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("id").alias("low")).where("least < most").select("key", "low")
+    return labelled.join(split, "key")
+
+
+def _differences(rest: DataFrame, sets: DataFrame, percent: int, store: Store) -> DataFrame:
+    """Stored: for each set of a mixed bucket its family, label, differences from the family's core (rarest in the family first), their number, and the
+    excess: two sets with c common differences are linked if their excesses add up to 2 * (100 + percent) * c at most."""
+    tied = components(rest.select(F.col("id").alias("a"), F.col("low").alias("b")).distinct(), store, "families")
+    label = rest.select("id", "label").distinct()
+    of = label.join(tied.withColumnsRenamed({"a": "id", "b": "family"}), "id", "left").withColumn("family", F.coalesce("family", "id"))
+    held = store.put(sets.join(broadcast_if_small(store.put(of, "family-of")), "id"), "held")
+    sizes = held.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
+    holders = held.select("family", F.explode("shingles").alias("s")).groupBy("family", "s").agg(F.count(F.lit(1)).alias("holders"))
+    core = holders.join(broadcast_if_small(store.put(sizes, "family-sizes")), "family").where("2 * holders > members")
+    # A core has less than twice the shingles of the mean set of its family.
+    cores = store.put(core.groupBy("family").agg(F.collect_list("s").alias("core")), "cores")
+    apart = held.join(broadcast_if_small(cores), "family", "left").withColumn("core", F.coalesce("core", F.array().cast("array<long>")))
+    differing = store.put(apart.withColumn("d", F.concat(F.array_except("shingles", "core"), F.array_except("core", "shingles"))).drop("shingles", "core"), "differing")
+    one = differing.select("family", "id", "digest", F.explode("d").alias("s"))
+    rarity = one.groupBy("family", "s").agg(F.count(F.lit(1)).alias("holders"))
+    ordered = one.join(rarity, ["family", "s"]).groupBy("family", "id", "digest").agg(F.sort_array(F.collect_list(F.struct("holders", "s"))).alias("ordered"))
+    whole = differing.join(ordered, ["family", "id", "digest"], "left").withColumn("many", F.size("d").cast("long"))
+    excess = F.expr(f"{100 + percent} * many - {100 - percent} * n")
+    return store.put(whole.select("family", "label", "id", "digest", "n", "bits", "many", F.coalesce("ordered", F.array().cast("array<struct<holders:long,s:long>>")).alias("ordered"), excess.alias("excess")), "differences")
 
 
 def _rest(labelled: DataFrame, sets: DataFrame, percent: int, store: Store) -> DataFrame:
-    """Pairs (a, b) of different components in each bucket that has more than one, without those whose sets cannot share enough: ``free`` is the number
-    of a set's shingles that another member has as well, and two sets have no more in common than the smaller of theirs."""
-    split = labelled.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most").select("key")
-    rest = store.put(labelled.join(split, "key").select("key", "id", "n", "label"), "rest")
-    near = store.put(sets.join(rest.select("id").distinct(), "id", "left_semi"), "rest-sets")
-    own = near.select("id", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("holders")).where("holders = 1")
-    single = near.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows = 1").select("id")  # an id of several rows is not bounded
-    own = own.groupBy("id").agg(F.count(F.lit(1)).alias("own")).join(single, "id", "left_semi")
-    bounded = rest.join(own, "id", "left").withColumn("free", F.col("n") - F.coalesce("own", F.lit(0))).where(f"100 * free >= {percent} * n")
-    bounded = store.put(bounded.select("key", "id", "n", "label", "free"), "rest-bounded")
-    x, y = (bounded.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("id", "n", "label", "free")]) for side in ("x", "y"))
-    shared = "least(x_free, y_free)"
-    pairs = x.join(y, "key").where(f"x_id > y_id and x_label <> y_label and 100 * {shared} >= {percent} * (x_n + y_n - {shared})")
-    return pairs.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
+    """Pairs (a, b) of different components that hold every link between members of one bucket that no star has found."""
+    rest = store.put(_mixed(labelled).select("key", "id", "label", "low"), "rest")
+    found = _differences(rest, sets, percent, store)
+    # Near the core: whoever is linked to anyone by excess alone is linked to the member of the least excess.
+    nearest = found.groupBy("family").agg(F.min_by(F.struct("id", "label", "excess"), F.struct("excess", "id")).alias("c"))
+    stars = found.join(broadcast_if_small(nearest), "family").where("excess + c.excess <= 0 and label <> c.label").select(F.greatest("id", "c.id").alias("a"), F.least("id", "c.id").alias("b"))
+    # Further off: a common difference among the rarest of both. The one of less excess (x) needs at least its excess in common, the other (y) what is left
+    # to it if x is as large as it may be.
+    step = 100 + percent
+    reach = lambda least: f"many - greatest(1, cast(ceil(({least}) / {step}D) as long)) + 1"
+    sided = found.withColumn("as_x", F.expr(reach("excess"))).withColumn("as_y", F.expr(reach(f"excess - {100 - percent} * (100 * n div {percent})")))
+    listed = sided.select("family", "label", "id", "n", "bits", "many", "excess", "as_x", "as_y", F.posexplode(F.slice("ordered", 1, F.greatest(F.lit(0), F.greatest("as_x", "as_y")).cast("int"))).alias("at", "o"))
+    listed = store.put(listed.where("o.holders > 1").select(*listed.columns[:-2], (F.col("at") + 1).alias("at"), F.col("o.s").alias("s")), "listed")
+    met = listed.groupBy("family", "s").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("family", "s")
+    listed = listed.join(met, ["family", "s"])
+    x, y = (listed.select("family", "s", *[F.col(c).alias(f"{side}_{c}") for c in listed.columns if c not in ("family", "s")]) for side in ("x", "y"))
+    pairs = x.join(y, ["family", "s"]).where(
+        "x_label <> y_label and x_at <= x_as_x and y_at <= y_as_y and (x_excess < y_excess or x_excess = y_excess and x_id < y_id)"
+        f" and 100 * least(x_n, y_n) >= {percent} * greatest(x_n, y_n)"
+        f" and x_excess + y_excess <= {2 * step} * (1 + least(x_many - x_at, y_many - y_at))"
+        f" and {step} * {_apart('x_bits', 'y_bits')} <= {100 - percent} * (x_n + y_n)"
+    )
+    return stars.union(pairs.select(F.greatest("x_id", "y_id").alias("a"), F.least("x_id", "y_id").alias("b"))).where("a <> b").distinct()
 
 
 def near_duplicates(
-    df: DataFrame, width: int = 3, percent: int = 85, id_col: str = "doc_id", text_col: str = "text", store: Store | None = None
+    df: DataFrame, width: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", store: Store | None = None
 ) -> DataFrame:
     """id, n_shingles, component_id (smallest id reachable over links, itself included), kept (it is that id).
 
@@ -180,7 +250,7 @@ def near_duplicates(
     spark = df.sparkSession
     store = store or Store(spark, "near")
     rows = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = store.put(batches_of(spark, rows, sign_batches(width), "doc_id long, n long, digest binary, bands array<long>"), "signed")
+    signed = store.put(batches_of(spark, rows, sign_batches(width, band_rows(percent)), "doc_id long, n long, digest binary, bands array<long>"), "signed")
     classes = store.put(
         signed.where("n > 0 and doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "classes"
     )
@@ -190,25 +260,20 @@ def near_duplicates(
     wanted = store.put(members.select(F.col("id").alias("doc_id")).distinct(), "wanted")
     few = wanted.count() <= BROADCAST_IDS
     texts = rows.join(F.broadcast(wanted) if few else wanted, "doc_id")
-    sets = store.put(batches_of(spark, texts, set_batches(width), "id long, n long, shingles array<long>"), "sets")
+    sets = store.put(batches_of(spark, texts, set_batches(width), SETS_DDL), "sets")
 
-    found, number, last = None, 0, False
-    labelled = members.withColumn("label", F.col("id"))
-    while True:
-        if last:
-            pairs = _rest(labelled, sets, percent, store)
-        else:
+    found, labelled = None, members.withColumn("label", F.col("id"))
+    for number in range(ROUNDS + 1):
+        if number < ROUNDS:
             pairs = labelled.join(_centres(labelled, number), "key").where("label <> centre_label")
             pairs = pairs.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
+        else:
+            pairs = _rest(labelled, sets, percent, store)
         new = store.put(confirmed(pairs, sets, percent), f"links-{number}")
         if not new.isEmpty():
             found = components(new if found is None else found.union(new), store, f"stars-{number}")
             labelled = members.join(found.select(F.col("a").alias("id"), F.col("b").alias("label")), "id", "left").withColumn("label", F.coalesce("label", "id"))
-        if last:
-            break
-        last, number = new.isEmpty(), number + 1
-
-    store.drop("members", "wanted", "sets", "rest", "rest-sets", "rest-bounded", *[f"links-{k}" for k in range(number + 1)])
+    store.drop("members", "wanted", "sets", "rest", "family-of", "held", "family-sizes", "cores", "differing", "differences", "listed", *[f"links-{k}" for k in range(ROUNDS + 1)])
     named = classes.select("digest", F.col("id").alias("rep"))
     if found is not None:
         named = named.join(found.select(F.col("a").alias("rep"), F.col("b").alias("label")), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))

@@ -133,7 +133,7 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op8_near_dedup")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
-    return near_dedup.near_duplicates(table(spark, folder, "documents"))
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), width=3, percent=85)
 
 
 def _raking_sql(docs: str) -> str:
