@@ -85,7 +85,7 @@ def risk_segments(fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
 
 def score_bands(predictions: DataFrame, fact: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Predictions joined to facts by technical key, banded in steps of 1/20."""
-    identity = ["source_file", "source_row_number"]
+    identity = ["source_file", "source_version", "source_row_number"]
     joined = predictions.select(*identity, "score").join(
         fact.select(*identity, "geography_key", "has_claim"), identity
     )

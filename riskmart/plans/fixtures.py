@@ -308,6 +308,7 @@ class Sources:
         weight = F.when(claims > 0, F.lit("1.0")).otherwise(F.lit("0.7")).cast("decimal(2,1)")
         return self.risk.select(
             "source_file",
+            "source_version",
             "source_row_number",
             "record_hash",
             (claims > 0).cast("int").alias("has_claim"),

@@ -10,6 +10,8 @@ from riskmart.operators import ml as L
 from riskmart.operators.warehouse import described_risk
 from riskmart.plans.fixtures import MODEL_VERSION, SCORE_POPULATION, Sources
 from riskmart.plans.registry import query
+from riskmart.plans.scoring import prediction_table
+from riskmart.sources.tables import new_folder
 
 CAP = 20_000
 _SALTED = "upper(sha256(record_hash || ':{salt}'))"
@@ -185,24 +187,41 @@ def _runs(src: Sources) -> tuple[DataFrame, DataFrame]:
 
 @query(
     "prediction_upsert",
-    """SELECT source_file, source_row_number, record_hash, 'bounded_held_out_test' AS population, 'claim_risk_model_v001' AS model_version,
+    """SELECT source_file, source_version, source_row_number, record_hash, 'bounded_held_out_test' AS population, 'claim_risk_model_v001' AS model_version,
   CAST(s AS DOUBLE) AS score, s >= 0.5 AS predicted_claim, run_id FROM (
     SELECT *, CASE WHEN source_file >= 'part2.csv' THEN 'run-2' ELSE 'run-1' END AS run_id,
       CASE WHEN source_file >= 'part2.csv' THEN score ELSE CAST(score * CAST(0.5 AS DECIMAL(2,1)) AS DECIMAL(12,10)) END AS s FROM fx_scores)""",
 )
 def prediction_upsert(src: Sources) -> DataFrame:
-    merged = L.upsert_predictions(*_runs(src))
-    return merged.drop("threshold").withColumn("score", F.col("score").cast("double"))
+    """Both runs upserted into a stored table of key buckets; the last published state."""
+    return _stored_predictions(src).drop("threshold").withColumn("score", F.col("score").cast("double"))
 
 
-@query(
-    "prediction_recon",
-    """SELECT count(*) AS stored_rows, (SELECT count(*) FROM (SELECT DISTINCT source_file, source_row_number FROM fx_scores)) AS distinct_identities,
-  CAST(0 AS BIGINT) AS duplicate_identities, (SELECT count(*) FROM fact_risk) AS expected_rows,
-  CASE WHEN count(*) = (SELECT count(*) FROM fact_risk) THEN 'PASS' ELSE 'FAIL' END AS status FROM fx_scores""",
-)
+def _stored_predictions(src: Sources) -> DataFrame:
+    table = prediction_table(src.spark, new_folder(src.spark, "predictions"), buckets=16)
+    for run in _runs(src):
+        state = table.upsert(run)
+    return table.read(state)
+
+
+_ID = ", ".join(L.IDENTITY)
+_DAMAGED = "SELECT * FROM fx_scores WHERE source_row_number % 1009 <> 0 UNION ALL SELECT * FROM fx_scores WHERE source_row_number % 997 = 1"
+
+
+def _recon_sql(case: str, stored: str) -> str:
+    return f"""SELECT '{case}' AS case_name, (SELECT count(*) FROM ({stored})) AS stored_rows, count_if(s > 0) AS distinct_identities, count_if(s > 1) AS duplicate_identities,
+  CAST(sum(e) AS BIGINT) AS expected_rows, count_if(s > 0 AND e = 0) AS unexpected_identities, count_if(s = 0 AND e > 0) AS missing_identities,
+  CASE WHEN (SELECT count(*) FROM ({stored})) = sum(e) AND count_if(s > 1) + count_if(s > 0 AND e = 0) + count_if(s = 0 AND e > 0) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (SELECT {_ID}, sum(s) AS s, sum(e) AS e FROM (SELECT {_ID}, 1 AS s, 0 AS e FROM ({stored}) UNION ALL SELECT {_ID}, 0, 1 FROM fact_risk) GROUP BY ALL)"""
+
+
+@query("prediction_recon", f"{_recon_sql('stored', 'SELECT * FROM fx_scores')} UNION ALL {_recon_sql('damaged', _DAMAGED)}")
 def prediction_recon(src: Sources) -> DataFrame:
-    return L.prediction_reconciliation(L.upsert_predictions(*_runs(src)), src.fact_risk)
+    """The stored predictions, and a damaged copy: some rows missing, some twice."""
+    stored = _stored_predictions(src)
+    damaged = stored.where("source_row_number % 1009 <> 0").unionByName(stored.where("source_row_number % 997 = 1"))
+    cases = [L.prediction_reconciliation(rows, src.fact_risk).select(F.lit(case).alias("case_name"), "*") for case, rows in (("stored", stored), ("damaged", damaged))]
+    return cases[0].unionByName(cases[1])
 
 
 @query("ml_train_select")

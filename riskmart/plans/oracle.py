@@ -132,7 +132,7 @@ JOIN dim_vehicle v ON v.vehicle_key <> 0 AND v.veh_year IS NOT DISTINCT FROM s.v
 JOIN dim_geography g ON g.geography_key <> 0 AND g.area IS NOT DISTINCT FROM s.area
   AND g.state IS NOT DISTINCT FROM s.state AND g.state_ab IS NOT DISTINCT FROM s.state_ab""",
     "fx_scores": """
-SELECT source_file, source_row_number, record_hash, CASE WHEN claim_nb_rob + claim_nb_other > 0 THEN 1 ELSE 0 END AS has_claim,
+SELECT source_file, source_version, source_row_number, record_hash, CASE WHEN claim_nb_rob + claim_nb_other > 0 THEN 1 ELSE 0 END AS has_claim,
   CAST(CAST((source_row_number * 7919) % 10001 AS DECIMAL(9,0)) * CAST(0.0001 AS DECIMAL(5,4))
     * CASE WHEN claim_nb_rob + claim_nb_other > 0 THEN CAST(1.0 AS DECIMAL(2,1)) ELSE CAST(0.7 AS DECIMAL(2,1)) END AS DECIMAL(12,10)) AS score
 FROM fx_risk""",
@@ -220,7 +220,7 @@ FROM fact_risk GROUP BY state_ab, gender, driv_age""",
     "mart_bands": f"""
 SELECT coalesce(f.state_ab, '{UNKNOWN_LABEL}') AS state, CAST(floor(CAST(p.score AS DOUBLE) * 20) AS INT) AS band,
   count(*) AS observations, {money('sum(p.score)', 6)} AS score_sum, CAST(sum(f.has_claim) AS BIGINT) AS positives
-FROM fx_scores p JOIN fact_risk f USING (source_file, source_row_number) GROUP BY f.state_ab, 2""",
+FROM fx_scores p JOIN fact_risk f USING (source_file, source_version, source_row_number) GROUP BY f.state_ab, 2""",
 })
 _NAMES = re.compile(r"\b(" + "|".join(sorted(FX, key=len, reverse=True)) + r")\b")
 

@@ -15,6 +15,7 @@ def population(spark, groups=300):
     base = spark.range(groups).select(F.col("id").alias("g"), F.explode(F.sequence(F.lit(0), F.when(F.col("id") == 0, 299).otherwise(F.col("id") % 3))).alias("k"))
     return base.select(
         F.lit("a.csv").alias("source_file"),
+        F.lit("v").alias("source_version"),
         (F.col("g") * 1000 + F.col("k")).alias("source_row_number"),
         F.upper(F.sha2(F.col("g").cast("string"), 256)).alias("record_hash"),
         F.when(F.col("g") % 5 == 0, 1).otherwise(0).alias("has_claim"),
@@ -62,18 +63,6 @@ def test_model_survives_a_reload(spark, tmp_path, kind):
         assert known.roc_auc > 0.99
 
 
-def test_upsert_replaces_and_is_idempotent(spark):
-    scored = population(spark).withColumn("score", F.lit("0.25").cast("decimal(12,10)"))
-    old = L.predictions(scored, "p", "v", "run-1")
-    new = L.predictions(scored.where("has_claim = 1").withColumn("score", F.lit("0.75").cast("decimal(12,10)")), "p", "v", "run-2")
-    merged = L.upsert_predictions(old, new)
-    assert merged.count() == old.count()
-    assert merged.where("run_id = 'run-2' AND predicted_claim").count() == new.count()
-    assert L.upsert_predictions(merged, new).exceptAll(merged).count() == 0
-    assert L.prediction_reconciliation(merged, old).first().status == "PASS"
-    assert L.prediction_reconciliation(merged.unionByName(new), old).first().status == "FAIL"
-
-
 def test_partition_duplicates_with_a_hot_record(spark):
     data = [("a", "hot")] * 40 + [("b", "hot")] * 30 + [("b", "x"), ("c", "x"), ("c", "y")]
     df = spark.createDataFrame(data, "source_file string, record string")
