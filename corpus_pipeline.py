@@ -2,68 +2,75 @@
 
 Each stage takes what the one before it kept, written as Parquet and read again. All but the last return the columns of ``documents``; the last
 returns the place of every remaining document (see ``riskmart.llm.sharding``).
+
+Defined cases of every stage: an empty table gives an empty one; columns beside those of ``documents`` are carried by all stages but the last, whatever
+their names; very long texts are judged whole. Ids may be missing or repeated: the second and third stage number the rows they are given, in a written
+table, and judge each row by its own text.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from riskmart.llm import decontamination, mixing, near_dedup, quality_model, sharding
 from riskmart.llm.common import Store, table, without
 
-#: Column that tells rows apart while a stage applies its verdicts: a hash, since ids can be missing or repeated.
-ROW_KEY = "__row_key"
+#: What near copies are in a corpus: five-word shingles, at least 80 of 100 in common.
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
-def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects (score below 0.5) go."""
-    return quality_model.accepted(docs, table(spark, sf_dir, "labels"))
+def numbered(docs: DataFrame, store: Store) -> tuple[DataFrame, str]:
+    """The rows with a number each, written so that a number stays with its row, and the number's column: a name that no other column has."""
+    key = "row_key"
+    while key.lower() in {c.lower() for c in docs.columns}:
+        key += "_"
+    return store.put(docs.withColumn(key, F.monotonically_increasing_id()), "numbered"), key
 
 
-def one_row_per_id(docs: DataFrame) -> DataFrame:
-    """Of rows that share an id the first by text stays; only repeated ids are looked at closer."""
-    repeated = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("gone"))
-    if repeated.isEmpty():
-        return docs
-    again = docs.join(repeated, docs.doc_id == repeated.gone, "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
-    first = again.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.row_number().over(order).alias("at")).where("at = 1").select("row.*")
-    return docs.join(repeated, docs.doc_id == repeated.gone, "left_anti").unionByName(first)
+def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects (score below 0.5) go. Null and empty texts are scored like any other; of rows that share an id each
+    has a score of its own."""
+    return quality_model.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each near-duplicate component stays. Each row is judged by its own text, also where rows share an id."""
+    """One row of each near-duplicate component stays: that of the smallest id (rows without an id come last), of equal ids the first row. Rows without
+    words are no copies of each other; different texts under one id all stay."""
     work = Store(spark, "copies-work")
-    keyed = docs.withColumn(ROW_KEY, F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id", "text")))
-    found = near_dedup.near_duplicates(keyed.select(F.col(ROW_KEY).alias("doc_id"), "text"), store=work)
-    named = found.where("doc_id is not null").select(F.col("doc_id").alias(ROW_KEY), "component_id").distinct()
-    placed = work.put(keyed.where("doc_id is not null").select(ROW_KEY, "doc_id").distinct().join(named, ROW_KEY), "placed")
-    least = placed.groupBy("component_id").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("least < most").select("component_id", "least")
-    gone = placed.join(least, "component_id").where("doc_id > least").select(F.col(ROW_KEY).alias("gone")).distinct()
-    gone = Store(spark, "copies").put(gone, "gone")
-    work.clear()
-    return one_row_per_id(without(keyed, gone, ROW_KEY).drop(ROW_KEY))
+    rows, key = numbered(docs, work)
+    found = near_dedup.near_duplicates(rows.select(key, "text"), SHINGLE_WORDS, SIMILAR_PERCENT, id_col=key, store=work)
+    placed = work.put(found.join(rows.select(key, "doc_id"), key).select(key, "doc_id", "component_id"), "placed")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", key)
+    best = placed.groupBy("component_id").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("rows")).where("rows > 1").select("component_id", F.col(f"best.{key}").alias("stays"))
+    gone = work.put(placed.join(best, "component_id").where(F.col(key) != F.col("stays")).select(F.col(key).alias("gone")), "gone")
+    return kept_rows(rows, gone, key, work)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated by exact benchmark passages go, with or without an id; proximity matches alone do not condemn. The verdict is the text's."""
+    """Rows contaminated by exact benchmark passages go, with or without an id; proximity matches alone do not condemn. An empty benchmark, or items
+    without words, condemn none."""
     work = Store(spark, "contaminated-work")
-    keyed = docs.withColumn(ROW_KEY, F.xxhash64("text"))
-    found = decontamination.contamination(keyed.select(F.col(ROW_KEY).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), misses=0, store=work)
-    gone = Store(spark, "contaminated").put(found.where("contaminated").select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    work.clear()
-    return without(keyed, gone, ROW_KEY).drop(ROW_KEY)
+    rows, key = numbered(docs, work)
+    found = decontamination.contamination(rows.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), misses=0, store=work)
+    gone = work.put(found.where("contaminated").select(F.col("doc_id").alias("gone")), "gone")
+    return kept_rows(rows, gone, key, work)
+
+
+def kept_rows(rows: DataFrame, gone: DataFrame, key: str, work: Store) -> DataFrame:
+    """The rows that stay, with the columns they came with. What the verdict no longer needs is deleted before the next stage starts."""
+    work.keep("numbered", "gone")
+    return without(rows, gone, key).drop(key)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled by calibrated probabilities towards the source, language and topic targets."""
+    """Documents are sampled by calibrated probabilities towards the source, language and topic targets. Missing sources and languages are values of
+    their own; rows with one id are sampled alike; documents without words are never taken."""
     return mixing.mix(docs)
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every remaining document's shard and slot."""
+    """Every remaining row's shard and slot, rows with missing or repeated ids and null texts included."""
     return sharding.shards(docs)
 
 
@@ -74,7 +81,7 @@ STAGES = [
     ("mixing", mix_sources),
     ("sharding", cut_shards),
 ]
-#: The first stage is a trained model, so no SQL gives these rows; tests/llm/test_pipeline.py checks each stage against its rule.
+#: The first stage is a trained model, so no SQL gives these rows; tests/llm/test_pipeline.py checks the stages against brute force.
 ORACLE_SQL = None
 
 

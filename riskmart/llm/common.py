@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -14,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskmart.sources.tables import delete_folder
+from riskmart.sources.tables import delete_folder, shared_folder
 
 BATCH_BYTES = 4 * 1024 * 1024
 #: White space of the word rules: \x20 and \x09-\x0D.
@@ -30,26 +27,12 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def work_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only a session in one process may go without it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
-        raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
-    folder = tempfile.mkdtemp(prefix="riskmart-llm-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 class Store:
     """Tables written to the shared folder, so that later steps start from files and outlive executors."""
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.base = f"{work_folder(spark)}/llm-{label}-{uuid.uuid4().hex[:12]}"
+        self.base = f"{shared_folder(spark)}/llm-{label}-{uuid.uuid4().hex[:12]}"
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}"
@@ -60,6 +43,14 @@ class Store:
         for name in names:
             delete_folder(self.spark, f"{self.base}/{name}")
 
+    def keep(self, *names: str) -> None:
+        """Drops all tables but these."""
+        jvm = self.spark.sparkContext._jvm
+        base = jvm.org.apache.hadoop.fs.Path(self.base)
+        for status in base.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).listStatus(base):
+            if status.getPath().getName() not in names:
+                delete_folder(self.spark, status.getPath().toString())
+
     def clear(self) -> None:
         """Drops all tables; what is still computed from them must have been written before."""
         delete_folder(self.spark, self.base)

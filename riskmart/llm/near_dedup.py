@@ -41,7 +41,7 @@ MISS = 1e-4
 PIECE = 1 << 20
 SKETCH_WORDS = 16
 #: Rounds of stars before the rest is settled.
-ROUNDS = 3
+ROUNDS = 1
 #: Centres of a bucket's star in one round: candidates are at most this many times the bucket's members.
 CENTRES = 3
 #: Ids of documents whose sets are needed are broadcast below this many, else shuffled.
@@ -160,9 +160,9 @@ def _apart(left: str, right: str) -> str:
     return f"aggregate(zip_with({left}, {right}, (l, r) -> bit_count(l ^ r)), 0, (total, n) -> total + n)"
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough. Sizes and sketches decide first; of the pairs they leave, one set moves with each."""
-    side = lambda c: sets.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits_{c}"))
+    side = lambda c: broadcast_if_small(sketches.select(F.col("id").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits_{c}")))
     sized = pairs.join(side("b"), "b").join(side("a"), "a").where(f"100 * least(na, nb) >= {percent} * greatest(na, nb)")
     likely = sized.where(f"{100 + percent} * {_apart('bits_a', 'bits_b')} <= {100 - percent} * (na + nb)").select("a", "b").distinct()
     left = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
@@ -173,17 +173,17 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _centres(labelled: DataFrame, number: int) -> DataFrame:
-    """(key, centre, centre_label): ``CENTRES`` members of each bucket that has more than one component. The first round has the smallest id alone;
-    later each centre is drawn by component first and then by member, so that members outside a bucket's main component soon stand there. A draw has
+    """(key, centre, centre_label): ``CENTRES`` members of each bucket that has more than one component. The first centre is the smallest id;
+    each other one is drawn by component first and then by member, so that members outside a bucket's main component soon stand there. A draw has
     one order for all buckets: documents that meet in many of them then mostly meet the same centres, and a pair is compared once."""
     sums = [F.min("label").alias("least"), F.max("label").alias("most")]
-    for k in range(CENTRES if number else 1):
+    for k in range(CENTRES):
         salt = F.lit(number * CENTRES + k)
         of_label = F.xxhash64("label", salt).bitwiseAND(F.lit(~0xFFFFF))
-        order = F.col("id") if number == 0 else of_label.bitwiseOR(F.xxhash64("id", salt).bitwiseAND(F.lit(0xFFFFF)))
+        order = F.col("id") if number == k == 0 else of_label.bitwiseOR(F.xxhash64("id", salt).bitwiseAND(F.lit(0xFFFFF)))
         sums += [F.min_by("id", order).alias(f"id_{k}"), F.min_by("label", order).alias(f"label_{k}")]
     drawn = labelled.groupBy("key").agg(*sums).where("least < most")
-    return drawn.select("key", F.explode(F.array(*[F.struct(F.col(f"id_{k}").alias("centre"), F.col(f"label_{k}").alias("centre_label")) for k in range(CENTRES if number else 1)])).alias("c")).select("key", "c.*")
+    return drawn.select("key", F.explode(F.array(*[F.struct(F.col(f"id_{k}").alias("centre"), F.col(f"label_{k}").alias("centre_label")) for k in range(CENTRES)])).alias("c")).select("key", "c.*")
 
 
 def _mixed(labelled: DataFrame) -> DataFrame:
@@ -262,6 +262,8 @@ def near_duplicates(
     texts = rows.join(F.broadcast(wanted) if few else wanted, "doc_id")
     sets = store.put(batches_of(spark, texts, set_batches(width), SETS_DDL), "sets")
 
+    sketches = store.put(sets.select("id", "n", "bits"), "sketches")
+
     found, labelled = None, members.withColumn("label", F.col("id"))
     for number in range(ROUNDS + 1):
         if number < ROUNDS:
@@ -269,11 +271,11 @@ def near_duplicates(
             pairs = pairs.select(F.greatest("id", "centre").alias("a"), F.least("id", "centre").alias("b")).distinct()
         else:
             pairs = _rest(labelled, sets, percent, store)
-        new = store.put(confirmed(pairs, sets, percent), f"links-{number}")
+        new = store.put(confirmed(pairs, sets, sketches, percent), f"links-{number}")
         if not new.isEmpty():
             found = components(new if found is None else found.union(new), store, f"stars-{number}")
             labelled = members.join(found.select(F.col("a").alias("id"), F.col("b").alias("label")), "id", "left").withColumn("label", F.coalesce("label", "id"))
-    store.drop("members", "wanted", "sets", "rest", "family-of", "held", "family-sizes", "cores", "differing", "differences", "listed", *[f"links-{k}" for k in range(ROUNDS + 1)])
+    store.drop("members", "wanted", "sets", "sketches", "rest", "family-of", "held", "family-sizes", "cores", "differing", "differences", "listed", *[f"links-{k}" for k in range(ROUNDS + 1)])
     named = classes.select("digest", F.col("id").alias("rep"))
     if found is not None:
         named = named.join(found.select(F.col("a").alias("rep"), F.col("b").alias("label")), "rep", "left").select("digest", F.coalesce("label", "rep").alias("component_id"))

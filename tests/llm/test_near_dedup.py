@@ -91,12 +91,11 @@ def family(size, seed=1, words=400, edits=20, pool=40):
 
 def test_rest_compares_few_pairs_and_loses_no_link(spark, monkeypatch):
     """Families whose members share changed words: every bucket stays mixed, and what is compared follows the members."""
-    monkeypatch.setattr(N, "ROUNDS", 1)
     compared, exact = [], N.confirmed
 
-    def watched(pairs, sets, percent):
+    def watched(pairs, *rest):
         compared.append(pairs.count())
-        return exact(pairs, sets, percent)
+        return exact(pairs, *rest)
 
     monkeypatch.setattr(N, "confirmed", watched)
     for size in (150, 300):
@@ -111,9 +110,8 @@ def test_rest_compares_few_pairs_and_loses_no_link(spark, monkeypatch):
         assert compared[-1] <= 2 * size
 
 
-def test_chains_around_a_core(spark, monkeypatch):
-    """Members near the core and members further off that share changes with them, one round of stars only, other widths and similarities too."""
-    monkeypatch.setattr(N, "ROUNDS", 1)
+def test_chains_around_a_core(spark):
+    """Members near the core and members further off that share changes with them, other widths and similarities too."""
     draw = random.Random(4)
     rows = []
     for f in range(4):
