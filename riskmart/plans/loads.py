@@ -114,7 +114,7 @@ def now():
 
 
 def _load(
-    store: Store, path: str, manifest: DataFrame, by_content: bool, multi_line: bool = False
+    store: Store, path: str, manifest: DataFrame, by_content: bool
 ) -> LoadResult:
     spark, contract = store.spark, store.contract
     S.check_header(spark, [path], contract)
@@ -154,7 +154,7 @@ def _load(
     store.audit(batch_id, "STAGING_LOAD", "STARTED", 0, "source is read only")
     work = new_folder(spark, "load")
     try:
-        raw = S.land_with_row_numbers(spark, [path], contract, f"{work}/landing", multi_line)
+        raw = S.land_with_row_numbers(spark, [path], contract, f"{work}/landing")
         apply = apply_market_contract if contract is C.MARKET else apply_risk_contract
         judged = apply(raw).withColumns(
             {"source_version": F.lit(source.source_version), "loaded_at": F.current_timestamp()}
@@ -188,9 +188,9 @@ def _load(
     return LoadResult(batch_id, "SUCCESS", counts.n, counts.good, counts.n - counts.good)
 
 
-def load_market(spark: SparkSession, path: str, root: str, manifest: DataFrame, multi_line: bool = False) -> LoadResult:
+def load_market(spark: SparkSession, path: str, root: str, manifest: DataFrame) -> LoadResult:
     """Market CSV: bad rows go to the reject table, the version is its content."""
-    return _load(Store(spark, root, C.MARKET), path, manifest, by_content=True, multi_line=multi_line)
+    return _load(Store(spark, root, C.MARKET), path, manifest, by_content=True)
 
 
 def load_risk(spark: SparkSession, paths: Sequence[str], root: str, manifest: DataFrame) -> list[LoadResult]:
