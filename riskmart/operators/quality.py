@@ -376,3 +376,14 @@ def precheck(staging: DataFrame, fact: DataFrame) -> DataFrame:
     )
     ready = (F.col("staging_rows") == F.col("fact_rows")) & (F.col("staging_rows") > 0)
     return counts.withColumn("status", F.when(ready, "PASS").otherwise("FAIL"))
+
+
+class PrecheckError(RuntimeError):
+    """Staging and fact do not hold the same rows, or none."""
+
+
+def require_precheck(staging: DataFrame, fact: DataFrame) -> None:
+    """Raises unless a training or scoring run may start."""
+    row = precheck(staging, fact).first()
+    if row.status != "PASS":
+        raise PrecheckError(f"staging has {row.staging_rows} rows, fact {row.fact_rows}")

@@ -100,14 +100,14 @@ def contract_required_text(src: Sources) -> DataFrame:
   claim_premium_ratio = 'NA' OR ({sql_half_even('claim_premium_ratio')}) IS NOT NULL AS ok FROM fx_market_raw""",
 )
 def contract_ratio_na(src: Sources) -> DataFrame:
-    text = F.col("claim_premium_ratio")
-    value = P.half_even_decimal(F.col("plain"))
-    return P.with_plain_decimals(src.market_raw, {"plain": "claim_premium_ratio"}).select(
-        "source_row_number",
-        text.alias("text"),
-        F.nullif(text, F.lit("NA")).alias("raw"),
-        value.cast("string").alias("value"),
-        ((text == "NA") | value.isNotNull()).alias("ok"),
+    """The ratio's rule as the contract applies it."""
+    name = "claim_premium_ratio"
+    text = F.col(R.text_column(name))
+    parsed = P.with_plain_decimals(R.with_texts(src.market_raw, C.MARKET_COLUMNS), {R.plain_column(name): R.text_column(name)})
+    typed = parsed.withColumn(name, P.half_even_decimal(F.col(R.plain_column(name))))
+    return typed.select(
+        "source_row_number", text.alias("text"), F.nullif(text, F.lit("NA")).alias("raw"), F.col(name).cast("string").alias("value"),
+        R.decimal_rule(name, nullable_na=True).ok.alias("ok"),
     )
 
 
@@ -173,18 +173,16 @@ def market_rejects(src: Sources) -> DataFrame:
 
 @query(
     "contract_optional_text",
-    """SELECT source_file, source_row_number, NULLIF("Gender", '') AS gender, length("Gender") <= 20 AS gender_ok,
-  NULLIF("DrivAge", '') AS driv_age, length("DrivAge") <= 20 AS driv_age_ok FROM fx_risk_raw""",
+    "SELECT source_file, source_row_number, " + ", ".join(
+        f"""NULLIF("{c}", '') AS {W.RISK_STAGING_TO_SNAKE[c]}, length("{c}") <= {limit} AS {W.RISK_STAGING_TO_SNAKE[c]}_ok""" for c, limit in C.RISK_TEXT_LIMITS.items()
+    ) + " FROM fx_risk_raw",
 )
 def contract_optional_text(src: Sources) -> DataFrame:
-    gender, age = (R.optional_text_rule(name, C.RISK_TEXT_LIMITS[name]) for name in ("Gender", "DrivAge"))
-    return R.with_texts(src.risk_raw, C.RISK_COLUMNS).select(
-        *KEY,
-        F.nullif(R.text_column("Gender"), F.lit("")).alias("gender"),
-        gender.ok.alias("gender_ok"),
-        F.nullif(R.text_column("DrivAge"), F.lit("")).alias("driv_age"),
-        age.ok.alias("driv_age_ok"),
-    )
+    columns = []
+    for name, limit in C.RISK_TEXT_LIMITS.items():
+        snake = W.RISK_STAGING_TO_SNAKE[name]
+        columns += [F.nullif(R.text_column(name), F.lit("")).alias(snake), R.optional_text_rule(name, limit).ok.alias(f"{snake}_ok")]
+    return R.with_texts(src.risk_raw, C.RISK_COLUMNS).select(*KEY, *columns)
 
 
 def sql_fit(text: str, precision: int, scale: int) -> str:
@@ -200,35 +198,41 @@ def sql_fit(text: str, precision: int, scale: int) -> str:
 
 @query(
     "contract_decimal_fit",
-    f"""SELECT source_file, source_row_number, "ExposTotal" AS exposure_raw, {sql_fit('"ExposTotal"', 21, 17)} AS exposure_ok,
-  "PremTotal" AS premium_raw, {sql_fit('"PremTotal"', 34, 27)} AS premium_ok FROM fx_risk_raw""",
+    "SELECT source_file, source_row_number, " + ", ".join(
+        f"""{sql_fit(f'"{c}"', *shape)} AS {W.RISK_STAGING_TO_SNAKE[c]}_ok""" for c, shape in C.RISK_DECIMALS.items()
+    ) + """, "ExposTotal" AS exposure_raw, "PremTotal" AS premium_raw FROM fx_risk_raw""",
 )
 def contract_decimal_fit(src: Sources) -> DataFrame:
-    literals = {"exposure": P.decimal_literal(F.col("ExposTotal")), "premium": P.decimal_literal(F.col("PremTotal"))}
-    return src.risk_raw.withColumns(literals).select(
-        *KEY,
-        F.col("ExposTotal").alias("exposure_raw"),
-        P.exact_decimal(F.col("exposure"), *C.RISK_DECIMALS["ExposTotal"]).isNotNull().alias("exposure_ok"),
-        F.col("PremTotal").alias("premium_raw"),
-        P.exact_decimal(F.col("premium"), *C.RISK_DECIMALS["PremTotal"]).isNotNull().alias("premium_ok"),
+    """The rule of every decimal column, as the contract applies it."""
+    literals = {R.plain_column(c): P.decimal_literal(F.col(R.text_column(c))) for c in C.RISK_DECIMALS}
+    typed = {c: P.exact_decimal(F.col(R.plain_column(c)), *shape) for c, shape in C.RISK_DECIMALS.items()}
+    parsed = R.with_texts(src.risk_raw, C.RISK_COLUMNS).withColumns(literals).withColumns(typed)
+    return parsed.select(
+        *KEY, *[R.decimal_rule(c).ok.alias(f"{W.RISK_STAGING_TO_SNAKE[c]}_ok") for c in C.RISK_DECIMALS],
+        F.col(R.text_column("ExposTotal")).alias("exposure_raw"), F.col(R.text_column("PremTotal")).alias("premium_raw"),
     )
 
 
+def _int_sql(name: str) -> str:
+    """A year may be blank-padded or missing, a count is digits alone."""
+    if name == "VehYear":
+        return """CASE WHEN TRY_CAST(trim("VehYear") AS BIGINT) BETWEEN 0 AND 32767 THEN TRY_CAST(trim("VehYear") AS INT) END"""
+    return f"""CASE WHEN regexp_matches("{name}", '^[0-9]+$') AND CAST("{name}" AS BIGINT) <= 2147483647 THEN CAST("{name}" AS INT) END"""
+
+
+_INTEGERS = ("VehYear", *C.RISK_COUNTS)
+
+
 @query(
     "contract_nonneg_int",
-    """SELECT source_file, source_row_number, "VehYear" AS veh_year_raw,
-  CASE WHEN TRY_CAST(trim("VehYear") AS BIGINT) BETWEEN 0 AND 32767 THEN TRY_CAST(trim("VehYear") AS INT) END AS veh_year,
-  "ClaimNbRob" AS claims_raw, CASE WHEN regexp_matches("ClaimNbRob", '^[0-9]+$') AND CAST("ClaimNbRob" AS BIGINT) <= 2147483647
-    THEN CAST("ClaimNbRob" AS INT) END AS claims FROM fx_risk_raw""",
+    "SELECT source_file, source_row_number, " + ", ".join(f'"{c}" AS {W.RISK_STAGING_TO_SNAKE[c]}_raw, {_int_sql(c)} AS {W.RISK_STAGING_TO_SNAKE[c]}' for c in _INTEGERS) + " FROM fx_risk_raw",
 )
 def contract_nonneg_int(src: Sources) -> DataFrame:
-    return src.risk_raw.select(
-        *KEY,
-        F.col("VehYear").alias("veh_year_raw"),
-        P.nonneg_int(F.col("VehYear"), "smallint").alias("veh_year"),
-        F.col("ClaimNbRob").alias("claims_raw"),
-        P.nonneg_int(F.col("ClaimNbRob")).alias("claims"),
-    )
+    columns = []
+    for name in _INTEGERS:
+        snake, kind = W.RISK_STAGING_TO_SNAKE[name], "smallint" if name == "VehYear" else "int"
+        columns += [F.col(name).alias(f"{snake}_raw"), P.nonneg_int(F.col(name), kind).alias(snake)]
+    return src.risk_raw.select(*KEY, *columns)
 
 
 @query(

@@ -11,6 +11,7 @@ from riskmart.operators.warehouse import described_risk
 from riskmart.plans.fixtures import MODEL_VERSION, SCORE_POPULATION, Sources
 from riskmart.plans.registry import query
 from riskmart.plans.scoring import prediction_table
+from riskmart.plans.training import BASELINE
 from riskmart.sources.tables import new_folder
 
 CAP = 20_000
@@ -224,11 +225,38 @@ def prediction_recon(src: Sources) -> DataFrame:
     return cases[0].unionByName(cases[1])
 
 
+def _cap_sql(cap: int) -> str:
+    """What ``stratified_cap`` keeps of the training split."""
+    return f"""SELECT {cap} AS cap, 'train' AS split, count(*) AS rows, count(DISTINCT record_hash) AS groups, CAST(sum(has_claim) AS BIGINT) AS positives FROM t WHERE record_hash IN (
+  SELECT record_hash FROM (SELECT record_hash, has_claim, row_number() OVER (PARTITION BY has_claim ORDER BY {_SALTED.format(salt=f'{L.SEED}:{cap}')}, record_hash) AS r,
+    count(*) OVER (PARTITION BY has_claim) AS n FROM (SELECT DISTINCT record_hash, has_claim FROM t))
+  WHERE r <= round(n * least(1.0, CAST({cap} AS DOUBLE) / (SELECT count(*) FROM t))))"""
+
+
+_WHOLE = "SELECT {n} AS cap, split, count(*) AS rows, count(DISTINCT record_hash) AS groups, CAST(sum(has_claim) AS BIGINT) AS positives FROM s WHERE split = '{split}' GROUP BY split"
+
+
+@query(
+    "ml_train_caps",
+    f"WITH s AS MATERIALIZED ({SPLITS}), t AS (SELECT * FROM s WHERE split = 'train') "
+    + " UNION ALL ".join([*map(_cap_sql, C.TRAIN_CAPS), *(_WHOLE.format(n=0, split=split) for split in ("train", "validation", "test"))]),
+)
+def ml_train_caps(src: Sources) -> DataFrame:
+    """Rows, groups and positives that each training cap keeps, and those of the splits (cap 0)."""
+    rows = _splits(src)
+    sizes = [F.count("*").alias("rows"), F.count_distinct("record_hash").alias("groups"), F.sum("has_claim").alias("positives")]
+    found = rows.groupBy("split").agg(*sizes).select(F.lit(0).alias("cap"), "split", "rows", "groups", "positives")
+    train = rows.where("split = 'train'")
+    for cap in C.TRAIN_CAPS:
+        found = found.unionByName(L.stratified_cap(train, cap).agg(*sizes).select(F.lit(cap).alias("cap"), F.lit("train").alias("split"), "rows", "groups", "positives"))
+    return found
+
+
 @query("ml_train_select")
 def ml_train_select(src: Sources) -> DataFrame:
-    """Both candidates trained on the training split, measured on validation, best one chosen."""
+    """Averaged SGD and complement Bayes fitted under the last cap, measured on validation, the better one chosen."""
     rows = _splits(src)
     train, validation = rows.where("split = 'train'"), rows.where("split = 'validation'")
-    capped = src.table("ml_train", lambda: L.stratified_cap(train, L.C.TRAIN_CAPS[-1]))
-    measured = [L.evaluate(L.ClaimModel.fit(capped, kind), validation, kind) for kind in ("logistic", "bayes")]
-    return L.select_model(measured[0].unionByName(measured[1]), "logistic")
+    capped = src.table("ml_train", lambda: L.stratified_cap(train, C.TRAIN_CAPS[-1]))
+    measured = [L.evaluate(fit(capped), validation, kind) for kind, (_, fit) in L.MODELS.items()]
+    return L.select_model(measured[0].unionByName(measured[1]), BASELINE)

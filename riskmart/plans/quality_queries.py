@@ -307,11 +307,17 @@ def reconcile_market(src: Sources) -> DataFrame:
     )
 
 
-@query(
-    "precheck_risk",
-    """SELECT (SELECT count(*) FROM fx_risk) AS staging_rows, (SELECT count(*) FROM fact_risk) AS fact_rows,
-  CASE WHEN (SELECT count(*) FROM fx_risk) = (SELECT count(*) FROM fact_risk) AND (SELECT count(*) FROM fx_risk) > 0 THEN 'PASS' ELSE 'FAIL' END AS status""",
-)
-def precheck_risk(src: Sources) -> DataFrame:
-    return Q.precheck(src.risk, src.fact_risk)
+_PRECHECKS = {"loaded": ("fx_risk", "fact_risk"), "damaged": ("fx_risk_damaged", "fact_risk_damaged"), "empty": ("(SELECT * FROM fx_risk LIMIT 0)", "(SELECT * FROM fact_risk LIMIT 0)")}
+
 
+def _precheck_sql(case: str, staging: str, fact: str) -> str:
+    n, m = f"(SELECT count(*) FROM {staging})", f"(SELECT count(*) FROM {fact})"
+    return f"SELECT '{case}' AS case_name, {n} AS staging_rows, {m} AS fact_rows, CASE WHEN {n} = {m} AND {n} > 0 THEN 'PASS' ELSE 'FAIL' END AS status"
+
+
+@query("precheck_risk", " UNION ALL ".join(_precheck_sql(case, *layers) for case, layers in _PRECHECKS.items()))
+def precheck_risk(src: Sources) -> DataFrame:
+    """The layers as they are, damaged, and empty: only the first may be trained or scored on."""
+    layers = {"loaded": (src.risk, src.fact_risk), "damaged": src.risk_damaged[:2], "empty": (src.risk.where("false"), src.fact_risk.where("false"))}
+    found = [Q.precheck(*pair).select(F.lit(case).alias("case_name"), "*") for case, pair in layers.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])

@@ -54,7 +54,7 @@ def score_population(
         raise ScoringError(f"model at {model_path} has version {metadata.get('model_version')!r}, not {model_version!r}")
     run_id, table = run_id or str(uuid.uuid4()), prediction_table(spark, root, buckets)
     with work_folder(spark, "scoring") as folder:
-        scored = write_table(L.predictions(L.ClaimModel.load(model_path).score(rows), population, model_version, run_id, threshold), f"{folder}/scored")
+        scored = write_table(L.predictions(L.load_model(spark, model_path).score(rows), population, model_version, run_id, threshold), f"{folder}/scored")
         predicted, expected = scored.count(), rows.count()
         if predicted != expected:
             raise ScoringError(f"{predicted} scores of {expected} rows")

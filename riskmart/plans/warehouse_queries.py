@@ -253,10 +253,21 @@ def perf_state_product_month(src: Sources) -> DataFrame:
     return M.state_product_by_month(src.fact_by_state_product, src.market_dims, HOT_STATE, HOT_PRODUCT, HOT_FROM)
 
 
-@query(
-    "mart_recon",
-    """SELECT 'observations' AS measure, CAST(sum(observations) AS BIGINT) AS mart_observations, (SELECT count(*) FROM fact_market) AS fact_rows,
-  CASE WHEN sum(observations) = (SELECT count(*) FROM fact_market) THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM mart_monthly""",
-)
+def _mart_recon_sql(case: str, table: str, fact: str, lost: str = "FALSE") -> str:
+    total = f"(SELECT coalesce(sum(observations), 0) FROM {table} WHERE NOT ({lost}))"
+    return f"""SELECT '{case}' AS mart, 'observations' AS measure, CAST({total} AS BIGINT) AS mart_observations, (SELECT count(*) FROM {fact}) AS fact_rows,
+  CASE WHEN {total} = (SELECT count(*) FROM {fact}) THEN 'SUCCESS' ELSE 'FAILED' END AS status"""
+
+
+@query("mart_recon", " UNION ALL ".join([
+    _mart_recon_sql("monthly", "mart_monthly", "fact_market"), _mart_recon_sql("risk", "mart_segments", "fact_risk"),
+    _mart_recon_sql("risk without a state", "mart_segments", "fact_risk", "state = (SELECT min(state) FROM mart_segments)"),
+]))
 def mart_recon(src: Sources) -> DataFrame:
-    return M.reconciliation(M.monthly(src.fact_market, src.market_dims), src.fact_market)
+    """Both marts against their facts, and the risk mart after a state was lost."""
+    risk = M.risk_segments(src.fact_risk, src.risk_dims)
+    first = risk.agg(F.min("state").alias("state"))
+    cases = [("monthly", M.monthly(src.fact_market, src.market_dims), src.fact_market), ("risk", risk, src.fact_risk)]
+    cases.append(("risk without a state", risk.where(F.col("state") != first.scalar()), src.fact_risk))
+    found = [M.reconciliation(mart, fact).select(F.lit(name).alias("mart"), "*") for name, mart, fact in cases]
+    return found[0].unionByName(found[1]).unionByName(found[2])
