@@ -218,7 +218,45 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents"))
 
 
-@query("op11_merkle_manifest")
+def _merkle_sql(depth: int = 5, top_depth: int = 3) -> str:
+    """Levels are taken ``depth`` times in a source and ``top_depth`` times over the sources; where one node is left, a level changes nothing."""
+    field = lambda f: f"coalesce(octet_length(encode(CAST({f} AS VARCHAR))) || ':' || CAST({f} AS VARCHAR), '-')"
+    head = " || ".join(field(f) for f in merkle_manifest.FIELDS[:4])
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    byte = "list_reduce([xor(c, b)] || [CAST(0 AS BIGINT) FOR i IN range(8)], lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)"
+    crc = f"xor(list_reduce([CAST(4294967295 AS BIGINT)] || [CAST(ascii(d) AS BIGINT) FOR d IN string_split(CAST(doc_id AS VARCHAR), '')], lambda c, b: {byte}), 4294967295)"
+    parts = [f"""leaves AS MATERIALIZED (
+    SELECT doc_id, coalesce('s' || source, 'n') AS tree, sha256({head} || {field('text')}) AS leaf, CASE WHEN doc_id IS NOT NULL AND {crc} % 5 = 0 THEN sha256({head} || {field(low)}) END AS tampered
+    FROM documents
+), r0 AS MATERIALIZED (
+    SELECT doc_id, tree, leaf, coalesce(tampered, leaf) AS node, '' AS proof, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM leaves
+), n0 AS MATERIALIZED (
+    SELECT tree, pos, leaf AS d, count(*) OVER (PARTITION BY tree) AS total FROM r0
+)"""]
+
+    def level(n: str, r: str, up_n: str, up_r: str, more: str) -> str:
+        before, after = "array_to_string(ds[1:r.pos % 16], '')", "array_to_string(ds[r.pos % 16 + 2:], '')"
+        return f"""run_{n} AS MATERIALIZED (
+    SELECT tree, pos // 16 AS up, list(d ORDER BY pos) AS ds, max(total) AS total FROM {n} GROUP BY ALL
+), {up_n} AS MATERIALIZED (
+    SELECT tree, up AS pos, CASE WHEN total = 1 THEN ds[1] ELSE sha256(array_to_string(ds, '')) END AS d, count(*) OVER (PARTITION BY tree) AS total FROM run_{n}
+), {up_r} AS MATERIALIZED (
+    SELECT r.doc_id, r.tree, r.leaf, {more} CASE WHEN total = 1 THEN node ELSE sha256({before} || node || {after}) END AS node,
+           CASE WHEN total = 1 THEN proof ELSE proof || {before} || {after} END AS proof, r.pos // 16 AS pos
+    FROM {r} r JOIN run_{n} g ON g.tree = r.tree AND g.up = r.pos // 16
+)"""
+
+    parts += [level(f"n{k}", f"r{k}", f"n{k + 1}", f"r{k + 1}", "") for k in range(depth)]
+    parts.append(f"""t0 AS MATERIALIZED (
+    SELECT 'top' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, d, count(*) OVER () AS total, tree AS name FROM n{depth}
+), q0 AS MATERIALIZED (
+    SELECT doc_id, 'top' AS tree, leaf, t0.d AS subroot, node, proof, t0.pos FROM r{depth} r JOIN t0 ON t0.name = r.tree
+)""")
+    parts += [level(f"t{k}", f"q{k}", f"t{k + 1}", f"q{k + 1}", "r.subroot,") for k in range(top_depth)]
+    return "WITH " + ", ".join(parts) + f""" SELECT doc_id, leaf, subroot, d AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = d AS verified FROM q{top_depth}, t{top_depth}"""
+
+
+@query("op11_merkle_manifest", _merkle_sql())
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest.proofs(table(spark, folder, "documents"))
 
