@@ -1,8 +1,9 @@
 """Main text of web pages by composite text density.
 
-A page becomes a tree of its blocks and links (other elements only format text); parts that never belong to an article (menus, page headers and footers, side columns, notices, adverts, forms, scripts,
-reader comments, hidden parts) are cut by element, role or class. Each remaining node gets its composite text density: characters per tag, adjusted
-by the characters and tags inside links. A node's density sum adds the densities of its children, direct text being a child of its own. The
+A page becomes a tree of its blocks and links (other elements only format text); scripts, styles, controls and hidden parts never count. Elements that by
+name, role or class hold menus, page headers and footers, side columns, notices, adverts, forms or reader comments are evidence, not a verdict: such a
+part goes only if it holds no article, main part or page title and no more than ``MOST_SHARE`` of the body's text outside links. Each remaining node
+gets its composite text density: characters per tag, adjusted by the characters and tags inside links (counts of links that are 0 taken as 1; the logarithm's base is moved by 1, so that a page without links has one). A node's density sum adds the densities of its children, direct text being a child of its own. The
 subtree with the greatest sum is content; the lowest density on the path from it up to the body is the threshold, and wherever a node reaches
 it, the subtree with the greatest sum below it is content as well.
 
@@ -19,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
+from itertools import accumulate
 from math import e, log
 
 import pyarrow as pa
@@ -31,7 +33,8 @@ _TAG = re.compile(
     r"<!--(?:.*?-->|.*)|<[!?][^>]*+(?:>|$)|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)(?:>|$)|<(?P<odd_end>/?)(?P<odd>[a-zA-Z][^\s/>]*+)[^>]*+(?:>|$)",
     re.S,
 )
-_ATTR = re.compile(r"""(?P<name>class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"(?P<a>[^"]*)"|'(?P<b>[^']*)'|(?P<c>[^\s"'>]+)))?(?=[\s/>]|$)""", re.I)
+#: One attribute after another, so that neither a value nor the end of another name is taken for one.
+_ATTR = re.compile(r"""(?P<name>[^\s"'>/=]+)(?:\s*=\s*(?:"(?P<a>[^"]*)"|'(?P<b>[^']*)'|(?P<c>[^\s"'>]+)))?|["'/=]""")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template textarea title iframe xmp noembed noframes".split())
 _BLOCK = frozenset(
@@ -43,7 +46,10 @@ _CLOSES_P = _BLOCK - {"br", "td", "th", "tr", "tbody", "thead", "tfoot", "captio
 _NODES = _BLOCK - {"br"} | {"a"}
 #: An opening tag ends these open elements.
 _ENDS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("td", "th", "tr"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
-_CUT = frozenset("head nav header footer aside form button select option datalist script style noscript template textarea title iframe object svg canvas audio video map dialog menu".split())
+_CUT = frozenset("head button select option datalist script style noscript template textarea title iframe object svg canvas audio video map".split())
+_SUSPECT = frozenset("nav header footer aside form dialog menu".split())
+#: A suspect part with more of the body's link-free text is the content.
+MOST_SHARE = 0.75
 _CUT_ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar toolbar status".split())
 _CUT_CLASS = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|sponsor(?:ed|s)?|promo(?:tion|tions)?|banners?|sidebars?|side|cookies?|consent|gdpr|notices?|notification|alerts?|"
@@ -52,22 +58,26 @@ _CUT_CLASS = re.compile(
     re.I,
 )
 _KEEP = frozenset("html body article main".split())
+_TITLES = frozenset("article main h1".split())
+CUT, SUSPECT = 2, 1
 
 
-def _is_cut(name: str, attrs: str) -> bool:
+def _verdict(name: str, attrs: str) -> int:
+    """``CUT``: never content; ``SUSPECT``: not, unless it holds the content; 0: nothing against it."""
     if name in _CUT:
-        return True
+        return CUT
+    found = SUSPECT if name in _SUSPECT else 0
     if not attrs or name in _KEEP:
-        return False
+        return found
     for m in _ATTR.finditer(attrs):
-        kind, value = m["name"].lower(), m["a"] or m["b"] or m["c"] or ""
-        if kind in ("class", "id") and _CUT_CLASS.search(value):
-            return True
-        if kind == "role" and value.lower() in _CUT_ROLES or kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
-            return True
+        kind, value = (m["name"] or "").lower(), m["a"] or m["b"] or m["c"] or ""
+        if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true":
+            return CUT
         if kind == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return CUT
+        if kind in ("class", "id") and _CUT_CLASS.search(value) or kind == "role" and value.lower() in _CUT_ROLES:
+            found = SUSPECT
+    return found
 
 
 class Page:
@@ -76,10 +86,12 @@ class Page:
     def __init__(self, html: str):
         self.parent, self.name, self.end = [-1], ["#root"], [0]
         self.flow: list[tuple[int, str | None]] = []  # (node, text), or (node, None) at the edge of a block
+        self.regions: list[list] = []  # suspect parts in page order: first and end of the flow, first and end of the nodes, holds a title
         self._parse(html)
 
     def _parse(self, html: str) -> None:
         stack, names, open_count, cut_at = [0], ["#root"], Counter(), 0  # cut_at: stack depth of the outermost cut element
+        suspects: list[tuple[int, list]] = []  # stack depth and region of each open suspect element
 
         def pop() -> None:
             nonlocal cut_at
@@ -89,6 +101,8 @@ class Page:
                 self.flow.append((stack[-1], None))
             if cut_at and len(stack) < cut_at:
                 cut_at = 0
+            if suspects and len(stack) < suspects[-1][0]:
+                suspects.pop()[1][1:4:2] = [len(self.flow), len(self.parent)]
             if stack[-1] != node:
                 self.end[node] = len(self.parent)
 
@@ -127,8 +141,16 @@ class Page:
                 over = re.compile(rf"</{re.escape(name)}(?=[\s/>]|$)[^>]*>?", re.I).search(html, at)
                 at = over.end() if over else len(html)
                 continue
-            if not cut_at and _is_cut(name, m["attrs"] or ""):
+            verdict = 0 if cut_at else _verdict(name, m["attrs"] or "")
+            if verdict == CUT:
                 cut_at = len(stack) + 1
+            elif verdict == SUSPECT:
+                region = [len(self.flow), 0, len(self.parent), 0, False]
+                self.regions.append(region)
+                suspects.append((len(stack) + 1, region))
+            if not cut_at and name in _TITLES:
+                for _, region in suspects:
+                    region[4] = True
             is_node = not cut_at and name in _NODES
             if is_node:
                 self.parent.append(stack[-1])
@@ -148,6 +170,14 @@ class Page:
         in_link = [False] * n
         for i in range(1, n):
             in_link[i] = in_link[self.parent[i]] or self.name[i] == "a"
+        in_body = [len("".join(text.split())) if text is not None and not in_link[node] else 0 for node, text in self.flow]
+        whole, sums = sum(in_body), list(accumulate(in_body, initial=0))
+        gone, off, done = [False] * len(self.flow), [False] * n, 0
+        for first, end, low, high, titled in self.regions:  # an outer part comes first; what is inside a cut one is cut with it
+            if first >= done and not titled and sums[end] - sums[first] <= MOST_SHARE * whole:
+                gone[first:end], off[low:high] = [True] * (end - first), [True] * (high - low)
+                done = end
+        self.flow = [(node, None if gone[k] else text) for k, (node, text) in enumerate(self.flow)]
         for node, text in self.flow:
             if text is not None:
                 size = len("".join(text.split()))
@@ -159,8 +189,8 @@ class Page:
             p = self.parent[i]
             chars[p] += chars[i]
             link_chars[p] += link_chars[i]
-            tags[p] += tags[i] + 1
-            link_tags[p] += link_tags[i] + (self.name[i] == "a")
+            tags[p] += tags[i] + (not off[i])
+            link_tags[p] += link_tags[i] + (self.name[i] == "a" and not off[i])
         body = next((i for i in range(n) if self.name[i] == "body"), 0)
         share = link_chars[body] / max(chars[body], 1)
 
@@ -169,7 +199,7 @@ class Page:
             if not c:
                 return 0.0
             base = log(c / max(c - lc, 1) * lc + share * c + e)
-            return c / t * log(max(c / max(lc, 1) * t / max(lt, 1), 1.0 + 1e-9)) / max(log(base), 1e-9) if base > 1 + 1e-6 and lc else c / t * log(c * t + 1)
+            return c / t * log(max(c / max(lc, 1) * t / max(lt, 1), 1.0 + 1e-9)) / log(base + 1)
 
         dense = [density(i) for i in range(n)]
         total = [d * log(d + 1) if not in_link[i] else 0.0 for i, d in enumerate(direct)]

@@ -49,3 +49,19 @@ def test_article_of_every_given_page(spark):
         inner = re.search(r"<article>(.*?)(</article>|<footer>|$)", source.html, re.S)[1]
         inner = re.sub(r"</?b>", "", re.sub(r"</?(?:p|h1|br)>", " ", inner))
         assert got.text == " ".join(html.unescape(inner).split()) and got.n_chars == len(got.text)
+
+
+def test_names_that_look_like_boilerplate_do_not_empty_a_page():
+    body = "<h1>A title</h1><p>" + "Some long text of the article here. " * 8 + "</p><p>" + "More text there. " * 9 + "</p>"
+    want = " ".join(("A title " + "Some long text of the article here. " * 8 + "More text there. " * 9).split())
+    names = ("class='content has-sidebar'", "class='post with-comments'", "class='no-nav layout'", "class='social-science'", "id='search-history-of-rome'", 'data-id="search"')
+    around = "<html><body><nav><a href=x>Home</a> <a href=y>About</a></nav>{}<div class=sidebar><a href=q>one</a> two</div><footer>Imprint</footer></body></html>"
+    for name in names:
+        assert main_text(around.format(f"<div {name}>{body}</div>")) == want, name
+        untitled = body.replace("<h1>A title</h1>", "")
+        assert main_text(around.format(f"<div {name}>{untitled}</div>")) == want.removeprefix("A title "), name
+    assert main_text(f"<html><body><form>{body}</form></body></html>") == want
+    assert "hidden" in main_text(f'<html><body><div><p title="the hidden cost of x">{"what is hidden " * 20}</p></div></body></html>')
+    # Comments go though they are as long as the article, and a hidden part always goes.
+    comments = "<div class='comments'><p>" + "I do not agree with this at all. " * 10 + "</p></div>"
+    assert main_text(around.format(f"<article>{body}</article>{comments}<div hidden>{body}</div>")) == want
