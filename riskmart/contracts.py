@@ -108,10 +108,11 @@ RISK_STAGING_COLUMNS = (
     "batch_id", "source_file", "source_version", "source_row_number", "record_hash", "loaded_at", *RISK_COLUMNS,
 )
 
-# Label the marts give to a missing attribute, and its spelling in exports.
+# Label the marts give to a missing attribute, and its spelling in exports.
 UNKNOWN_LABEL = "Không rõ"
 UNKNOWN_EXPORT_LABEL = "Unknown"
 
+# Missing-value spellings, snapshot version, threshold and bands of scores, sizes of the training population and its caps.
 NULL_SENTINELS = ("", "NA", "N/A", "NULL")
 SNAPSHOT_SCHEMA_VERSION = 1
 SCORE_THRESHOLD = 0.5
