@@ -87,18 +87,20 @@ class Store:
         done = self.batches().where(F.col("status") == B.SUCCESS).select("batch_id")
         return self.rows(name).join(done, "batch_id", "left_semi")
 
-    def stored_counts(self) -> DataFrame:
+    def stored_counts(self, batch_ids: Sequence[str]) -> DataFrame:
+        """Physical rows of some batches; only their partitions are read."""
         empty = self.spark.createDataFrame([], "batch_id string")
-        staged, rejected = self.rows("staging"), self.rows("rejects")
-        return B.stored_counts(empty if staged is None else staged, empty if rejected is None else rejected)
-
-    def drop_open(self, source_file: str, version: str) -> None:
-        """Empties the partitions of failed or unfinished batches of a source version."""
-        open_batches = self.batches().where(
-            (F.col("source_file") == source_file)
-            & (F.col("source_version") == version)
-            & (F.col("status") != B.SUCCESS)
-        )
+        sides = [self.rows(name) for name in ("staging", "rejects")]
+        return B.stored_counts(*[empty if side is None else side.where(F.col("batch_id").isin(list(batch_ids))) for side in sides])
+
+    def batches_of(self, source_file: str, version: str | None = None) -> DataFrame:
+        """Batches of a source by name, or by name and content."""
+        match = F.col("source_file") == source_file
+        return self.batches().where(match & (F.col("source_version") == version) if version else match)
+
+    def drop_open(self, source_file: str, version: str | None) -> None:
+        """Empties the partitions of failed or unfinished batches of a source (of all its versions without one)."""
+        open_batches = self.batches_of(source_file, version).where(F.col("status") != B.SUCCESS)
         for row in open_batches.select("batch_id").collect():
             for name in ("staging", "rejects"):
                 delete_folder(self.spark, f"{self.path(name)}/batch_id={row.batch_id}")
@@ -125,18 +127,18 @@ def _load(
     name, expected = source.source_file, source.expected_source_rows
 
     incoming = version.select("source_file", "source_version")
-    action = B.load_plan(incoming, store.batches(), store.stored_counts(), by_content).first().action
+    own = store.batches_of(name, source.source_version if by_content else None)
+    stored = store.stored_counts([r.batch_id for r in own.select("batch_id").collect()])  # the batches of one file
+    action = B.load_plan(incoming, own, stored, by_content).first().action
     if action == "BROKEN":
         raise LoadError(f"{name}: the SUCCESS batch no longer matches its stored rows")
     if action == "SKIP":
-        match = F.col("source_file") == name
-        if by_content:
-            match = match & (F.col("source_version") == source.source_version)
-        last = store.batches().where(match & (F.col("status") == B.SUCCESS)).orderBy(F.desc("event_seq")).first()
+        last = own.where(F.col("status") == B.SUCCESS).orderBy(F.desc("event_seq")).first()
         store.audit(last.batch_id, "STAGING_LOAD", "SKIPPED", 0, "source already loaded; no rows added")
         return LoadResult(last.batch_id, "SKIPPED", expected, last.accepted_rows, last.rejected_rows)
     if action == "RETRY":
-        store.drop_open(name, source.source_version)
+        # A source known by its name replaces whatever content failed under it.
+        store.drop_open(name, source.source_version if by_content else None)
 
     batch_id, started = str(uuid.uuid4()), now()
 
@@ -171,7 +173,7 @@ def _load(
         counts = checked.agg(
             F.count("*").alias("n"), F.count_if(F.col("reject_reason").isNull()).alias("good")
         ).first()
-        stored = store.stored_counts().where(F.col("batch_id") == batch_id).first()
+        stored = store.stored_counts([batch_id]).first()
         kept = (stored.stored_accepted, stored.stored_rejected) if stored else (0, 0)
         if counts.n != expected:
             raise SourceContractError(f"{name}: {counts.n} rows, manifest expects {expected}")

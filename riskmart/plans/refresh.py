@@ -24,9 +24,10 @@ from riskmart.operators import warehouse as W
 from riskmart.operators.row_contracts import apply_market_contract
 from riskmart.plans.loads import Store, now
 from riskmart.sources import csv_contract as S
-from riskmart.sources.tables import delete_folder, work_folder, write_table
+from riskmart.sources.tables import broadcast_if_small, delete_folder, work_folder, write_table
 
 REFRESH_SCHEMA = "refresh_id string, status string, event_seq bigint, members_added bigint, facts_added bigint, error string, event_at timestamp"
+LEDGER_SCHEMA = "refresh_id string, batch_id string"
 RUN_SCHEMA = (
     "batch_id string, source_rows bigint, staging_rows bigint, fact_rows bigint, source_premiums string, staging_premiums string, "
     "fact_premiums string, source_claims string, staging_claims string, fact_claims string, status string, run_at timestamp"
@@ -67,7 +68,17 @@ class Warehouse:
         if self.last() is None:
             return None
         done = self.refreshes().where(F.col("status") == B.SUCCESS).select("refresh_id")
-        return self.store.rows("fact").join(F.broadcast(done), "refresh_id", "left_semi").drop("refresh_id")
+        return self.store.rows("fact").join(broadcast_if_small(done), "refresh_id", "left_semi").drop("refresh_id")
+
+    def open_batches(self) -> DataFrame:
+        """SUCCESS batches whose rows no SUCCESS refresh has taken: batch_id, source_file, source_version."""
+        done = self.refreshes().where(F.col("status") == B.SUCCESS).select("refresh_id")
+        taken = self.store.read("refresh_batches", LEDGER_SCHEMA).join(done, "refresh_id", "left_semi").select("batch_id")
+        return self.store.batches().where(F.col("status") == B.SUCCESS).join(taken, "batch_id", "left_anti").select("batch_id", "source_file", "source_version")
+
+    def new_rows(self, batches: Sequence) -> DataFrame:
+        """Staged rows of some batches: a literal list prunes the partitions that are read."""
+        return self.store.rows("staging").where(F.col("batch_id").isin([b.batch_id for b in batches]))
 
     def runs(self) -> DataFrame:
         return self.store.read("reconciliations", RUN_SCHEMA)
@@ -92,10 +103,19 @@ def _extend(warehouse: Warehouse, refresh_id: str, members: Mapping[str, DataFra
     return dims, added
 
 
-def _append(warehouse: Warehouse, refresh_id: str, candidates: DataFrame) -> tuple[DataFrame, int]:
-    """Writes the facts that are not stored yet; returns all facts as they would be published."""
+def _append(warehouse: Warehouse, refresh_id: str, candidates: DataFrame, batches: Sequence) -> tuple[DataFrame, int]:
+    """Writes the facts of new batches that are not stored yet; returns all facts as they would be published.
+
+    Only a batch of the same file can hold the same rows, so stored facts of other files are not compared.
+    """
     existing = warehouse.fact()
-    new = candidates if existing is None else W.missing_facts(candidates, existing, Q.IDENTITY)
+    new = candidates
+    if existing is not None:
+        same = F.col("source_file").isin(sorted({b.source_file for b in batches})) & F.col("source_version").isin(sorted({b.source_version for b in batches}))
+        new = W.missing_facts(candidates, existing.where(same), Q.IDENTITY)
+    ledger = [(refresh_id, b.batch_id) for b in batches]
+    if ledger:
+        warehouse.spark.createDataFrame(ledger, LEDGER_SCHEMA).coalesce(1).write.mode("append").parquet(warehouse.store.path("refresh_batches"))
     written = write_table(new, f"{warehouse.store.path('fact')}/refresh_id={refresh_id}")
     return written if existing is None else existing.unionByName(written), written.count()
 
@@ -155,9 +175,11 @@ def refresh_market(spark: SparkSession, root: str, paths: Sequence[str]) -> Refr
         B.successful(store.batches())
         staging = store.published()
         W.require_one_name(staging)
-        keyed = W.market_dimensions(staging)
-        dims, members = _extend(warehouse, refresh_id, W.market_members(staging), keyed.__getitem__)
-        fact, added = _append(warehouse, refresh_id, W.fact_market(staging, dims, store.batches()))
+        batches = warehouse.open_batches().collect()  # a row for each file loaded since the last refresh
+        new = warehouse.new_rows(batches)
+        keyed = W.market_dimensions(new)
+        dims, members = _extend(warehouse, refresh_id, W.market_members(new), keyed.__getitem__)
+        fact, added = _append(warehouse, refresh_id, W.fact_market(new, dims, store.batches()), batches)
         reconcile_files(warehouse, paths, fact)
         gate = Q.market_gate(
             staging, store.published("rejects"), warehouse.batches(), fact, dims, warehouse.runs(), layout=C.MARKET_STAGING_COLUMNS
@@ -178,9 +200,11 @@ def refresh_risk(spark: SparkSession, root: str, manifest: DataFrame, known_dupl
         B.successful(store.batches())
         published = store.published()
         staging = published.withColumnsRenamed(W.RISK_STAGING_TO_SNAKE)
-        members = {name: W.members(staging, *spec) for name, spec in RISK_DIMENSIONS.items()}
-        dims, added_members = _extend(warehouse, refresh_id, members, lambda name: W.risk_dimension(staging, RISK_DIMENSIONS[name]))
-        fact, added = _append(warehouse, refresh_id, W.fact_risk(staging, dims))
+        batches = warehouse.open_batches().collect()  # a row for each file loaded since the last refresh
+        new = warehouse.new_rows(batches).withColumnsRenamed(W.RISK_STAGING_TO_SNAKE)
+        members = {name: W.members(new, *spec) for name, spec in RISK_DIMENSIONS.items()}
+        dims, added_members = _extend(warehouse, refresh_id, members, lambda name: W.risk_dimension(new, RISK_DIMENSIONS[name]))
+        fact, added = _append(warehouse, refresh_id, W.fact_risk(new, dims), batches)
         loaded = manifest.where("is_canonical").select("source_file", "expected_source_rows")
         gate = Q.risk_gate(staging, fact, dims, loaded, known_duplicates, layout=[W.RISK_STAGING_TO_SNAKE.get(c, c) for c in C.RISK_STAGING_COLUMNS])
         Q.run_gate(gate, refresh_id, store.path("gate_log"))

@@ -36,7 +36,12 @@ def test_market_refresh_is_incremental(spark, tmp_path, monkeypatch):
 
     # A second version of the file: all its rows are new, old members keep their keys.
     load([[*r[:3], f"new {i}", *r[4:]] for i, r in enumerate(market_rows(25))])
-    second = R.refresh_market(spark, root, [str(path)])
+    read, build = [], W.fact_market
+    with monkeypatch.context() as watched:
+        watched.setattr(W, "fact_market", lambda staging, *rest: (read.extend(r[0] for r in staging.select(F.input_file_name()).distinct().collect()), build(staging, *rest))[1])
+        second = R.refresh_market(spark, root, [str(path)])
+    newest = warehouse.store.batches().orderBy(F.desc("event_seq")).first().batch_id
+    assert read and all(f"batch_id={newest}" in f for f in read)  # the second refresh reads its one new batch
     assert second.facts_added == 25 and second.members_added == 25
     assert {r.company_code: r.company_key for r in warehouse.dimension("company").collect()} == companies
     fact = warehouse.fact()
