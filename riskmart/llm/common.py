@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -189,12 +190,20 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return data + (upper * np.uint8(32)).astype(np.uint8)
 
 
+def give_back() -> None:
+    """Unused memory of Arrow and of the C heap goes back to the system; a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)
+
+
 def batches_of(spark: SparkSession, df: DataFrame, function, schema: str) -> DataFrame:
     """``mapInArrow`` under bounded batches; a task that ends gives unused memory back, as its worker lives on."""
 
     def run(batches):
         yield from function(batches)
-        pa.default_memory_pool().release_unused()
+        give_back()
 
     bound_batches(spark)
     return df.mapInArrow(run, schema)

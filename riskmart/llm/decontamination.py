@@ -28,7 +28,7 @@ from riskmart.llm.common import Store, batches_of, byte_class, lower_ascii, reco
 
 WINDOW = 13
 BLOCK_BYTES = 16 * 1024 * 1024
-SEGMENT_BYTES = 4 * 1024 * 1024
+SEGMENT_BYTES = 2 * 1024 * 1024
 _WORD = byte_class((0x30, 0x39), (0x61, 0x7A), (0x80, 0xFF))
 SEGMENT = pa.schema([
     ("segment", pa.int64()), ("doc_ids", pa.binary()), ("null_ids", pa.binary()), ("doc_starts", pa.binary()), ("terms", pa.binary()),
