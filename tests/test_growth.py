@@ -41,3 +41,8 @@ def test_splits_and_caps_shuffle_no_rows(spark):
     assert "hashpartitioning" not in plan(split) and split.count() == 12_000
     capped = L.stratified_cap(split, 6_000)
     assert "hashpartitioning" not in plan(capped) and capped.count() == 6_000
+
+
+def test_batches_are_a_stored_table(spark):
+    batches = sources(spark, FOLDER).market_batches
+    assert "Aggregate" not in plan(batches) and "Exchange" not in plan(batches)
