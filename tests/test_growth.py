@@ -46,3 +46,19 @@ def test_splits_and_caps_shuffle_no_rows(spark):
 def test_batches_are_a_stored_table(spark):
     batches = sources(spark, FOLDER).market_batches
     assert "Aggregate" not in plan(batches) and "Exchange" not in plan(batches)
+
+
+def test_lines_are_neither_sorted_nor_joined_to_customers(spark):
+    src = sources(spark, FOLDER)
+    for df in (src._market(), src._risk(), M.score_bands(src.scores, src.fact_risk, src.risk_dims)):
+        assert "ShuffledHashJoin" in plan(df) and "SortMergeJoin" not in plan(df)
+    assert "record_hash" not in src._market().columns + src._risk().columns
+    assert "record_hash" in src.market.columns and src.risk.columns[0] == "record_hash"
+
+
+def test_hashes_travel_as_bytes_and_come_back(spark, tmp_path):
+    data = spark.range(50).select((F.col("id") % 3).alias("year"), "id", F.upper(F.sha2(F.col("id").cast("string"), 256)).alias("h"))
+    stored = write_table(data, str(tmp_path / "t"), partition_by=("year",), sort_by=("id",), hex_columns=("h",))
+    assert rows(stored, *data.columns) == rows(data)
+    files = [f for _, _, names in os.walk(tmp_path / "t") for f in names if f.endswith(".parquet")]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
