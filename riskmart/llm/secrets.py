@@ -1,7 +1,7 @@
 """Secret scan: fixed base patterns, and a character convolutional network over every candidate with its context.
 
 Pass 1 reads every whole text once: it finds the base spans and all candidates, and writes them with the characters around them. The network is
-trained in numpy on a bounded sample of these labelled findings (a candidate that touches a base span is a secret, any other is not; positives are also
+trained in numpy on all distinct labelled findings, part by part, and averaged by Spark in every round (a candidate that touches a base span is a secret, any other is not; positives are also
 shown with their characters drawn anew from other alphabets; the few negatives the network doubts most are left out of later epochs). Its score is calibrated on held-back findings. The threshold keeps the wanted
 recall there: it is the highest that does, or, if that lies above nearly all held-back negatives, midway to them (``NOISE``: the share of negatives that
 may be secrets nobody labelled). Pass 2 scores every stored candidate that is not wholly inside a base span; those at or above the threshold are added
@@ -17,6 +17,7 @@ columns beside id and text are not carried. Candidates of any length are scored,
 
 from __future__ import annotations
 
+import copy
 import hashlib
 import re
 from bisect import bisect_left, bisect_right
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskmart.llm.common import Store, batches_of, byte_class, first_in_hash_order, lower_ascii, record, text_bytes, text_pieces, word_spans
+from riskmart.llm.common import Store, batches_of, byte_class, lower_ascii, record, text_bytes, text_pieces, word_spans
 
 KINDS = ("assign", "access", "hex", "model")
 #: The base patterns.
@@ -47,8 +48,10 @@ _DIGITS, _CAPITALS, _SMALL = byte_class((0x30, 0x39)), byte_class((0x41, 0x5A)),
 
 CONTEXT, WIDTH, STRIDE = 16, 72, 40
 SYMBOLS = 99  # 0 is padding, 1-95 printable ASCII, then controls, other letters, other
-#: Findings of each label the network is fitted on at most; a sample in hash order.
-TRAIN_LIMIT = 4000
+#: Findings of a part, about: parts are trained side by side and averaged.
+PART_ROWS = 8192
+#: Held-back logits are counted in steps of 1 / GRID.
+GRID = 1024
 NOISE = 0.05
 FOUND = pa.schema([
     ("doc_id", pa.int64()), ("base", pa.list_(pa.struct([("kind", pa.int8()), ("s", pa.int64()), ("e", pa.int64())]))),
@@ -221,45 +224,90 @@ def _redrawn(codes: np.ndarray, draw: np.random.Generator) -> np.ndarray:
     return out
 
 
+@dataclass
+class Steps:
+    """Weights on their way, with the moments of Adam; as one vector they are averaged over the parts of the findings."""
+
+    net: CharNet
+    mean: dict[str, np.ndarray]
+    square: dict[str, np.ndarray]
+    step: int = 0
+
+    @classmethod
+    def start(cls, seed: int) -> Steps:
+        net = CharNet.start(seed)
+        zeros = lambda: {k: np.zeros_like(v) for k, v in net.weights.items()}
+        return cls(net, zeros(), zeros())
+
+    def vector(self) -> np.ndarray:
+        return np.concatenate([v.ravel() for part in (self.net.weights, self.mean, self.square) for v in part.values()]).astype(np.float64)
+
+    def put(self, vector: np.ndarray) -> None:
+        at = 0
+        for part in (self.net.weights, self.mean, self.square):
+            for k, v in part.items():
+                part[k] = vector[at : at + v.size].reshape(v.shape).astype(np.float32)
+                at += v.size
+
+    def run(self, pos: np.ndarray, neg: np.ndarray, epochs: range, draw: np.random.Generator) -> None:
+        x = np.concatenate([pos, _redrawn(pos, draw), neg])
+        y = np.concatenate([np.ones(2 * len(pos)), np.zeros(len(neg))]).astype(np.float32)
+        net = self.net
+        for epoch in epochs:
+            order = draw.permutation(len(x))
+            if epoch >= 2 and len(neg):  # the negatives it doubts most may be secrets: they teach nothing
+                doubt = net.logits(neg)
+                doubted = np.flatnonzero((doubt > -1) & (doubt >= np.quantile(doubt, 1 - NOISE))) + len(x) - len(neg)
+                order = order[~np.isin(order, doubted)]
+            for at in range(0, len(order), 128):
+                self.step += 1
+                pick = order[at : at + 128]
+                for k, g in net.gradients(x[pick], y[pick]).items():
+                    self.mean[k] += 0.1 * (g - self.mean[k])
+                    self.square[k] += 0.001 * (g * g - self.square[k])
+                    net.weights[k] -= 0.004 * (self.mean[k] / (1 - 0.9**self.step)) / (np.sqrt(self.square[k] / (1 - 0.999**self.step)) + 1e-8)
+
+
+def _epochs(epochs: int, rows: int, steps: int = 150) -> int:
+    return max(epochs, -(-steps * 128 // max(rows, 1)))
+
+
+def settle(net: CharNet, z: np.ndarray, label: np.ndarray, count: np.ndarray, recall: float) -> CharNet:
+    """Calibration and threshold from held-back findings, counted by logit (in steps of 1 / ``GRID``, rounded down) and label."""
+    order = np.argsort(z, kind="stable")
+    z, label, count = z[order], label[order], count[order].astype(np.float64)
+    for _ in range(200):  # scale and shift by gradient steps on the held-back findings
+        p = 1 / (1 + np.exp(-np.clip(net.scale * z + net.shift, -50, 50)))
+        net.scale = max(0.05, net.scale - 0.05 * float(np.average((p - label) * z, weights=count)))
+        net.shift -= 0.2 * float(np.average(p - label, weights=count))
+    p = 1 / (1 + np.exp(-np.clip(net.scale * z + net.shift, -50, 50)))
+
+    def at_rank(which: np.ndarray, share: float) -> float:
+        reached = np.cumsum(count[which])
+        return float(p[which][np.searchsorted(reached, int(share * reached[-1]), side="right").clip(max=which.sum() - 1)])
+
+    bound, clean = at_rank(label == 1, 1 - recall), at_rank(label == 0, 1 - NOISE)
+    net.threshold = bound if clean >= bound else (bound + clean) / 2
+    net.recall = float(count[(label == 1) & (p >= net.threshold)].sum() / count[label == 1].sum())
+    return net
+
+
+def _on_grid(z: np.ndarray) -> np.ndarray:
+    return np.floor(np.clip(z, -50, 50) * GRID).astype(np.int64)
+
+
 def fit(positive: list[bytes], negative: list[bytes], recall: float = 0.99, epochs: int = 12, seed: int = 7) -> CharNet | None:
-    """Train on three quarters of the findings; calibrate and set the threshold on the rest, without the redrawn ones."""
+    """Findings in memory: trained on three quarters of them; calibrated, with the threshold set, on the rest, without the redrawn ones."""
     if len(positive) < 8 or len(negative) < 8:
         return None
-    draw = np.random.default_rng(seed)
     first = lambda blobs: np.stack([np.frombuffer(b[:WIDTH], np.uint8) for b in blobs])
     pos, neg = first(positive), first(negative)
-    held_p, held_n = pos[: len(pos) // 4], neg[: len(neg) // 4]
+    held = [pos[: len(pos) // 4], neg[: len(neg) // 4]]
     pos, neg = pos[len(pos) // 4 :], neg[len(neg) // 4 :]
-    x = np.concatenate([pos, _redrawn(pos, draw), neg])
-    y = np.concatenate([np.ones(2 * len(pos)), np.zeros(len(neg))]).astype(np.float32)
-    net = CharNet.start(seed)
-    mean = {k: np.zeros_like(v) for k, v in net.weights.items()}
-    square = {k: np.zeros_like(v) for k, v in net.weights.items()}
-    step = 0
-    for epoch in range(max(epochs, -(-150 * 128 // len(x)))):
-        order = draw.permutation(len(x))
-        if epoch >= 2:  # the negatives it doubts most may be secrets: they teach nothing
-            doubt = net.logits(neg)
-            doubted = np.flatnonzero((doubt > -1) & (doubt >= np.quantile(doubt, 1 - NOISE))) + len(x) - len(neg)
-            order = order[~np.isin(order, doubted)]
-        for at in range(0, len(order), 128):
-            step += 1
-            pick = order[at : at + 128]
-            for k, g in net.gradients(x[pick], y[pick]).items():
-                mean[k] += 0.1 * (g - mean[k])
-                square[k] += 0.001 * (g * g - square[k])
-                net.weights[k] -= 0.004 * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
-    z = net.logits(np.concatenate([held_p, held_n])).astype(np.float64)
-    label = np.concatenate([np.ones(len(held_p)), np.zeros(len(held_n))])
-    for _ in range(200):  # scale and shift by gradient steps on the held-back findings
-        p = 1 / (1 + np.exp(-np.clip(net.scale * z + net.shift, -50, 50)))
-        net.scale = max(0.05, net.scale - 0.05 * float(((p - label) * z).mean()))
-        net.shift -= 0.2 * float((p - label).mean())
-    p = 1 / (1 + np.exp(-np.clip(net.scale * z + net.shift, -50, 50)))
-    bound, clean = float(np.sort(p[: len(held_p)])[int((1 - recall) * len(held_p))]), float(np.quantile(p[len(held_p) :], 1 - NOISE))
-    net.threshold = bound if clean >= bound else (bound + clean) / 2
-    net.recall = float((p[: len(held_p)] >= net.threshold).mean())
-    return net
+    steps = Steps.start(seed)
+    steps.run(pos, neg, range(_epochs(epochs, 2 * len(pos) + len(neg))), np.random.default_rng(seed))
+    z = _on_grid(steps.net.logits(np.concatenate(held))) / GRID
+    return settle(steps.net, z, np.repeat([1, 0], [len(held[0]), len(held[1])]), np.ones(len(z)), recall)
 
 
 def span_text(spans: list[tuple[int, int, int]]) -> str:
@@ -293,20 +341,69 @@ def score_batches(net: CharNet | None):
     return run
 
 
-def trained(found: DataFrame, limit: int = TRAIN_LIMIT) -> CharNet | None:
-    """Fit on at most ``limit`` distinct findings of each label, the first in hash order."""
-    each = found.select("doc_id", F.explode("cands").alias("c")).select("c.known", F.substring("c.x", 1, WIDTH).alias("x"))
+def _blobs(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, WIDTH)
+
+
+def _round(steps: Steps, epochs: range, seed: int):
+    """One part runs ``epochs`` from the common weights; its vector, weighted by its rows."""
+
+    def run(findings: pa.Table) -> pa.Table:
+        findings = findings.sort_by("x")
+        codes, known, part = _blobs(findings.column("x")), findings.column("known").to_numpy(), findings.column("part")[0].as_py()
+        mine = copy.deepcopy(steps)
+        mine.run(codes[known], codes[~known], epochs, np.random.default_rng((seed, part, epochs.start)))
+        vector, n = mine.vector(), len(codes)
+        return pa.table({"number": pa.array(np.arange(len(vector)), pa.int32()), "value": vector * n, "rows": np.full(len(vector), n, np.int64),
+                         "step": np.full(len(vector), mine.step, np.int64)})
+
+    return run
 
-    def take(known: bool) -> list[bytes]:
-        findings = each.where(F.col("known") == known).select("x", F.xxhash64("x").alias("h")).distinct()
-        return [bytes(r.x) for r in first_in_hash_order(findings, limit, "x")]
 
-    return fit(take(True), take(False))
+def _logit_batches(net: CharNet):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            z = net.logits(_blobs(batch.column("x"))) if batch.num_rows else np.zeros(0)
+            yield pa.RecordBatch.from_arrays([batch.column("known"), pa.array(_on_grid(z))], ["known", "z"])
+
+    return run
+
+
+def trained(found: DataFrame, store: Store, recall: float = 0.99, epochs: int = 12, seed: int = 7, part_rows: int = PART_ROWS) -> CharNet | None:
+    """Fitted on all distinct findings. They are dealt by hash to parts of about ``part_rows``; in every round each part runs an epoch from the common
+    weights, and Spark averages what comes out. One finding in four is held back: calibration and threshold come from the counts of all of those
+    by logit. Only weights and counts reach the driver; a single part runs all epochs in one round."""
+    spark = found.sparkSession
+    each = found.select("doc_id", F.explode("cands").alias("c")).select("c.known", F.substring("c.x", 1, WIDTH).alias("x"))
+    findings = store.put(each.distinct().withColumn("h", F.xxhash64("x")), "findings")
+    held = F.pmod(F.col("h"), F.lit(4)) == 0
+    sizes = {(r.known, r.held): r["count"] for r in findings.groupBy("known", held.alias("held")).count().collect()}
+    of = lambda known: sizes.get((known, False), 0) + sizes.get((known, True), 0)
+    if of(True) < 8 or of(False) < 8:
+        return None
+    apart = len(sizes) == 4  # each label on both sides; else the few findings serve for both
+    learnt, judged = (findings.where(~held), findings.where(held)) if apart else (findings, findings)
+    pos, neg = (sizes[k, False] if apart else of(k) for k in (True, False))
+    parts = -(-(pos + neg) // part_rows)
+    dealt = learnt.select("known", "x", F.pmod(F.shiftright("h", 2), F.lit(parts)).cast("int").alias("part"))
+    dealt = dealt.repartition(parts, "part")  # a fixed count: small parts are not merged into one task
+    steps, total = Steps.start(seed), _epochs(epochs, (2 * pos + neg) // parts, 150 if parts == 1 else 400)
+    for first in range(0, total, total if parts == 1 else 1):
+        turn = range(first, total if parts == 1 else first + 1)
+        ran = dealt.groupBy("part").applyInArrow(_round(steps, turn, seed), "number int, value double, rows long, step long")
+        summed = ran.groupBy("number").agg((F.sum("value") / F.sum("rows")).alias("value"), F.max("step").alias("step")).orderBy("number").collect()
+        steps.put(np.array([r.value for r in summed]))
+        steps.step = summed[0].step
+    logits = batches_of(spark, judged.select("known", "x"), _logit_batches(steps.net), "known boolean, z long")
+    counts = logits.groupBy("known", "z").count().collect()  # at most 2 * 100 * GRID
+    z, label, count = (np.array([r[k] for r in counts]) for k in ("z", "known", "count"))
+    return settle(steps.net, z / GRID, label.astype(np.int64), count, recall)
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     spark = df.sparkSession
     rows = df.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"`{text_col}` as text")
-    found = Store(spark, "secrets").put(batches_of(spark, rows, find_batches, FOUND_DDL), "found")
+    store = Store(spark, "secrets")
+    found = store.put(batches_of(spark, rows, find_batches, FOUND_DDL), "found")
     ddl = "doc_id long, n_assign long, n_access long, n_hex long, n_model long, base_sha256 string, spans string"
-    return batches_of(spark, found, score_batches(trained(found)), ddl).withColumnRenamed("doc_id", id_col)
+    return batches_of(spark, found, score_batches(trained(found, store)), ddl).withColumnRenamed("doc_id", id_col)

@@ -85,3 +85,23 @@ def test_candidates_are_all_runs_but_words():
         assert every(words) == []
     inside = S.candidates("token=abcdef123456 zz" + "0123456789abcdef01234567" + "ZZ", S.base_spans("token=abcdef123456 zz" + "0123456789abcdef01234567" + "ZZ"))
     assert [(c["known"], c["inside"]) for c in inside] == [(True, True), (True, False)]
+
+
+def test_every_finding_is_fitted_and_counted(spark, tmp_path, monkeypatch):
+    """Several parts: the network learns from all of them, and the threshold keeps the recall over all held-back findings."""
+    draw = random.Random(9)
+    make = lambda alphabet: "".join(draw.choices(alphabet, k=24))
+    texts = [f'token="{make("0123456789abcdefghij")}" and {make("0123456789-") + "7"}' for _ in range(1500)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    store = S.Store(spark, "test-secrets")
+    found = store.put(S.batches_of(spark, df, S.find_batches, S.FOUND_DDL), "found")
+    seen, settle = [], S.settle
+    monkeypatch.setattr(S, "settle", lambda net, z, label, count, recall: seen.append((label, count)) or settle(net, z, label, count, recall))
+    net = S.trained(found, store, part_rows=1000)
+    findings = found.selectExpr("explode(cands) as c").selectExpr("c.known", f"substring(c.x, 1, {S.WIDTH}) as x").distinct().cache()
+    held = findings.where("pmod(xxhash64(x), 4) = 0")
+    assert findings.count() > 2 * 1000 and seen[0][1].sum() == held.count() and seen[0][1][seen[0][0] == 1].sum() == held.where("known").count()
+    assert net.recall >= 0.99
+    scores = net.scores([bytes(r.x) for r in held.where("known").collect()])
+    assert (scores >= net.threshold).mean() >= 0.98
+    assert (net.scores([bytes(r.x) for r in held.where("not known").collect()]) >= net.threshold).mean() < 0.05
