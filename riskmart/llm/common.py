@@ -37,7 +37,8 @@ class Store:
 
     def put(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}"
-        df.write.parquet(path)
+        # The table is read by who wrote it: no marker file, for which the driver starts child processes on a local file system.
+        df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, *names: str) -> None:

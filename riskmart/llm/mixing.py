@@ -3,7 +3,8 @@
 Documents fall into cells of source, language and topic. The cells' token weights are raked in turn to the three target marginals; a cell's factor is its
 raked weight over its tokens. Inclusion probabilities are ``min(1, scale * factor)``, the scale being calibrated so that the expected tokens meet the
 budget; a document is taken if its seeded hash lies below its probability. Only sums by cell leave the scan of the documents; cells are summed
-map-side, so a hot source is no hot task, and every pass over them is written, which keeps plans short.
+map-side, so a hot source is no hot task, and every round over them is written, which keeps plans short. Up to ``LOCAL_CELLS`` cells are raked in one
+partition, whose sums need no exchange and no broadcast; more are summed and joined like any table. Both ways do the same steps.
 
 Targets: explicit shares by value, or else the marginal's own token shares to the power ``temper`` (below 1: small values gain). Shares are
 normalised over the values that have tokens.
@@ -15,7 +16,7 @@ their names; ``probabilities`` returns its own columns only.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskmart.llm.common import Store
@@ -25,6 +26,8 @@ ROUNDS = 8
 BUDGET = 0.8
 TEMPER = 0.7
 BROADCAST_CELLS = 200_000
+#: Up to this many cells a round is one task over one partition: a broadcast takes several MB of the driver however few rows it has, and a round has three.
+LOCAL_CELLS = 100_000
 #: Topics in order of precedence: the first pattern (SQL LIKE) that a text matches.
 TOPICS: tuple[tuple[str, str], ...] = (("legal", "%Licensed under%"), ("contact", "%@%.%"), ("tabular", "% | %"), ("capitals", "%!! %"))
 OTHER_TOPIC = "prose"
@@ -60,17 +63,27 @@ def _targets(cells: DataFrame, dimension: str, shares: dict[str, float] | None,
     return wanted.select(dimension, (F.col("aim") / F.lit(all_aim or 1.0) * F.lit(all_own)).alias("target"))
 
 
+def raked_once(cells: DataFrame, few: bool) -> DataFrame:
+    """One round: ``weight`` raked to the targets of one dimension after the other."""
+    current = cells.coalesce(1) if few else cells
+    for d in DIMENSIONS:
+        if few:
+            current = current.withColumn("now", F.sum("weight").over(Window.partitionBy(d)))
+        else:
+            current = current.join(current.groupBy(d).agg(F.sum("weight").alias("now")), d)
+        current = current.withColumn("weight", F.when(F.col("now") > 0, F.col("weight") * (F.col(f"target_{d}") / F.col("now"))).otherwise(F.lit(0.0))).drop("now")
+    return current
+
+
 def raked(cells: DataFrame, store: Store, shares: dict[str, dict[str, float]], temper: float, rounds: int) -> DataFrame:
     """Adds ``weight``: tokens raked to the target marginals."""
     current = cells.withColumn("weight", F.col("n_tokens").cast("double"))
     for d in DIMENSIONS:
         current = current.join(_targets(cells, d, shares.get(d), temper).withColumnRenamed("target", f"target_{d}"), d, "left")
     current = store.put(current.fillna(0.0), "raked-start")
+    few = current.count() <= LOCAL_CELLS
     for number in range(rounds):
-        for d in DIMENSIONS:
-            now = current.groupBy(d).agg(F.sum("weight").alias("now"))
-            current = current.join(now, d).withColumn("weight", F.when(F.col("now") > 0, F.col("weight") * (F.col(f"target_{d}") / F.col("now"))).otherwise(F.lit(0.0))).drop("now")
-        current = store.put(current, f"raked-{number}")
+        current = store.put(raked_once(current, few), f"raked-{number}")
         if number:
             store.drop(f"raked-{number - 1}")
     return current

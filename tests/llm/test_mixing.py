@@ -51,3 +51,18 @@ def test_empty_and_blank(spark):
     assert M.mix(df.where("false")).count() == 0 and M.probabilities(df.where("false")).count() == 0
     blank = M.probabilities(df.withColumn("text", F.lit("  "))).toPandas()
     assert len(blank) == 900 and not blank.selected.any() and (blank.factor == 0).all()
+
+
+def test_few_cells_are_raked_without_exchange_or_broadcast(spark, monkeypatch):
+    cells = spark.createDataFrame([(f"s{i % 7}", f"l{i % 3}", f"t{i % 5}", 1.0 + i % 11, 3.0, 5.0, 4.0) for i in range(105)],
+                                  "source string, lang string, topic string, weight double, target_source double, target_lang double, target_topic double").repartition(4)
+    once = M.raked_once(cells, True)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Broadcast" not in plan
+    want = {r[:3]: r.weight for r in M.raked_once(cells, False).select("source", "lang", "topic", "weight").collect()}
+    assert {r[:3]: r.weight for r in once.select("source", "lang", "topic", "weight").collect()} == pytest.approx(want) and len(want) == 105
+    df = documents(spark)
+    few = M.probabilities(df).toPandas().set_index("doc_id")
+    monkeypatch.setattr(M, "LOCAL_CELLS", 0)
+    many = M.probabilities(df).toPandas().set_index("doc_id").loc[few.index]
+    assert (few.probability - many.probability).abs().max() < 1e-7 and (few.selected == many.selected).all()

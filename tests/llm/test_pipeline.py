@@ -1,10 +1,12 @@
 import random
+from pathlib import Path
 
 import corpus_pipeline as P
 import duckdb
 import pandas as pd
 import pytest
 from riskmart.llm import quality_model
+from riskmart.llm.common import Store
 from riskmart.llm.queries import OP4_SQL
 from test_decontamination import brute as contamination_of
 from test_near_dedup import brute as components_of
@@ -131,3 +133,12 @@ def test_each_row_follows_its_own_verdict(spark):
 
 def test_names_and_order():
     assert [name for name, _ in P.STAGES] == ["quality_model", "near_dedup", "decontamination", "mixing", "sharding"]
+
+
+def test_stored_tables_leave_no_marker(spark):
+    """The driver starts child processes for a marker file on a local file system; while one starts, the driver's memory counts twice."""
+    store = Store(spark, "no-marker")
+    assert store.put(spark.range(5), "five").count() == 5
+    names = {p.name for p in Path(store.base.removeprefix("file://"), "five").iterdir()}
+    assert "_SUCCESS" not in names and any(n.endswith(".parquet") for n in names)
+    store.clear()
