@@ -37,7 +37,7 @@ class ScoringResult:
 
 
 def prediction_table(spark: SparkSession, root: str, buckets: int = 64) -> KeyedTable:
-    return KeyedTable(spark, root, L.PREDICTION_KEY, PREDICTION_SCHEMA, buckets)
+    return KeyedTable(spark, root, L.PREDICTION_KEY, PREDICTION_SCHEMA, buckets, hex_columns=(L.GROUP,))
 
 
 def score_population(

@@ -2,7 +2,8 @@
 
 Rows lie in folders by generation and bucket, a bucket being a hash slice of the key. A manifest, one small file for each state, names the folder of
 every bucket that has rows. An upsert reads and rewrites the touched buckets only, under a new generation, and then writes the next manifest: the
-rename of that one file publishes it. A writer that fails before leaves the old state; what it wrote is unnamed and goes with ``vacuum``. Readers pin
+rename of that one file publishes it. Stored and incoming rows meet in one shuffle, by ranges of bucket and hash slice of the key; keys are judged and
+rows replaced where they meet. A writer that fails before leaves the old state; what it wrote is unnamed and goes with ``vacuum``. Readers pin
 the manifest they start from. One writer at a time: the state a change started from is checked again before it is published.
 """
 
@@ -11,11 +12,13 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskmart.sources.tables import BROADCAST_LIMIT, delete_folder, planned_bytes, read_or_empty, work_folder, write_table
+from riskmart.sources.tables import delete_folder, read_or_empty
 
+#: Hash slices of a bucket, so that ranges of buckets and slices can be cut to even size.
+SLICES = 1024
 MANIFEST = "state bigint, bucket int, generation string, rows bigint"
 
 
@@ -28,8 +31,9 @@ class StateChangedError(RuntimeError):
 
 
 class KeyedTable:
-    def __init__(self, spark: SparkSession, root: str, key: Sequence[str], schema: str, buckets: int = 64):
-        self.spark, self.root, self.key, self.schema, self.buckets = spark, root, tuple(key), schema, buckets
+    def __init__(self, spark: SparkSession, root: str, key: Sequence[str], schema: str, buckets: int = 64, hex_columns: Sequence[str] = ()):
+        """``hex_columns`` (beside the key; mostly upper-case hex) travel as bytes; a value that is no such text travels and is stored as it is."""
+        self.spark, self.root, self.key, self.schema, self.buckets, self.hex_columns = spark, root, tuple(key), schema, buckets, tuple(hex_columns)
 
     # -- states ---------------------------------------------------------------------------
 
@@ -53,36 +57,55 @@ class KeyedTable:
 
     # -- changes --------------------------------------------------------------------------
 
-    def _bucket(self):
-        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
-
-    def _require_keys(self, rows: DataFrame) -> None:
+    def _hash(self) -> Column:
+        return F.xxhash64(*self.key)
+
+    def _bucket(self) -> Column:
+        return F.pmod(self._hash(), F.lit(self.buckets)).cast("int")
+
+    def _packed(self, rows: DataFrame) -> DataFrame:
+        for c in self.hex_columns:
+            raw = F.unhex(c)
+            rows = rows.withColumn(f"_bytes_{c}", F.when(F.hex(raw) == F.col(c), raw))
+            rows = rows.withColumn(c, F.when(F.col(f"_bytes_{c}").isNull(), F.col(c)))
+        return rows
+
+    def _unpacked(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({c: F.coalesce(F.hex(f"_bytes_{c}"), F.col(c)) for c in self.hex_columns})
+
+    def _merged(self, stored: DataFrame, incoming: DataFrame, bad: Observation) -> DataFrame:
+        """Incoming rows, and stored rows whose key none of them has. ``bad`` gets an incoming key that is null or there twice, in the same pass."""
+        columns = stored.columns
+        both = stored.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
+        placed = self._packed(both).withColumns({"bucket": self._bucket(), "_slice": F.pmod(F.shiftright(self._hash(), 40), F.lit(SLICES)).cast("int")})
+        same = Window.partitionBy("bucket", "_slice", *self.key)
+        met = placed.repartitionByRange("bucket", "_slice").withColumn("_incoming", F.sum("_new").over(same))
         null = F.lit(False)
         for c in self.key:
             null = null | F.col(c).isNull()
-        bad = rows.groupBy(*self.key).agg(F.count("*").alias("_rows")).where(null | (F.col("_rows") > 1)).first()
-        if bad:
-            raise DuplicateKeyError(f"{bad["_rows"]} rows with key {tuple(bad[c] for c in self.key)}")
+        wrong = (F.col("_new") == 1) & (null | (F.col("_incoming") > 1))
+        told = F.concat(F.col("_incoming").cast("string"), F.lit(" rows with key "), F.to_json(F.struct(*self.key)))
+        met = met.observe(bad, F.min(F.when(wrong, told)).alias("key"))
+        return self._unpacked(met.where((F.col("_new") == 1) | (F.col("_incoming") == 0))).select(*columns, "bucket")
 
     def upsert(self, incoming: DataFrame) -> int:
         """Incoming rows replace stored ones of the same key, others stay; returns the new state.
 
-        Raises DuplicateKeyError before anything is written to the table if the incoming keys are not unique.
+        Raises DuplicateKeyError before anything is published if the incoming keys are not unique; what was written by then is deleted.
+        ``incoming`` is read three times: for its buckets, for a sample of them, and as a whole.
         """
         columns = self.spark.createDataFrame([], self.schema).columns
         before = self.state()
         old = {e.bucket: e for e in self.manifest(before)} if before else {}
-        with work_folder(self.spark, "upsert") as folder:
-            rows = write_table(incoming.select(*columns).withColumn("bucket", self._bucket()), f"{folder}/incoming")
-            self._require_keys(rows)
-            touched = [r.bucket for r in rows.select("bucket").distinct().collect()]  # no more than there are buckets
-            stored = self._folders([old[b] for b in touched if b in old]).withColumn("bucket", self._bucket())
-            keys = rows.select(*self.key)
-            small = F.broadcast(keys) if planned_bytes(keys) <= BROADCAST_LIMIT else keys
-            merged = stored.join(small, list(self.key), "left_anti").select(*columns, "bucket").unionByName(rows)
-            generation = uuid.uuid4().hex
-            if touched:
-                merged.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.root}/data/{generation}")
+        rows, generation = incoming.select(*columns), uuid.uuid4().hex
+        touched = [r.bucket for r in rows.select(self._bucket().alias("bucket")).distinct().collect()]  # no more than there are buckets
+        if touched:
+            path, bad = f"{self.root}/data/{generation}", Observation()
+            stored = self._folders([old[b] for b in touched if b in old])
+            self._merged(stored, rows, bad).write.option("compression", "zstd").partitionBy("bucket").parquet(path)
+            if bad.get["key"] is not None:
+                delete_folder(self.spark, path)
+                raise DuplicateKeyError(bad.get["key"])
         return self._publish(before, old, touched, generation)
 
     def _publish(self, before: int, old: dict, touched: Sequence[int], generation: str) -> int:
@@ -90,6 +113,8 @@ class KeyedTable:
         if touched:
             new = self.spark.read.parquet(f"{self.root}/data/{generation}")
             counts = {r.bucket: r.n for r in new.groupBy("bucket").agg(F.count("*").alias("n")).collect()}
+        if not set(counts) <= set(touched):  # their stored rows have not been read
+            raise StateChangedError(f"incoming rows were not the same when read again: buckets {sorted(set(counts) - set(touched))}")
         state = before + 1
         kept = [(state, e.bucket, e.generation, e.rows) for e in old.values() if e.bucket not in counts]
         entries = kept + [(state, b, generation, n) for b, n in counts.items()]

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from riskmart.operators import ml as L
@@ -72,3 +73,48 @@ def test_scoring_job_runs_twice(spark, tmp_path):
         score(test.unionByName(test.limit(1)))
     with pytest.raises(J.ScoringError, match="m1"):
         J.score_population(spark, root, model, test, "held_out", "m2")
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_upsert_deals_rows_once_and_keeps_texts_that_are_no_hex(spark, tmp_path):
+    table = KeyedTable(spark, str(tmp_path), ("k", "n"), SCHEMA, buckets=4, hex_columns=("v",))
+    texts = ["00FF", "ab", "ABC", "", None, "no hex", "DEADBEEF"]
+    first = [("a", i, texts[i % 7]) for i in range(70)]
+    table.upsert(spark.createDataFrame(first, SCHEMA))
+    change = [("a", i, texts[(i + 1) % 7]) for i in range(60, 100)]
+    incoming = spark.createDataFrame(change, SCHEMA)
+    merged = table._merged(table.read(), incoming, Observation())
+    assert plan(merged).count("Exchange ") == plan(merged).count("Exchange rangepartitioning") == 1 and "Join" not in plan(merged)
+    table.upsert(incoming)
+    want = {r[:2]: r[2] for r in first} | {r[:2]: r[2] for r in change}
+    assert {(r.k, r.n): r.v for r in table.read().collect()} == want and table.read().count() == 100
+    with pytest.raises(DuplicateKeyError, match="2 rows with key"):
+        table.upsert(incoming.union(incoming.where("n = 77")))
+    assert table.read().count() == 100 and len(os.listdir(tmp_path / "data")) == 2
+    assert all(f.endswith(".zstd.parquet") for _, _, names in os.walk(tmp_path / "data") for f in names if f.endswith(".parquet"))
+
+
+def test_rows_that_differ_when_read_again_are_not_published(spark, tmp_path, monkeypatch):
+    table = KeyedTable(spark, str(tmp_path), ("k", "n"), SCHEMA, buckets=8)
+    table.upsert(spark.createDataFrame([("a", i, "old") for i in range(50)], SCHEMA))
+    merged = table._merged
+    other = spark.createDataFrame([("a", i, "new") for i in range(50)], SCHEMA)
+    monkeypatch.setattr(table, "_merged", lambda stored, rows, bad: merged(stored, other, bad))
+    with pytest.raises(StateChangedError):
+        table.upsert(spark.createDataFrame([("a", 1, "new")], SCHEMA))
+    assert table.state() == 1 and {r.v for r in table.read().collect()} == {"old"}
+
+
+def test_cases_are_reconciled_in_one_pass(spark):
+    make = lambda numbers: spark.createDataFrame([("f", "v", i) for i in numbers], "source_file string, source_version string, source_row_number long")
+    stored, expected = make(range(40)), make(range(2, 42))
+    number = F.col("source_row_number")
+    copies = {"all": F.lit(1), "odd": (number % 2).cast("int"), "twice": F.lit(1) + (number % 10 == 3).cast("int")}
+    together = L.prediction_reconciliation(stored, expected, copies)
+    assert plan(together).count("Exchange hashpartitioning") == 1
+    apart = {"all": stored, "odd": stored.where("source_row_number % 2 = 1"), "twice": stored.union(stored.where("source_row_number % 10 = 3"))}
+    want = [(case, *L.prediction_reconciliation(df, expected).first()) for case, df in apart.items()]
+    assert [tuple(r) for r in together.collect()] == want and want[2][1:4] == (44, 40, 4)
